@@ -90,8 +90,10 @@ def fair_play(cartoes: DataFrame) -> DataFrame:
                  F.countDistinct("partida_id").alias("partidas_com_cartao")))
 
 
-STANDINGS_ORDER = [F.col("pontos").desc_nulls_last(), F.col("saldo_gols").desc_nulls_last(),
-                   F.col("gols_pro").desc_nulls_last(), F.col("clube").asc_nulls_last()]
+def standings_order() -> list:
+    """Points, goal difference, goals for; club name as the final tie-break."""
+    return [F.col("pontos").desc_nulls_last(), F.col("saldo_gols").desc_nulls_last(),
+            F.col("gols_pro").desc_nulls_last(), F.col("clube").asc_nulls_last()]
 
 
 def classificacao_historica(partidas: DataFrame, api: DataFrame | None = None,
@@ -104,7 +106,7 @@ def classificacao_historica(partidas: DataFrame, api: DataFrame | None = None,
     computed ones season by season.
     """
     d = desempenho_clubes(partidas).drop("aproveitamento_pct")
-    w = Window.partitionBy("temporada").orderBy(*STANDINGS_ORDER)
+    w = Window.partitionBy("temporada").orderBy(*standings_order())
     computed = d.withColumn("posicao", F.row_number().over(w))
     cols = ["temporada", "clube", "jogos", "vitorias", "empates", "derrotas", "pontos",
             "gols_pro", "gols_contra", "saldo_gols", "posicao"]
