@@ -18,8 +18,9 @@ def _c(c) -> Column:
 # ---- T1..T6 -----------------------------------------------------------------
 
 def safe_int(c) -> Column:
-    """Text -> BIGINT; missing or not a number -> 0 (``'3.0'`` -> 3)."""
-    return F.coalesce(_c(c).try_cast("double"), F.lit(0.0)).cast("bigint")
+    """Text -> BIGINT; missing, ``nan`` or not a number -> 0 (``'3.0'`` -> 3)."""
+    d = _c(c).try_cast("double")
+    return F.coalesce(F.when(~F.isnan(d), d).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def safe_float(c) -> Column:

@@ -95,3 +95,20 @@ def changed_fixtures(new: DataFrame, last_round: Column | int,
     lr = last_round if isinstance(last_round, Column) else F.lit(last_round)
     return new.filter(F.col("rodada").isNull() | (F.col("rodada") > lr)
                       | ~F.coalesce(F.col("status").isin(*finished), F.lit(False)))
+
+
+def update_season(existing: DataFrame, fixtures: DataFrame, season: int,
+                  fonte: str = "api_football", finished=("FT", "finished")) -> DataFrame:
+    """U5 (plan): merge a provider's fixture rows (J1 output) into the stored
+    matches of one season.
+
+    Last synced round (U3) of the stored rows -> only new or changed
+    fixtures (U4) -> tagged -> last-wins merge by match id (U1).  Returns the
+    season's new rows; the job writes them to the season partition only.
+    """
+    cur = existing.filter(F.col("temporada") == season)
+    last = last_synced_round(existing, season, finished).scalar()
+    fx = fixtures.filter(F.col("temporada") == season) if "temporada" in fixtures.columns else fixtures
+    new = (changed_fixtures(fx, last, finished)
+           .withColumn("temporada", F.lit(season).cast("int")).withColumn("fonte", F.lit(fonte)))
+    return upsert(with_seq(cur, 0, F.lit(0)), with_seq(new, 1, F.lit(0)), TABLE_KEYS["partidas"])
