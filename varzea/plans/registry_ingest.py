@@ -207,3 +207,6 @@ SELECT partida_id, temporada, rodada, data, hora, mandante, visitante, CAST(NULL
 FROM ({_U04.replace("SELECT temporada,", "SELECT CAST(temporada AS INT) AS temporada,", 1)}) c""")
 register("u05_update_season", U05_SQL)(
     lambda lk: U.update_season(lk.partidas, J.flatten_fixtures(FD.fixture_docs(lk.partidas)), RUNNING))
+
+# the notebook analyses register themselves on import
+from varzea.plans import registry_legacy  # noqa: E402,F401

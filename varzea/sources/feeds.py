@@ -261,3 +261,22 @@ def squad_docs(escalacoes: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.when(~F.col("home"), F.col("x")))).alias("a"))
     side = lambda c: F.struct(F.lit("4-3-3").alias("formation"), F.transform(c, lambda x: x["p"]).alias("players"))
     return per.select("partida_id", F.to_json(F.struct(side("h").alias("home"), side("a").alias("away"))).alias("payload"))
+
+
+# ---- legacy yearly sheets ----------------------------------------------------------------------
+
+def legacy_sheet_rows(partidas: DataFrame) -> DataFrame:
+    """The yearly-sheet layout: padded, capitalised club names, score text
+    ``2x1`` (missing -> ``nanxnan``... kept null), winner name or ``-``,
+    ISO date text and weekday name."""
+    def name(c):
+        return F.concat(F.lit(" "), F.initcap(F.lower(c)), F.lit(" "))
+    gm, gv = F.col("gols_mandante"), F.col("gols_visitante")
+    winner = (F.when(gm > gv, name(F.col("mandante"))).when(gm < gv, name(F.col("visitante")))
+              .when(gm == gv, F.lit(" - ")))
+    return partidas.select(
+        F.date_format("data", "yyyy-MM-dd").alias("Data"), F.date_format("data", "EEEE").alias("Dia"),
+        name(F.col("mandante")).alias("Clube 1"), name(F.col("visitante")).alias("Clube 2"),
+        F.when(gm.isNotNull(), F.concat(F.lit(" "), gm.cast("string"), F.lit("x"), gv.cast("string"), F.lit(" ")))
+         .alias("Placar"),
+        winner.alias("Vencedor"), F.col("arena").alias("Arena"))
