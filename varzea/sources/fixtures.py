@@ -47,8 +47,14 @@ class Lake:
                          .select("n_nationkey", F.col("n_name").alias(club), F.col("r_name").alias(state)))
         return nr
 
-    @cached_property
-    def partidas_bruto(self) -> DataFrame:
+    def _bruto_keyed(self) -> DataFrame:
+        """Raw match rows plus the (order key, line number) pair they come
+        from.  Join order: lineitem meets its supplier's club (shuffle on the
+        supplier key unless the supplier side is small), orders meet their
+        customer's club (shuffle on the customer key), and the two meet on
+        the order key last — so the rows leave hash-partitioned by order key,
+        and the last-wins merge on (order key, line number) needs no further
+        shuffle."""
         li = self.raw("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                          "l_quantity", "l_shipdate", "l_extendedprice")
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -60,12 +66,13 @@ class Lake:
                 .join(self._club_dim("s", "visitante", "estado_visitante"),
                       F.col("s_nationkey") == F.col("n_nationkey"))
                 .select("s_suppkey", "visitante", "estado_visitante"))
-        j = (li.join(o, li.l_orderkey == o.o_orderkey)
-               .join(home, o.o_custkey == home.c_custkey)
-               .join(away, li.l_suppkey == away.s_suppkey)
-               .filter(F.col("mandante") != F.col("visitante")))
+        lines = li.join(away, li.l_suppkey == away.s_suppkey)
+        heads = o.join(home, o.o_custkey == home.c_custkey)
+        j = (lines.join(heads, lines.l_orderkey == heads.o_orderkey)
+             .filter(F.col("mandante") != F.col("visitante")))
         played = F.col("o_orderdate") < F.lit(UNPLAYED_FROM).cast("timestamp_ntz")
         return j.select(
+            F.col("o_orderkey").alias("_ok"), F.col("l_linenumber").alias("_ln"),
             (F.col("o_orderkey") * 10 + F.col("l_linenumber")).cast("bigint").alias("partida_id"),
             F.year("o_orderdate").cast("int").alias("temporada"),
             F.month("o_orderdate").cast("int").alias("rodada"),
@@ -80,12 +87,19 @@ class Lake:
             F.col("l_suppkey").alias("seq3"), F.col("l_extendedprice").alias("seq4"),
         )
 
+    @cached_property
+    def partidas_bruto(self) -> DataFrame:
+        return self._bruto_keyed().drop("_ok", "_ln")
+
     @cached_property
     def partidas(self) -> DataFrame:
         """One row per match id: the duplicate with the greatest
-        (seq1, seq2, seq3, seq4), then greatest home goals."""
-        one = last_wins(self.partidas_bruto, ["partida_id"],
-                        ["seq1", "seq2", "seq3", "seq4", "gols_mandante"])
+        (seq1, seq2, seq3, seq4), then greatest home goals.  Merged on
+        (order key, line number) — the same key as the match id, since line
+        numbers are 1-7 (TPC-H) — which the order-key partitioning of the
+        join already clusters."""
+        one = last_wins(self._bruto_keyed(), ["_ok", "_ln"],
+                        ["seq1", "seq2", "seq3", "seq4", "gols_mandante"]).drop("_ok", "_ln")
         gm, gv = F.col("gols_mandante"), F.col("gols_visitante")
         return one.select(
             "partida_id", "temporada", "rodada", "data", "mandante", "visitante",
