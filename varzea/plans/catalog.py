@@ -16,6 +16,8 @@ from varzea.sources.fixtures import Lake, gold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# the same queries as functions of a lake (raw or materialised silver)
+LAKE_QUERIES: dict[str, Callable[[Lake], DataFrame]] = {}
 
 
 def register(name: str, oracle: str | None = None):
@@ -27,6 +29,7 @@ def register(name: str, oracle: str | None = None):
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        LAKE_QUERIES[name] = fn
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
