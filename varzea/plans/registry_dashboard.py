@@ -344,3 +344,15 @@ LEFT JOIN (SELECT partida_id, TRUE AS fav FROM scored ORDER BY gap DESC, partida
 
 # the ingestion families register themselves on import
 from varzea.plans import registry_ingest  # noqa: E402,F401
+
+# ---- remaining export dumps (E1, E5-E8) ----------------------------------------------------------
+register("e01_classificacao", q("SELECT * FROM classificacao_historica"))(
+    lambda lk: E.export_classificacao(G(lk, "classificacao_historica")))
+register("e05_fair_play", q("SELECT * FROM fair_play"))(lambda lk: E.export_fair_play(G(lk, "fair_play")))
+register("e06_desempenho_clubes", q("SELECT * FROM desempenho_clubes"))(
+    lambda lk: E.export_desempenho(G(lk, "desempenho_clubes")))
+register("e07_rebaixamento_acesso", q("SELECT * FROM rebaixamento_acesso"))(
+    lambda lk: E.export_rebaixamento(G(lk, "rebaixamento_acesso")))
+register("e08_gols", q("SELECT * FROM gols"))(lambda lk: E.export_silver(lk.gols))
+register("e08b_cartoes", q("SELECT * FROM cartoes"))(lambda lk: E.export_silver(lk.cartoes))
+register("e08c_estatisticas", q("SELECT * FROM estatisticas"))(lambda lk: E.export_silver(lk.estatisticas))
