@@ -81,9 +81,10 @@ def state_dimension(spark: SparkSession, mapping: dict[str, str] | None = None)
 def with_states(df: DataFrame, states: DataFrame) -> DataFrame:
     """State of home club, away club and winner by lookup on the lower-
     cased trimmed name; a winner without a state (a draw) is ``Empate``.
-    ``states`` is a club dictionary (bounded by the number of clubs), so it
-    is broadcast: three map-side joins, no shuffle of the match rows."""
-    dim = F.broadcast(states.select(F.lower(F.trim("clube")).alias("_k"), F.col("estado").alias("_e")))
+    ``states`` is a club dictionary; the planner broadcasts it when its
+    measured size is under the threshold (three map-side joins, no shuffle of
+    the match rows), otherwise it shuffles."""
+    dim = states.select(F.lower(F.trim("clube")).alias("_k"), F.col("estado").alias("_e"))
 
     def look(out, src, empty=None):
         nonlocal df
@@ -160,10 +161,8 @@ def adjustments_dimension(spark: SparkSession, season: int, rows=None) -> DataFr
 
 
 def apply_adjustments(table: DataFrame, adj: DataFrame) -> DataFrame:
-    """Add point / draw / loss corrections (left join on the club; the
-    correction table lists a handful of clubs, so it is broadcast)."""
-    a = F.broadcast(adj)
-    j = table.join(a, "Clubes", "left")
+    """Add point / draw / loss corrections (left join on the club)."""
+    j = table.join(adj, "Clubes", "left")
 
     def z(c):
         return F.coalesce(F.col(c), F.lit(0))

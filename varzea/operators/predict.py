@@ -6,9 +6,10 @@ the home/away side rows, and a fixture list is scored by joining the
 features.  No loop over clubs, no cross join, no collect.
 
 Scale notes
-* every feature is a grouped aggregate over ``sides`` (map-side partial
-  aggregation; a club holding a third of all matches does not make one big
-  task);
+* the weighted features come from one pre-aggregate of the side rows per
+  (club, opponent, season, venue) — map-side partial aggregation, so a club
+  holding a third of all matches does not make one big task, and the model
+  reads the matches twice in all (this pre-aggregate and the form);
 * the last-N form uses ``row_number() <= n`` per club, which Spark plans as
   a ``WindowGroupLimit`` — each map task keeps only its top-n per club before
   the shuffle;
@@ -65,26 +66,59 @@ def _round_half_up(c: Column) -> Column:
     return F.floor(c + 0.5).cast("bigint")
 
 
-# ---- P1 -------------------------------------------------------------------------------------
+# ---- shared pre-aggregate --------------------------------------------------------------------
 
-def home_away_stats(played_df: DataFrame, year: Column) -> DataFrame:
-    """Decay-weighted home and away win/draw % per club (1 decimal), rounded
-    weighted counts and raw game counts."""
-    s = sides(played_df, ["temporada"]).withColumn("w", _weight(year))
-    home, w = F.col("em_casa"), F.col("w")
-    gp, gc = F.col("gp"), F.col("gc")
+def pair_season(played_df: DataFrame) -> DataFrame:
+    """Wins / draws / losses / games per (club, opponent, season, venue).
 
-    def wsum(cond):
-        return F.sum(F.when(cond, w).otherwise(F.lit(0.0)))
-    agg = s.groupBy("clube").agg(
-        wsum(home & (gp > gc)).alias("hw"), wsum(home & (gp == gc)).alias("hd"),
-        wsum(home & (gp < gc)).alias("hl"), wsum(home).alias("ht"),
-        wsum(~home & (gp > gc)).alias("aw"), wsum(~home & (gp == gc)).alias("ad"),
-        wsum(~home & (gp < gc)).alias("al"), wsum(~home).alias("at"),
-        F.count_if(home).alias("home_total"), F.count_if(~home).alias("away_total"))
+    The decay weight depends only on the season, so every weighted feature
+    (P1, P3, P4) is a sum over these rows — bounded by clubs² x seasons x 2,
+    whatever the number of matches.  Built once per plan: the features that
+    use it share one scan of the matches and one (reused) shuffle."""
+    s = sides(played_df, ["temporada"])
+    gp, gc = F.col("gp"), F.col("gc")
+    return s.groupBy("clube", "adversario", "temporada", "em_casa").agg(
+        F.count_if(gp > gc).alias("v"), F.count_if(gp == gc).alias("e"),
+        F.count_if(gp < gc).alias("d"), F.count(F.lit(1)).alias("n"))
+
+
+# ---- P1 + P4: one per-club feature table -------------------------------------------------------
+
+def club_features(played_df: DataFrame, year: Column, ps: DataFrame | None = None) -> DataFrame:
+    """Every per-club feature of the model from the pair-season counts:
+    decay-weighted home/away rates (P1) and strength of the latest season
+    (P4).  Two small aggregates (club-season, then club) over the
+    pre-aggregate, so the model reads the matches once for all of them."""
+    ps = ps if ps is not None else pair_season(played_df)
+    home = F.col("em_casa")
+
+    def split(c, at_home):
+        return F.sum(F.when(home if at_home else ~home, F.col(c)).otherwise(F.lit(0)))
+    cs = ps.groupBy("clube", "temporada").agg(
+        *[split(c, True).alias("h" + c) for c in ("v", "e", "d", "n")],
+        *[split(c, False).alias("a" + c) for c in ("v", "e", "d", "n")])
+    w = _weight(year)
+
+    def wsum(c):
+        return F.sum(F.col(c) * w)
+    pts = (F.col("hv") + F.col("av")) * 3 + F.col("he") + F.col("ae")
+    agg = cs.groupBy("clube").agg(
+        wsum("hv").alias("hw"), wsum("he").alias("hd"), wsum("hd").alias("hl"), wsum("hn").alias("ht"),
+        wsum("av").alias("aw"), wsum("ae").alias("ad"), wsum("ad").alias("al"), wsum("an").alias("at"),
+        F.sum("hn").alias("home_total"), F.sum("an").alias("away_total"),
+        F.max(F.struct(F.col("temporada").alias("last_year"), pts.alias("pts"),
+                       (F.col("hn") + F.col("an")).alias("games"))).alias("l"))
     ht = F.greatest(F.col("ht"), F.lit(0.001))
     at = F.greatest(F.col("at"), F.lit(0.001))
-    return agg.select(
+    ppg = F.col("l.pts") / F.col("l.games")
+    gap = year - F.col("l.last_year")
+    rec = F.lit(RECENCY_OLDER)
+    for g, f in reversed(RECENCY):
+        rec = F.when(gap == g, F.lit(f)).otherwise(rec)
+    warning = (F.when(gap == 0, F.lit(""))
+                .when(gap == 1, F.concat(F.lit(WARNING_LAST_SEASON), F.col("l.last_year").cast("string")))
+                .otherwise(F.concat(F.lit(WARNING_OUT_SINCE), F.col("l.last_year").cast("string"))))
+    out = agg.select(
         "clube",
         _round1(F.col("hw") / ht * 100).alias("home_pct"),
         _round1(F.col("aw") / at * 100).alias("away_pct"),
@@ -93,7 +127,24 @@ def home_away_stats(played_df: DataFrame, year: Column) -> DataFrame:
         _round_half_up(F.col("hw")).alias("home_w"), _round_half_up(F.col("hd")).alias("home_d"),
         _round_half_up(F.col("hl")).alias("home_l"), _round_half_up(F.col("aw")).alias("away_w"),
         _round_half_up(F.col("ad")).alias("away_d"), _round_half_up(F.col("al")).alias("away_l"),
-        "home_total", "away_total")
+        "home_total", "away_total",
+        (F.least(ppg / 3, F.lit(1.0)) * rec).alias("score"), F.col("l.last_year").alias("last_year"),
+        F.round(ppg, 2).alias("pts_per_game"), F.col("l.games").alias("games"), warning.alias("warning"))
+    stars = F.lit(1)
+    for cut, st in reversed(STARS):
+        stars = F.when(F.col("score") >= cut, F.lit(st)).otherwise(stars)
+    return out.withColumn("stars", stars)
+
+
+HOME_AWAY_COLUMNS = ["clube", "home_pct", "away_pct", "home_draw_pct", "away_draw_pct", "home_w", "home_d",
+                     "home_l", "away_w", "away_d", "away_l", "home_total", "away_total"]
+STRENGTH_COLUMNS = ["clube", "score", "last_year", "pts_per_game", "games", "warning", "stars"]
+
+
+def home_away_stats(played_df: DataFrame, year: Column, ps: DataFrame | None = None) -> DataFrame:
+    """Decay-weighted home and away win/draw % per club (1 decimal),
+    rounded weighted counts and raw game counts."""
+    return club_features(played_df, year, ps).select(*HOME_AWAY_COLUMNS)
 
 
 # ---- P2 -------------------------------------------------------------------------------------
@@ -124,28 +175,26 @@ def recent_form(played_df: DataFrame, n: int) -> DataFrame:
 
 # ---- P3 -------------------------------------------------------------------------------------
 
-def weighted_h2h(played_df: DataFrame, year: Column, mando: str = "todos") -> DataFrame:
+def weighted_h2h(played_df: DataFrame, year: Column, mando: str = "todos",
+                 ps: DataFrame | None = None) -> DataFrame:
     """Per ordered pair (clube1, clube2) that met: decay-weighted shares of
     clube1 win / draw / clube2 win, total weight (0 -> 1), and raw counts.
 
     ``mando``: ``todos`` all meetings; ``t1_casa`` only with clube1 at home;
     ``t2_casa`` only with clube2 at home.
     """
-    s = sides(played_df, ["temporada"])
+    ps = ps if ps is not None else pair_season(played_df)
     if mando == "t1_casa":
-        s = s.filter(F.col("em_casa"))
+        ps = ps.filter(F.col("em_casa"))
     elif mando == "t2_casa":
-        s = s.filter(~F.col("em_casa"))
+        ps = ps.filter(~F.col("em_casa"))
     elif mando != "todos":
         raise ValueError(f"unknown mando {mando!r}")
-    s = s.withColumn("w", _weight(year))
-    gp, gc, w = F.col("gp"), F.col("gc"), F.col("w")
-    agg = s.groupBy(F.col("clube").alias("clube1"), F.col("adversario").alias("clube2")).agg(
-        F.sum(F.when(gp > gc, w).otherwise(F.lit(0.0))).alias("w1"),
-        F.sum(F.when(gp == gc, w).otherwise(F.lit(0.0))).alias("wd"),
-        F.sum(F.when(gp < gc, w).otherwise(F.lit(0.0))).alias("w2"),
-        F.count(F.lit(1)).alias("total"),
-        F.count_if(gp > gc).alias("vit1"), F.count_if(gp < gc).alias("vit2"))
+    w = _weight(year)
+    agg = ps.groupBy(F.col("clube").alias("clube1"), F.col("adversario").alias("clube2")).agg(
+        F.sum(F.col("v") * w).alias("w1"), F.sum(F.col("e") * w).alias("wd"),
+        F.sum(F.col("d") * w).alias("w2"), F.sum("n").alias("total"),
+        F.sum("v").alias("vit1"), F.sum("d").alias("vit2"))
     tw = F.col("w1") + F.col("w2") + F.col("wd")
     tw = F.when(tw == 0, F.lit(1.0)).otherwise(tw)
     return agg.select("clube1", "clube2",
@@ -156,33 +205,10 @@ def weighted_h2h(played_df: DataFrame, year: Column, mando: str = "todos") -> Da
 
 # ---- P4 -------------------------------------------------------------------------------------
 
-def team_strength(played_df: DataFrame, year: Column) -> DataFrame:
-    """Points per game in the club's latest season / 3 (cap 1) x recency
+def team_strength(played_df: DataFrame, year: Column, ps: DataFrame | None = None) -> DataFrame:
+    """Points per game in the club's latest season / 3 (cap 1) x recency
     factor; warning text; 1-5 stars."""
-    s = sides(played_df, ["temporada"])
-    gp, gc = F.col("gp"), F.col("gc")
-    per_season = s.groupBy("clube", "temporada").agg(
-        F.sum(F.when(gp > gc, 3).when(gp == gc, 1).otherwise(0)).alias("pts"),
-        F.count(F.lit(1)).alias("games"))
-    last = (per_season.groupBy("clube")
-            .agg(F.max(F.struct("temporada", "pts", "games")).alias("l"))
-            .select("clube", F.col("l.temporada").alias("last_year"), F.col("l.pts").alias("pts"),
-                    F.col("l.games").alias("games")))
-    ppg = F.col("pts") / F.col("games")
-    gap = year - F.col("last_year")
-    rec = F.lit(RECENCY_OLDER)
-    for g, f in reversed(RECENCY):
-        rec = F.when(gap == g, F.lit(f)).otherwise(rec)
-    score = F.least(ppg / 3, F.lit(1.0)) * rec
-    stars = F.lit(1)
-    for cut, st in reversed(STARS):
-        stars = F.when(F.col("score") >= cut, F.lit(st)).otherwise(stars)
-    warning = (F.when(gap == 0, F.lit(""))
-                .when(gap == 1, F.concat(F.lit(WARNING_LAST_SEASON), F.col("last_year").cast("string")))
-                .otherwise(F.concat(F.lit(WARNING_OUT_SINCE), F.col("last_year").cast("string"))))
-    return (last.select("clube", score.alias("score"), "last_year", F.round(ppg, 2).alias("pts_per_game"),
-                        "games", warning.alias("warning"))
-            .withColumn("stars", stars))
+    return club_features(played_df, year, ps).select(*STRENGTH_COLUMNS)
 
 
 def strength_for(clubs: DataFrame, strength: DataFrame) -> DataFrame:
@@ -211,10 +237,10 @@ def match_probabilities(fixtures: DataFrame, partidas: DataFrame, mando: str = "
     form_n, h2h_w = ELENCO[elenco]
     p = played(partidas)
     year = year if year is not None else max_year(partidas)
-    h2h = weighted_h2h(p, year, mando)
+    ps = pair_season(p)
+    h2h = weighted_h2h(p, year, mando, ps)
     form = recent_form(p, form_n)
-    stats = home_away_stats(p, year)
-    strength = team_strength(p, year)
+    feats = club_features(p, year, ps)
 
     def feat(df: DataFrame, side: str, cols: list[str]) -> DataFrame:
         return df.select(F.col("clube").alias(side), *[F.col(c).alias(f"{c}_{side[-1]}") for c in cols])
@@ -222,10 +248,10 @@ def match_probabilities(fixtures: DataFrame, partidas: DataFrame, mando: str = "
     j = (fixtures.join(h2h, ["clube1", "clube2"], "left")
          .join(feat(form, "clube1", ["wins", "draws", "losses"]), "clube1", "left")
          .join(feat(form, "clube2", ["wins", "draws", "losses"]), "clube2", "left")
-         .join(feat(stats, "clube1", ["home_pct", "away_pct", "home_draw_pct", "away_draw_pct"]), "clube1", "left")
-         .join(feat(stats, "clube2", ["home_pct", "away_pct", "home_draw_pct", "away_draw_pct"]), "clube2", "left")
-         .join(feat(strength, "clube1", ["score"]), "clube1", "left")
-         .join(feat(strength, "clube2", ["score"]), "clube2", "left"))
+         .join(feat(feats, "clube1", ["home_pct", "away_pct", "home_draw_pct", "away_draw_pct", "score"]),
+               "clube1", "left")
+         .join(feat(feats, "clube2", ["home_pct", "away_pct", "home_draw_pct", "away_draw_pct", "score"]),
+               "clube2", "left"))
 
     def z(c):
         return F.coalesce(F.col(c), F.lit(0))

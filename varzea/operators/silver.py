@@ -134,10 +134,11 @@ def canonical_club(name: Column, aliases: dict[str, str] | None = None) -> Colum
 
 
 def canonical_clubs(df: DataFrame, cols: list[str], alias_dim: DataFrame) -> DataFrame:
-    """T12 with a user alias table ``(alias, canonical)`` — a dimension the
-    caller guarantees small (it lists club names); broadcast left join per
-    column + coalesce."""
-    dim = F.broadcast(alias_dim.select(F.col("alias").alias("_alias"), F.col("canonical").alias("_canon")))
+    """T12 with a user alias table ``(alias, canonical)``: left join per
+    column + coalesce.  The table's size is the caller's, so the join
+    strategy is left to the planner's size check (AQE broadcasts it when its
+    measured size is small)."""
+    dim = alias_dim.select(F.col("alias").alias("_alias"), F.col("canonical").alias("_canon"))
     for c in cols:
         df = (df.join(dim, F.col(c) == F.col("_alias"), "left")
               .withColumn(c, F.coalesce(F.col("_canon"), F.col(c))).drop("_alias", "_canon"))
