@@ -62,9 +62,11 @@ def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column])
 
 def with_seq(df: DataFrame, batch: int, position: Column | None = None) -> DataFrame:
     """Tag a batch with ``_seq = (batch, position)``; later batches win.
-    Position defaults to a monotonically increasing id (file order within the
-    batch)."""
-    pos = position if position is not None else F.monotonically_increasing_id()
+    ``position`` orders rows inside a batch (e.g. the element index from
+    ``posexplode`` of a document).  It defaults to 0: duplicates inside one
+    batch are then resolved by the rows' own values, which stays the same
+    when a lost task is recomputed (a generated row id would not)."""
+    pos = position if position is not None else F.lit(0)
     return df.withColumn(SEQ, F.struct(F.lit(batch).cast("long").alias("batch"), pos.cast("long").alias("pos")))
 
 
@@ -112,3 +114,16 @@ def update_season(existing: DataFrame, fixtures: DataFrame, season: int,
     new = (changed_fixtures(fx, last, finished)
            .withColumn("temporada", F.lit(season).cast("int")).withColumn("fonte", F.lit(fonte)))
     return upsert(with_seq(cur, 0, F.lit(0)), with_seq(new, 1, F.lit(0)), TABLE_KEYS["partidas"])
+
+
+def dedup_matches(partidas: DataFrame, prefer: Sequence[str] = ("sofascore", "api_football", "historico_csv")) -> DataFrame:
+    """Optional (off by default in the pipeline): one row per (season, round,
+    home, away) when two sources filed the same match under different id
+    spaces.  A source earlier in ``prefer`` wins, then the higher match id.
+    An aggregate, so a hot key is combined map-side."""
+    rank = F.lit(len(prefer))
+    for i, src in reversed(list(enumerate(prefer))):
+        rank = F.when(F.col("fonte") == src, F.lit(i)).otherwise(rank)
+    keyed = partidas.withColumn("_pref", -rank)
+    out = last_wins(keyed, ["temporada", "rodada", "mandante", "visitante"], ["_pref", "partida_id"])
+    return out.drop("_pref")

@@ -242,10 +242,16 @@ def ranking_zonas(classif: DataFrame, temporada: int) -> DataFrame:
                         .when(p >= ZONE_RANK_RELEGATION, "Rebaixamento").otherwise(""))
 
 
-def campeao_vs_vice(classif: DataFrame) -> DataFrame:
-    """Q25: champion vs runner-up points gap per season (rank; a tie at the
-    top leaves no rank 2 and the season drops out, as in the source)."""
-    r = F.rank().over(Window.partitionBy("temporada").orderBy(F.col("pontos").desc()))
+def campeao_vs_vice(classif: DataFrame, rank_fn: str = "rank") -> DataFrame:
+    """Q25: champion vs runner-up points gap per season.  ``rank`` (the
+    source): a tie at the top leaves no rank 2 and the season drops out;
+    ``row_number``: always one champion and one runner-up (ties broken by
+    goal difference, goals for, club name)."""
+    if rank_fn == "row_number":
+        r = F.row_number().over(Window.partitionBy("temporada").orderBy(
+            F.col("pontos").desc(), F.col("saldo_gols").desc(), F.col("gols_pro").desc(), F.col("clube")))
+    else:
+        r = F.rank().over(Window.partitionBy("temporada").orderBy(F.col("pontos").desc()))
     ranked = classif.select("temporada", "clube", "pontos", r.alias("pos"))
     c = ranked.filter(F.col("pos") == 1).select("temporada", F.col("clube").alias("campeao"),
                                                  F.col("pontos").alias("pts_campeao"))

@@ -210,3 +210,36 @@ register("u05_update_season", U05_SQL)(
 
 # the notebook analyses register themselves on import
 from varzea.plans import registry_legacy  # noqa: E402,F401
+
+# ---- optional duplicate-match merge and provider standings (G5 modes) ---------------------------
+from varzea.operators.gold import classificacao_historica as _classif  # noqa: E402
+from varzea.plans import queries as _Q  # noqa: E402
+
+register("u02_dedup_matches", q("""
+SELECT partida_id, temporada, rodada, data, mandante, visitante, estado_mandante, estado_visitante,
+       gols_mandante, gols_visitante, status, arena, fonte, vencedor FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY temporada, rodada, mandante, visitante
+                               ORDER BY partida_id DESC) AS rn FROM partidas) t
+WHERE rn = 1"""))(lambda lk: U.dedup_matches(lk.partidas))
+
+register("g05b_classificacao_api_replace", q("""
+SELECT * FROM classificacao_historica WHERE temporada IN (2000, 2001)"""))(
+    lambda lk: _classif(lk.partidas, lk.classificacao_api((2000, 2001)), "replace"))
+
+register("g05c_classificacao_api_prefer", q("""
+SELECT temporada, clube, jogos, vitorias, empates, derrotas,
+       CASE WHEN temporada = 2000 THEN pontos + 100 ELSE pontos END AS pontos,
+       gols_pro, gols_contra, saldo_gols, posicao
+FROM classificacao_historica"""))(
+    lambda lk: _classif(lk.partidas, lk.classificacao_api((2000,)).withColumn("pontos", F.col("pontos") + 100),
+                        "prefer"))
+
+register("q25b_campeao_vs_vice_row_number", q("""
+SELECT c.temporada, c.clube AS campeao, c.pontos AS pts_campeao, v.clube AS vice, v.pontos AS pts_vice,
+       c.pontos - v.pontos AS diferenca
+FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY temporada ORDER BY pontos DESC, saldo_gols DESC, gols_pro DESC, clube) AS pos
+      FROM classificacao_historica) c
+JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY temporada ORDER BY pontos DESC, saldo_gols DESC, gols_pro DESC, clube) AS pos
+      FROM classificacao_historica) v
+  ON c.temporada = v.temporada AND c.pos = 1 AND v.pos = 2"""))(
+    lambda lk: _Q.campeao_vs_vice(gold_of(lk)["classificacao_historica"], "row_number"))
