@@ -131,3 +131,19 @@ def test_build_all(spark, tmp_dir):
     assert spark.table("v_campeoes").count() == 7
     meta = spark.read.json(os.path.join(out["json"], "temporadas_meta"))
     assert meta.count() == 7
+
+
+def test_bucketed_catalog_join_without_shuffle(spark, lake):
+    from varzea.plans.queries import medias_estatisticas
+    K.publish_catalog(spark, {"partidas": lake.partidas, "estatisticas": lake.estatisticas}, "varzea_b",
+                      bucket_by=K.MATCH_BUCKETS, buckets=8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        q = medias_estatisticas(spark.table("varzea_b.estatisticas"), spark.table("varzea_b.partidas"))
+        plan = q._jdf.queryExecution().executedPlan().toString()
+        # the join reads co-located buckets; the only exchange is the final aggregate's
+        assert "SortMergeJoin" in plan
+        assert plan.count("Exchange hashpartitioning") == 1
+        assert q.count() == 7
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -40,16 +40,29 @@ def publish(tables: dict[str, DataFrame], dest: str) -> dict[str, int]:
     return {name: write_table(df, f"{dest.rstrip('/')}/{name}") for name, df in tables.items()}
 
 
+# Match-keyed tables: bucketed by match id with the same bucket count, so
+# joins between them on ``partida_id`` read co-located buckets (no shuffle).
+MATCH_BUCKETS = {"partidas": ["partida_id"], "estatisticas": ["partida_id"], "gols": ["partida_id"],
+                 "cartoes": ["partida_id"], "escalacoes": ["partida_id"], "campeonato_historico": ["partida_id"]}
+
+
 def publish_catalog(spark: SparkSession, tables: dict[str, DataFrame], database: str = "varzea",
-                    partition_by: dict[str, list[str]] | None = None) -> list[str]:
+                    partition_by: dict[str, list[str]] | None = None,
+                    bucket_by: dict[str, list[str]] | None = None, buckets: int = 64) -> list[str]:
     """K5: replace the served tables in a Spark database (the source loads a
-    MySQL server; season partitioning stands in for its indexes).  A JDBC
-    target is ``df.write.jdbc(...)`` on the same frames."""
+    MySQL server; season partitioning and match-id bucketing stand in for its
+    indexes).  ``bucket_by`` (e.g. ``MATCH_BUCKETS``) writes the named tables
+    bucketed and sorted by those columns with ``buckets`` buckets; size the
+    count so one bucket file stays around 128-512 MB.  A JDBC target is
+    ``df.write.jdbc(...)`` on the same frames."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name, df in tables.items():
         w = df.write.mode("overwrite").format("parquet")
         cols = (partition_by or {}).get(name)
         if cols:
             w = w.partitionBy(*cols)
+        bcols = (bucket_by or {}).get(name)
+        if bcols:
+            w = w.bucketBy(buckets, *bcols).sortBy(*bcols)
         w.saveAsTable(f"{database}.{name}")
     return sorted(tables)
