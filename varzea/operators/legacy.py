@@ -102,13 +102,19 @@ def wins_by_state(df: DataFrame) -> DataFrame:
     return df.groupBy(_q("Vencedor Estado").alias("estado")).agg(F.count(F.lit(1)).alias("partidas"))
 
 
-def goal_histogram(df: DataFrame, side: str = "home", bins: int = 50) -> DataFrame:
+def goal_histogram(df: DataFrame, side: str = "home", bins: int = 50, by: str = "estado") -> DataFrame:
     """Histogram of the winner's goals when the winning side's state is
-    the winner's state (home: ``C1 Estado``/``p1``; away: ``C2``/``p2``).
+    the winner's state (home: ``C1 Estado``/``p1``; away: ``C2``/``p2``) —
+    the notebook's rule, under which a same-state game counts for both sides.
+    ``by="clube"`` selects on the winning club instead (home win / away win).
     Equal-width bins over [min, max] as a plotting library draws them; the
     bounds come from a scalar subquery, the counts from one aggregate."""
-    st, g = ("C1 Estado", "p1") if side == "home" else ("C2 Estado", "p2")
-    f = df.filter(_q(st) == _q("Vencedor Estado")).select(_q(g).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    st, club, g = ("C1 Estado", C1, "p1") if side == "home" else ("C2 Estado", C2, "p2")
+    if by == "clube":
+        cond = F.lower(F.trim(_q(club))) == F.lower(F.trim(_q(WIN)))
+    else:
+        cond = _q(st) == _q("Vencedor Estado")
+    f = df.filter(cond).select(_q(g).cast("double").alias("v")).filter(F.col("v").isNotNull())
     bounds = f.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
     lo_raw, hi_raw = bounds.getField("lo"), bounds.getField("hi")
     same = lo_raw == hi_raw

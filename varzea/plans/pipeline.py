@@ -94,8 +94,9 @@ def build_gold_tables(lk: Lake, dest: str | None = None) -> tuple[str, dict[str,
     counts = {}
     for name in ["campeonato_historico", "artilharia_historica", "desempenho_clubes", "fair_play",
                  "classificacao_historica"]:
-        counts[name] = write_table(gold[name], f"{dest}/{name}",
-                                   partition_by=["temporada"] if name == "campeonato_historico" else None)
+        hist = name == "campeonato_historico"
+        counts[name] = write_table(gold[name], f"{dest}/{name}", partition_by=["temporada"] if hist else None,
+                                   sort_within=["rodada", "partida_id"] if hist else None)
     # G6 reads G5 from its written folder, as the source does
     from varzea.operators.gold import rebaixamento_acesso
     classif = lk.spark.read.parquet(f"{dest}/classificacao_historica")

@@ -91,6 +91,10 @@ register("n06_goal_histogram_casa", with_ctes(_LEGACY, _HIST.format(g="p1", st="
 register("n06b_goal_histogram_fora", with_ctes(_LEGACY, _HIST.format(g="p2", st="C2 Estado")))(
     lambda lk: N.goal_histogram(_with_states(lk), "away", 50))
 
+register("n06c_goal_histogram_clube", with_ctes(_LEGACY, _HIST.format(g="p1", st="C1 Estado").replace(
+    '"C1 Estado" = "Vencedor Estado"', 'lower(trim("Clube 1")) = lower(trim("Vencedor"))')))(
+    lambda lk: N.goal_histogram(_with_states(lk), "home", 50, by="clube"))
+
 register("n07_goals_by_weekday", with_ctes(_LEGACY, """
 SELECT "Dia" AS dia, p1, COUNT(*) AS partidas FROM with_states WHERE "C1 Estado" = "Vencedor Estado" GROUP BY "Dia", p1"""))(
     lambda lk: N.goals_by_weekday(_with_states(lk)))

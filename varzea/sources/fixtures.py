@@ -40,7 +40,7 @@ class Lake:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
     # -- matches ---------------------------------------------------------------
-    def _club_dim(self, key: str, club: str, state: str) -> DataFrame:
+    def _club_dim(self, club: str, state: str) -> DataFrame:
         nation = self.raw("nation")
         region = self.raw("region")
         nr = F.broadcast(nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
@@ -59,11 +59,11 @@ class Lake:
                                          "l_quantity", "l_shipdate", "l_extendedprice")
         o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderdate")
         home = (self.raw("customer").select("c_custkey", "c_nationkey")
-                .join(self._club_dim("c", "mandante", "estado_mandante"),
+                .join(self._club_dim("mandante", "estado_mandante"),
                       F.col("c_nationkey") == F.col("n_nationkey"))
                 .select("c_custkey", "mandante", "estado_mandante"))
         away = (self.raw("supplier").select("s_suppkey", "s_nationkey")
-                .join(self._club_dim("s", "visitante", "estado_visitante"),
+                .join(self._club_dim("visitante", "estado_visitante"),
                       F.col("s_nationkey") == F.col("n_nationkey"))
                 .select("s_suppkey", "visitante", "estado_visitante"))
         lines = li.join(away, li.l_suppkey == away.s_suppkey)
