@@ -74,20 +74,21 @@ def export_temporadas_meta(campeonato: DataFrame) -> DataFrame:
         F.count(gm).alias("partidas_disputadas"))
 
 
-# Export names and their row order in the written files.
+# Export names and their row order in the written files
+# (nulls last in both directions, as the source's engine orders them).
 EXPORT_ORDER = {
-    "classificacao": ["temporada DESC", "pontos DESC"],
-    "campeoes": ["temporada DESC"],
-    "partidas_resumo": ["temporada DESC", "rodada", "data"],
-    "artilharia": ["temporada DESC", "gols DESC"],
-    "fair_play": ["temporada DESC", "pontos_fair_play DESC"],
-    "desempenho_clubes": ["temporada DESC"],
-    "rebaixamento_acesso": ["temporada DESC", "posicao"],
-    "gols": ["temporada DESC", "partida_id", "minuto"],
-    "cartoes": ["temporada DESC", "partida_id", "minuto"],
-    "estatisticas": ["temporada DESC", "partida_id"],
-    "clubes": ["clube"],
-    "temporadas_meta": ["temporada DESC"],
+    "classificacao": ["temporada DESC NULLS LAST", "pontos DESC NULLS LAST"],
+    "campeoes": ["temporada DESC NULLS LAST"],
+    "partidas_resumo": ["temporada DESC NULLS LAST", "rodada ASC NULLS LAST", "data ASC NULLS LAST"],
+    "artilharia": ["temporada DESC NULLS LAST", "gols DESC NULLS LAST"],
+    "fair_play": ["temporada DESC NULLS LAST", "pontos_fair_play DESC NULLS LAST"],
+    "desempenho_clubes": ["temporada DESC NULLS LAST"],
+    "rebaixamento_acesso": ["temporada DESC NULLS LAST", "posicao ASC NULLS LAST"],
+    "gols": ["temporada DESC NULLS LAST", "partida_id ASC NULLS LAST", "minuto ASC NULLS LAST"],
+    "cartoes": ["temporada DESC NULLS LAST", "partida_id ASC NULLS LAST", "minuto ASC NULLS LAST"],
+    "estatisticas": ["temporada DESC NULLS LAST", "partida_id ASC NULLS LAST"],
+    "clubes": ["clube ASC NULLS LAST"],
+    "temporadas_meta": ["temporada DESC NULLS LAST"],
 }
 
 
