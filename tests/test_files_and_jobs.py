@@ -81,8 +81,14 @@ def test_sinks(spark, lake, tmp_dir):
     again = spark.read.parquet(path)
     assert again.count() == n and again.filter("fonte = 'novo'").count() == one.count()
     K.export_json(p.select("partida_id", "data"), os.path.join(tmp_dir, "json"), ["partida_id DESC"])
-    first = spark.read.json(os.path.join(tmp_dir, "json")).first()
-    assert len(first.data) == 10
+    back = spark.read.json(os.path.join(tmp_dir, "json"))
+    assert len(back.first().data) == 10
+    # one ordered file set: the first line of the first part file holds the highest id
+    d = os.path.join(tmp_dir, "json")
+    part = sorted(f for f in os.listdir(d) if f.startswith("part-") and os.path.getsize(os.path.join(d, f)))[0]
+    with open(os.path.join(d, part)) as fh:
+        first_id = json.loads(fh.readline())["partida_id"]
+    assert first_id == p.agg(F.max("partida_id")).first()[0]
     counts = K.publish({"a": p.limit(3)}, os.path.join(tmp_dir, "pub"))
     assert counts == {"a": 3}
     K.publish_catalog(spark, {"clubes": p.select("mandante").distinct()}, "varzea_test")

@@ -26,12 +26,24 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return int(obs.get["rows"])
 
 
+def sort_column(spec: str):
+    """``"col [ASC|DESC] [NULLS FIRST|LAST]"`` -> a sort Column (default
+    ascending, nulls last)."""
+    words = spec.split()
+    col, rest = F.col(words[0]), [w.upper() for w in words[1:]]
+    desc = "DESC" in rest
+    nulls_first = "FIRST" in rest
+    if desc:
+        return col.desc_nulls_first() if nulls_first else col.desc_nulls_last()
+    return col.asc_nulls_first() if nulls_first else col.asc_nulls_last()
+
+
 def export_json(df: DataFrame, path: str, order: list[str] | None = None) -> None:
     """K3: JSON Lines export, dates as ISO text.  ``order`` ("col DESC")
     gives the row order inside the files (a range-partitioned sort)."""
     out = df
     if order:
-        out = out.orderBy(*[F.expr(o) for o in order])
+        out = out.orderBy(*[sort_column(o) for o in order])
     out.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").json(path)
 
 
