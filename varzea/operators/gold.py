@@ -46,11 +46,18 @@ def campeonato_historico(partidas: DataFrame) -> DataFrame:
         *([F.col("fonte")] if "fonte" in partidas.columns else []))
 
 
-_PEN = "(lower(tipo_de_gol) LIKE '%penalty%' OR lower(tipo_de_gol) LIKE '%penalti%')"
-_OWN = "lower(tipo_de_gol) LIKE '%contra%'"
-_OWN_AI = "lower(translate(tipo_de_gol, 'ÁÀÂÃÉÊÍÓÔÕÚÇáàâãéêíóôõúç', 'AAAAEEIOOOUCaaaaeeiooouc')) LIKE '%contra%'"
-_PEN_AI = ("(lower(translate(tipo_de_gol, 'ÁÀÂÃÉÊÍÓÔÕÚÇáàâãéêíóôõúç', 'AAAAEEIOOOUCaaaaeeiooouc')) LIKE '%penalty%' "
-           "OR lower(translate(tipo_de_gol, 'ÁÀÂÃÉÊÍÓÔÕÚÇáàâãéêíóôõúç', 'AAAAEEIOOOUCaaaaeeiooouc')) LIKE '%penalti%')")
+# Accented letters folded by the accent-insensitive option.
+ACCENTED = "ÁÀÂÃÉÊÍÓÔÕÚÇáàâãéêíóôõúç"
+UNACCENTED = "AAAAEEIOOOUCaaaaeeiooouc"
+
+
+def _goal_type_flags(accent_insensitive: bool) -> tuple:
+    t = F.lower(F.col("tipo_de_gol"))
+    if accent_insensitive:
+        t = F.lower(F.translate(F.col("tipo_de_gol"), ACCENTED, UNACCENTED))
+    penalty = t.like("%penalty%") | t.like("%penalti%")
+    own = t.like("%contra%")
+    return penalty, own
 
 
 def artilharia_historica(gols: DataFrame, accent_insensitive: bool = False) -> DataFrame:
@@ -58,14 +65,13 @@ def artilharia_historica(gols: DataFrame, accent_insensitive: bool = False) -> D
     goal.  Own goals are filtered out first, so ``gols_contra`` is 0 (kept
     for the published schema).  ``accent_insensitive`` also matches
     ``Pênalti``."""
-    pen, own = (_PEN_AI, _OWN_AI) if accent_insensitive else (_PEN, _OWN)
+    pen, own = _goal_type_flags(accent_insensitive)
     tipo = F.col("tipo_de_gol")
-    g = gols.filter(F.col("atleta").isNotNull() & (F.col("atleta") != "")
-                    & (tipo.isNull() | ~F.expr(own)))
+    g = gols.filter(F.col("atleta").isNotNull() & (F.col("atleta") != "") & (tipo.isNull() | ~own))
     return (g.groupBy("temporada", "atleta", "clube")
              .agg(F.count(F.lit(1)).alias("total_gols"),
-                  F.count_if(tipo.isNotNull() & F.expr(pen)).alias("penaltis"),
-                  F.count_if(tipo.isNotNull() & F.expr(own)).alias("gols_contra")))
+                  F.count_if(tipo.isNotNull() & pen).alias("penaltis"),
+                  F.count_if(tipo.isNotNull() & own).alias("gols_contra")))
 
 
 def desempenho_clubes(partidas: DataFrame) -> DataFrame:
