@@ -153,3 +153,61 @@ def test_bucketed_catalog_join_without_shuffle(spark, lake):
         assert q.count() == 7
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_silver_from_csv_job(spark, lake, tmp_dir):
+    from varzea.plans.pipeline import build_silver_from_csv
+    root = os.path.join(tmp_dir, "csv")
+    FD.dirty_match_rows(lake.partidas).write.option("header", True).csv(f"{root}/partidas")
+    FD.dirty_stats_rows(lake.estatisticas).write.option("header", True).csv(f"{root}/estatisticas")
+    FD.dirty_goal_rows(lake.gols, with_type=False).write.option("header", True).csv(f"{root}/gols")
+    FD.dirty_card_rows(lake.cartoes).write.option("header", True).csv(f"{root}/cartoes")
+    dest, counts = build_silver_from_csv(spark, root, os.path.join(tmp_dir, "silver"))
+    assert counts == {"partidas": lake.partidas.count(), "estatisticas": lake.estatisticas.count(),
+                      "gols": lake.gols.count(), "cartoes": lake.cartoes.count()}
+    g = spark.read.parquet(f"{dest}/gols")
+    assert g.filter("tipo_de_gol IS NOT NULL").count() == 0
+    matched = g.join(lake.partidas.select("partida_id"), "partida_id").count()
+    assert g.filter("temporada IS NOT NULL").count() == matched
+
+
+def test_ingest_season_provider_a(spark, lake, tmp_dir):
+    from varzea.plans.pipeline import build_silver
+    from varzea.streaming.refresh import ingest_season
+    silver, _ = build_silver(lake, os.path.join(tmp_dir, "silver"))
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    season = 2001
+    p = lake.partidas.filter(f"temporada = {season}")
+    fixtures = [json.loads(r.payload)["response"][0] for r in FD.fixture_docs(p).collect()]
+    with open(os.path.join(landing, f"fixtures__league71_season{season}.json"), "w") as f:
+        json.dump({"response": fixtures}, f)
+    done = p.filter("status = 'finished'").orderBy("partida_id").limit(2).collect()
+    for m in done:
+        stats = {"response": [{"team": {"name": club}, "statistics": [
+            {"type": "Total Shots", "value": 99}, {"type": "Ball Possession", "value": "50%"}]}
+            for club in (m.mandante, m.visitante)]}
+        events = {"response": [{"team": {"name": m.mandante}, "player": {"id": 1, "name": "Novo"},
+                                "time": {"elapsed": 12}, "type": "Goal", "detail": "Normal Goal"}]}
+        lineups = {"response": [{"team": {"name": m.mandante}, "coach": {"name": "T"}, "formation": "4-4-2",
+                                 "startXI": [{"player": {"name": "Novo", "number": 9, "pos": "F"}}],
+                                 "substitutes": []}]}
+        for ep, doc in [("fixtures_statistics", stats), ("fixtures_events", events), ("fixtures_lineups", lineups)]:
+            with open(os.path.join(landing, f"{ep}__fixture{m.partida_id}.json"), "w") as f:
+                json.dump(doc, f)
+    from varzea.operators.gold import classificacao_historica
+    std = FD.standings_docs(classificacao_historica(lake.partidas).filter(f"temporada = {season}")).first()
+    with open(os.path.join(landing, f"standings__league71_season{season}.json"), "w") as f:
+        f.write(std.payload)
+    before_2000 = spark.read.parquet(f"{silver}/estatisticas").filter("temporada = 2000").count()
+    out = ingest_season(spark, landing, silver, season, os.path.join(tmp_dir, "stage"))
+    assert out["partidas"] == p.count()
+    est = spark.read.parquet(f"{silver}/estatisticas")
+    ids = [m.partida_id for m in done]
+    new_stats = est.filter(F.col("partida_id").isin(ids))
+    assert new_stats.count() == 4 and new_stats.filter("fonte = 'api_football' AND chutes = 99").count() == 4
+    assert est.filter("temporada = 2000").count() == before_2000
+    g = spark.read.parquet(f"{silver}/gols").filter("atleta = 'Novo'")
+    assert g.count() == 2 and g.filter(f"temporada = {season} AND tipo_de_gol = 'Normal'").count() == 2
+    assert spark.read.parquet(f"{silver}/escalacoes").filter("atleta = 'Novo' AND titular").count() == 2
+    assert spark.read.parquet(f"{silver}/classificacao").count() == out["classificacao"] > 0

@@ -19,7 +19,8 @@ from varzea.sources.fixtures import Lake
 from varzea.sources.sinks import export_json, write_table
 
 SILVER_TABLES = ["partidas_bruto", "partidas", "gols", "cartoes", "estatisticas", "escalacoes"]
-PARTITION_BY = {"partidas": ["temporada"], "partidas_bruto": ["temporada"]}
+# every silver table is partitioned by season: a refresh rewrites one season folder
+PARTITION_BY = {t: ["temporada"] for t in SILVER_TABLES + ["classificacao"]}
 
 
 def build_silver(lk: Lake, dest: str | None = None) -> tuple[str, dict[str, int]]:
@@ -45,9 +46,30 @@ def build_silver(lk: Lake, dest: str | None = None) -> tuple[str, dict[str, int]
          .alias("vencedor"))
     counts["partidas"] = write_table(partidas, f"{dest}/partidas", partition_by=PARTITION_BY["partidas"])
     staged = SilverLake(lk.spark, dest, lk.root)
-    counts["estatisticas"] = write_table(Lake.estatisticas.func(staged), f"{dest}/estatisticas")
+    counts["estatisticas"] = write_table(Lake.estatisticas.func(staged), f"{dest}/estatisticas",
+                                         partition_by=PARTITION_BY["estatisticas"])
     for name in ["gols", "cartoes", "escalacoes"]:
-        counts[name] = write_table(getattr(lk, name), f"{dest}/{name}")
+        counts[name] = write_table(getattr(lk, name), f"{dest}/{name}", partition_by=PARTITION_BY[name])
+    return dest, counts
+
+
+def build_silver_from_csv(spark: SparkSession, csv_root: str, dest: str | None = None,
+                          sep: str = ",") -> tuple[str, dict[str, int]]:
+    """The historical CSV path (T7-T11): ``csv_root/{partidas,estatisticas,
+    gols,cartoes}/*.csv`` in any of the accepted encodings.  Matches are
+    written first; the other tables take their season from the written
+    matches (T11), as the source orders its transforms."""
+    from varzea.operators import silver as S
+    from varzea.sources.files import read_csv_any
+    dest = dest or scratch_dir(spark, "silver-csv")
+    root = csv_root.rstrip("/")
+    counts = {"partidas": write_table(S.silver_partidas(read_csv_any(spark, f"{root}/partidas", sep=sep)),
+                                      f"{dest}/partidas", partition_by=PARTITION_BY["partidas"])}
+    partidas = spark.read.parquet(f"{dest}/partidas")
+    for name, fn in [("estatisticas", S.silver_estatisticas), ("gols", S.silver_gols),
+                     ("cartoes", S.silver_cartoes)]:
+        counts[name] = write_table(fn(read_csv_any(spark, f"{root}/{name}", sep=sep), partidas),
+                                   f"{dest}/{name}", partition_by=PARTITION_BY[name])
     return dest, counts
 
 

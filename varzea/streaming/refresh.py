@@ -107,4 +107,66 @@ def backfill_events(gols: DataFrame, cartoes: DataFrame, incidents_raw: DataFram
     return g, c
 
 
-__all__ = ["SEQ", "backfill_events", "conform", "refresh_stream", "run_update_season"]
+__all__ = ["SEQ", "backfill_events", "conform", "ingest_season", "merge_season", "refresh_stream",
+           "run_update_season"]
+
+
+def merge_season(spark: SparkSession, table_dir: str, new_rows: DataFrame, keys: list[str], season: int,
+                 staging: str) -> int:
+    """Last-wins merge of ``new_rows`` into one season folder of a
+    season-partitioned table (created when absent); returns the season's
+    row count."""
+    new = new_rows.filter(F.col("temporada") == season)
+    from pyspark.errors import AnalysisException
+    exists = True
+    try:
+        existing = spark.read.parquet(table_dir)
+    except AnalysisException:  # a missing folder means a new table
+        exists, existing = False, None
+    if exists:
+        cur = existing.filter(F.col("temporada") == season)
+        merged = upsert(with_seq(cur, 0, F.lit(0)), with_seq(new, 1, F.lit(0)), keys)
+        merged = merged.select(*_table_order(existing, merged))
+    else:
+        merged = new
+    return _replace_seasons(spark, merged, table_dir, staging)
+
+
+def ingest_season(spark: SparkSession, landing: str, silver_root: str, season: int,
+                  staging_root: str | None = None) -> dict[str, int]:
+    """U5, complete: one season of provider A payload files (the API cache
+    layout, ``{endpoint}__{params}.json``) merged into the silver tables.
+
+    fixtures -> matches (U3/U4/J1/U1, season folder only); standings ->
+    ``classificacao`` by (season, club); per-fixture statistics / events /
+    line-ups of *finished* fixtures (J10), tagged with season and round from
+    their fixture (J11), merged by the table keys (U2).  Returns the row
+    count of each touched season folder."""
+    from varzea.sources.files import read_payloads
+    root = silver_root.rstrip("/")
+    stage = (staging_root or scratch_dir(spark, f"staging-ingest-{season}")).rstrip("/")
+    raw = read_payloads(spark, landing)
+    prm = F.col("params")
+    fx_raw = (raw.filter((F.col("endpoint") == "fixtures") & (prm["season"] == str(season)))
+              .select(F.lit(season).cast("int").alias("temporada"), "payload"))
+    out = {"partidas": run_update_season(spark, f"{root}/partidas", fx_raw, season, f"{stage}/partidas")}
+    parents = (J.finished(J.flatten_fixtures(fx_raw))
+               .select("partida_id", "temporada", "rodada", "mandante", "visitante"))
+
+    def detail(endpoint: str) -> DataFrame:
+        return (raw.filter(F.col("endpoint") == endpoint)
+                .select(prm["fixture"].cast("bigint").alias("partida_id"), "payload"))
+
+    def tagged(df: DataFrame) -> DataFrame:
+        return J.tag(df, parents, J.FONTE_A)
+
+    stats = tagged(J.flatten_team_stats(detail("fixtures_statistics")))
+    gols, cartoes = J.flatten_events(detail("fixtures_events"))
+    lineups = tagged(J.flatten_lineups(detail("fixtures_lineups")))
+    standings = (J.flatten_standings(raw.filter((F.col("endpoint") == "standings")
+                                                & (prm["season"] == str(season))).select("payload"))
+                 .withColumn("temporada", F.lit(season).cast("int")).withColumn("fonte", F.lit(J.FONTE_A)))
+    for table, df in [("estatisticas", stats), ("gols", tagged(gols)), ("cartoes", tagged(cartoes)),
+                      ("escalacoes", lineups), ("classificacao", standings)]:
+        out[table] = merge_season(spark, f"{root}/{table}", df, TABLE_KEYS[table], season, f"{stage}/{table}")
+    return out
