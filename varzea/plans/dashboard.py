@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varzea.operators import predict as P
-from varzea.operators.sides import sides
 
 
 def kpis(meta: DataFrame) -> DataFrame:

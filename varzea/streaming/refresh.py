@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varzea.operators import payloads as J
-from varzea.operators.upsert import SEQ, TABLE_KEYS, update_season, upsert, with_seq
+from varzea.operators.upsert import TABLE_KEYS, update_season, upsert, with_seq
 from varzea.session import scratch_dir
 
 
@@ -107,7 +107,7 @@ def backfill_events(gols: DataFrame, cartoes: DataFrame, incidents_raw: DataFram
     return g, c
 
 
-__all__ = ["SEQ", "backfill_events", "conform", "ingest_season", "merge_season", "refresh_stream",
+__all__ = ["backfill_events", "conform", "ingest_season", "merge_season", "refresh_stream",
            "run_update_season"]
 
 
