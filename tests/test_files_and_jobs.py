@@ -211,3 +211,45 @@ def test_ingest_season_provider_a(spark, lake, tmp_dir):
     assert g.count() == 2 and g.filter(f"temporada = {season} AND tipo_de_gol = 'Normal'").count() == 2
     assert spark.read.parquet(f"{silver}/escalacoes").filter("atleta = 'Novo' AND titular").count() == 2
     assert spark.read.parquet(f"{silver}/classificacao").count() == out["classificacao"] > 0
+
+
+def test_ingest_season_provider_b(spark, lake, tmp_dir):
+    from varzea.plans.pipeline import build_silver
+    from varzea.streaming.refresh import ingest_season_b
+    silver, _ = build_silver(lake, os.path.join(tmp_dir, "silver"))
+    landing = os.path.join(tmp_dir, "landing_b")
+    os.makedirs(landing)
+    season = 2001
+    p = lake.partidas.filter(f"temporada = {season}")
+    by_round = {}
+    for r in FD.round_docs(p).collect():
+        by_round.setdefault(r.rodada, []).extend(json.loads(r.payload)["events"])
+    for rd, evs in by_round.items():
+        with open(os.path.join(landing, f"round__season{season}_round{rd}.json"), "w") as f:
+            json.dump({"events": evs}, f)
+    done = p.filter("status = 'finished'").orderBy("partida_id").limit(2).collect()
+    for m in done:
+        st = {"statistics": [{"period": "ALL", "groups": [{"statisticsItems": [
+            {"key": "totalShotsOnGoal", "homeValue": "21", "awayValue": "3"}]}]}]}
+        inc = {"incidents": [{"incidentType": "goal", "incidentClass": "penalty", "player": {"name": "Novo"},
+                              "time": 50, "isHome": False},
+                             {"incidentType": "card", "incidentClass": "yellow", "playerName": "Outro", "time": 60}]}
+        lu = {"home": {"formation": "4-3-3", "players": [{"player": {"name": "Novo"}, "substitute": False}]},
+              "away": {"players": [{"player": {"name": "Outro"}, "substitute": True}]}}
+        for ep, doc in [("event_statistics", st), ("event_incidents", inc), ("event_lineups", lu)]:
+            with open(os.path.join(landing, f"{ep}__match{m.partida_id}.json"), "w") as f:
+                json.dump(doc, f)
+    out = ingest_season_b(spark, landing, silver, season, os.path.join(tmp_dir, "stage_b"))
+    assert out["partidas"] == p.count()
+    part = spark.read.parquet(f"{silver}/partidas").filter(f"temporada = {season}")
+    assert part.filter("fonte = 'sofascore'").count() == p.count()
+    est = spark.read.parquet(f"{silver}/estatisticas").filter(F.col("partida_id").isin([m.partida_id for m in done]))
+    shots = {(r.partida_id, r.clube): r.chutes for r in est.collect()}
+    for m in done:
+        assert shots[(m.partida_id, m.mandante)] == 21 and shots[(m.partida_id, m.visitante)] == 3
+    g = spark.read.parquet(f"{silver}/gols").filter("atleta = 'Novo'").collect()
+    assert {(r.partida_id, r.clube, r.tipo_de_gol) for r in g} == {(m.partida_id, m.visitante, "Pênalti") for m in done}
+    c = spark.read.parquet(f"{silver}/cartoes").filter("atleta = 'Outro'").collect()
+    assert {(r.clube, r.cartao) for r in c} == {(m.mandante, "Amarelo") for m in done}
+    e = spark.read.parquet(f"{silver}/escalacoes").filter("atleta IN ('Novo', 'Outro')")
+    assert e.filter("titular").count() == 2 and e.count() == 4

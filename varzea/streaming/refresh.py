@@ -107,7 +107,7 @@ def backfill_events(gols: DataFrame, cartoes: DataFrame, incidents_raw: DataFram
     return g, c
 
 
-__all__ = ["backfill_events", "conform", "ingest_season", "merge_season", "refresh_stream",
+__all__ = ["backfill_events", "conform", "ingest_season", "ingest_season_b", "merge_season", "refresh_stream",
            "run_update_season"]
 
 
@@ -170,3 +170,41 @@ def ingest_season(spark: SparkSession, landing: str, silver_root: str, season: i
                       ("escalacoes", lineups), ("classificacao", standings)]:
         out[table] = merge_season(spark, f"{root}/{table}", df, TABLE_KEYS[table], season, f"{stage}/{table}")
     return out
+
+
+def ingest_season_b(spark: SparkSession, landing: str, silver_root: str, season: int,
+                    staging_root: str | None = None, canonical: dict[str, str] | None = None) -> dict[str, int]:
+    """Provider B season ingest.  Landing layout: ``round__season{S}_round{R}.json``
+    (the round's event list) and ``event_statistics|event_incidents|
+    event_lineups__match{id}.json`` per match.
+
+    Round lists -> matches (J6, club names canonicalised, season/round from
+    the file) merged by id; details of *finished* matches (J10) -> J7/J8/J9,
+    side labels turned into the match's club names (J11), merged by the table
+    keys into the season's folders only."""
+    from varzea.sources.files import read_payloads
+    root = silver_root.rstrip("/")
+    stage = (staging_root or scratch_dir(spark, f"staging-ingest-b-{season}")).rstrip("/")
+    raw = read_payloads(spark, landing)
+    prm = F.col("params")
+    rounds = (raw.filter((F.col("endpoint") == "round") & (prm["season"] == str(season)))
+              .select(F.lit(season).cast("int").alias("temporada"), prm["round"].cast("int").alias("rodada"),
+                      "payload"))
+    matches = J.flatten_matches(rounds, canonical=canonical if canonical is not None else {})
+    out = {"partidas": merge_season(spark, f"{root}/partidas", matches, TABLE_KEYS["partidas"], season,
+                                    f"{stage}/partidas")}
+    parents = J.finished(matches).select("partida_id", "temporada", "rodada", "mandante", "visitante")
+
+    def detail(endpoint: str) -> DataFrame:
+        return (raw.filter(F.col("endpoint") == endpoint)
+                .select(prm["match"].cast("bigint").alias("partida_id"), "payload"))
+
+    def tagged(df: DataFrame) -> DataFrame:
+        return J.tag(df, parents, J.FONTE_B, sides=True).drop("lado")
+
+    gols, cartoes = J.flatten_incidents(detail("event_incidents"))
+    for table, df in [("estatisticas", tagged(J.flatten_stats(detail("event_statistics")))),
+                      ("gols", tagged(gols)), ("cartoes", tagged(cartoes)),
+                      ("escalacoes", tagged(J.flatten_squads(detail("event_lineups"))))]:
+        out[table] = merge_season(spark, f"{root}/{table}", df, TABLE_KEYS[table], season, f"{stage}/{table}")
+    return out
