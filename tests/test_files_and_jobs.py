@@ -253,3 +253,27 @@ def test_ingest_season_provider_b(spark, lake, tmp_dir):
     assert {(r.clube, r.cartao) for r in c} == {(m.mandante, "Amarelo") for m in done}
     e = spark.read.parquet(f"{silver}/escalacoes").filter("atleta IN ('Novo', 'Outro')")
     assert e.filter("titular").count() == 2 and e.count() == 4
+
+
+def test_build_all_from_csv_and_payloads(spark, lake, tmp_dir):
+    from varzea.plans.pipeline import build_all
+    root = os.path.join(tmp_dir, "csv")
+    FD.dirty_match_rows(lake.partidas).write.option("header", True).csv(f"{root}/partidas")
+    FD.dirty_stats_rows(lake.estatisticas).write.option("header", True).csv(f"{root}/estatisticas")
+    FD.dirty_goal_rows(lake.gols).write.option("header", True).csv(f"{root}/gols")
+    FD.dirty_card_rows(lake.cartoes).write.option("header", True).csv(f"{root}/cartoes")
+    landing = os.path.join(tmp_dir, "landing")
+    os.makedirs(landing)
+    p = lake.partidas.filter("temporada = 2001")
+    fixtures = [json.loads(r.payload)["response"][0] for r in FD.fixture_docs(p).collect()]
+    with open(os.path.join(landing, "fixtures__league71_season2001.json"), "w") as f:
+        json.dump({"response": fixtures}, f)
+    out = build_all(spark, csv_root=root, dest=os.path.join(tmp_dir, "lake"), landing_a=landing,
+                    seasons=(2001,), exports=False)
+    assert out["bronze_rows"] > 0 and out["ingest_a_2001"]["partidas"] == p.count()
+    camp = spark.read.parquet(os.path.join(out["gold"], "campeonato_historico"))
+    assert camp.count() == lake.partidas.count()
+    # CSV seasons keep the CSV source; the refreshed season's later rounds come from the provider
+    assert camp.filter("temporada = 2001 AND rodada > 4 AND fonte = 'api_football'").count() > 0
+    assert camp.filter("temporada = 2000 AND fonte = 'historico_csv'").count() == \
+        lake.partidas.filter("temporada = 2000").count()

@@ -85,7 +85,10 @@ def upsert(existing: DataFrame | None, new: DataFrame, keys: Sequence[str],
 def last_synced_round(partidas: DataFrame, season: int,
                       finished=("FT", "finished")) -> DataFrame:
     """Highest round of ``season`` whose matches are finished (0 if none).
-    Accepts both providers' words for a finished match."""
+    Accepts both providers' words for a finished match; rows without a status
+    (historical CSV) never count as synced."""
+    if "status" not in partidas.columns:
+        partidas = partidas.withColumn("status", F.lit(None).cast("string"))
     return (partidas.filter((F.col("temporada") == season) & F.col("status").isin(*finished))
             .agg(F.coalesce(F.max("rodada"), F.lit(0)).cast("int").alias("ultima_rodada")))
 

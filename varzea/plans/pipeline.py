@@ -57,14 +57,17 @@ def build_silver_from_csv(spark: SparkSession, csv_root: str, dest: str | None =
                           sep: str = ",") -> tuple[str, dict[str, int]]:
     """The historical CSV path (T7-T11): ``csv_root/{partidas,estatisticas,
     gols,cartoes}/*.csv`` in any of the accepted encodings.  Matches are
-    written first; the other tables take their season from the written
-    matches (T11), as the source orders its transforms."""
+    written first, in the full silver match schema (provider columns such as
+    ``status`` null), so later provider merges keep their columns; the other
+    tables take their season from the written matches (T11), as the source
+    orders its transforms."""
     from varzea.operators import silver as S
     from varzea.sources.files import read_csv_any
     dest = dest or scratch_dir(spark, "silver-csv")
     root = csv_root.rstrip("/")
-    counts = {"partidas": write_table(S.silver_partidas(read_csv_any(spark, f"{root}/partidas", sep=sep)),
-                                      f"{dest}/partidas", partition_by=PARTITION_BY["partidas"])}
+    from varzea.streaming.refresh import conform
+    matches = conform(S.silver_partidas(read_csv_any(spark, f"{root}/partidas", sep=sep)))
+    counts = {"partidas": write_table(matches, f"{dest}/partidas", partition_by=PARTITION_BY["partidas"])}
     partidas = spark.read.parquet(f"{dest}/partidas")
     for name, fn in [("estatisticas", S.silver_estatisticas), ("gols", S.silver_gols),
                      ("cartoes", S.silver_cartoes)]:
@@ -135,18 +138,39 @@ def read_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
     return g
 
 
-def build_all(spark: SparkSession, raw_root: str, dest: str | None = None,
-              exports: bool = True) -> dict[str, object]:
-    """U8: silver -> gold -> views -> exports, stopping on the first failure
-    (an exception propagates).  Returns the folders and row counts."""
-    dest = dest or scratch_dir(spark, "lake")
-    silver_root, silver_counts = build_silver(Lake(spark, raw_root), f"{dest}/silver")
-    slk = SilverLake(spark, silver_root, raw_root)
+def build_all(spark: SparkSession, raw_root: str | None = None, dest: str | None = None,
+              exports: bool = True, csv_root: str | None = None, landing_a: str | None = None,
+              landing_b: str | None = None, seasons: tuple[int, ...] = ()) -> dict[str, object]:
+    """U8: land -> silver -> provider ingest -> gold -> views -> exports, in
+    order; an exception stops the run (nothing later is written).
+
+    Silver comes from the historical CSV files (``csv_root``, landed to
+    bronze first) or from the driver's tables (``raw_root``).  ``landing_a`` /
+    ``landing_b`` with ``seasons`` merge provider payloads season by season
+    before gold is built.  Returns the folders and row counts."""
+    from varzea.sources.files import land_raw
+    from varzea.streaming.refresh import ingest_season, ingest_season_b
+    dest = (dest or scratch_dir(spark, "lake")).rstrip("/")
+    out: dict[str, object] = {}
+    if csv_root:
+        out["bronze_rows"] = land_raw(spark, f"{csv_root.rstrip('/')}/*/*.csv", f"{dest}/bronze", "csv").count()
+        silver_root, silver_counts = build_silver_from_csv(spark, csv_root, f"{dest}/silver")
+    elif raw_root:
+        silver_root, silver_counts = build_silver(Lake(spark, raw_root), f"{dest}/silver")
+    else:
+        raise ValueError("build_all needs csv_root or raw_root")
+    out.update({"silver": silver_root, "silver_counts": silver_counts})
+    for season in seasons:
+        if landing_a:
+            out[f"ingest_a_{season}"] = ingest_season(spark, landing_a, silver_root, season, f"{dest}/staging/a{season}")
+        if landing_b:
+            out[f"ingest_b_{season}"] = ingest_season_b(spark, landing_b, silver_root, season, f"{dest}/staging/b{season}")
+    slk = SilverLake(spark, silver_root, raw_root or csv_root)
     gold_root, gold_counts = build_gold_tables(slk, f"{dest}/gold")
     gold = read_gold(spark, gold_root)
     for name, df in gold.items():
         df.createOrReplaceTempView(name)
-    out = {"silver": silver_root, "gold": gold_root, "silver_counts": silver_counts, "gold_counts": gold_counts}
+    out.update({"gold": gold_root, "gold_counts": gold_counts})
     if exports:
         silver = {n: getattr(slk, n) for n in ["gols", "cartoes", "estatisticas"]}
         ex = all_exports(gold, silver)

@@ -123,6 +123,8 @@ def merge_season(spark: SparkSession, table_dir: str, new_rows: DataFrame, keys:
         existing = spark.read.parquet(table_dir)
     except AnalysisException:  # a missing folder means a new table
         exists, existing = False, None
+    if new.isEmpty():  # nothing landed for this table: leave it as it is
+        return existing.filter(F.col("temporada") == season).count() if exists else 0
     if exists:
         cur = existing.filter(F.col("temporada") == season)
         merged = upsert(with_seq(cur, 0, F.lit(0)), with_seq(new, 1, F.lit(0)), keys)
