@@ -200,17 +200,19 @@ def flatten_matches(raw: DataFrame, canonical: dict[str, str] | None = None) ->
 
 def flatten_stats(raw: DataFrame) -> DataFrame:
     """Period ``ALL`` only; every item of every group; one map per side
-    (a repeated key keeps the last value), then ``stack`` to two rows
-    labelled ``mandante`` / ``visitante`` in ``lado``."""
+    (a repeated key keeps the last value), then two rows labelled
+    ``mandante`` / ``visitante`` in ``lado``.  The item list is projected
+    once and reused by the emptiness test and both maps."""
     j = _parse(raw, B_STATISTICS)
     items = F.flatten(F.transform(
         F.filter(F.coalesce("j.statistics", F.array()), lambda p: p["period"] == "ALL"),
         lambda p: F.flatten(F.transform(F.coalesce(p["groups"], F.array()), lambda g: g["statisticsItems"]))))
-    home = F.map_from_entries(F.transform(items, lambda i: F.struct(i["key"], i["homeValue"])))
-    away = F.map_from_entries(F.transform(items, lambda i: F.struct(i["key"], i["awayValue"])))
+    it = j.select(*_ctx(raw), items.alias("_items")).filter(F.size("_items") > 0)
+    home = F.map_from_entries(F.transform("_items", lambda i: F.struct(i["key"], i["homeValue"])))
+    away = F.map_from_entries(F.transform("_items", lambda i: F.struct(i["key"], i["awayValue"])))
     sides = F.array(F.struct(F.lit("mandante").alias("lado"), home.alias("m")),
                     F.struct(F.lit("visitante").alias("lado"), away.alias("m")))
-    s = j.filter(F.size(items) > 0).select(*_ctx(raw), F.inline(sides))
+    s = it.select(*_ctx(raw), F.inline(sides))
     return s.select(*_ctx(raw), "lado", *_stat_columns(F.col("m"), B_STAT_KEYS), F.lit(FONTE_B).alias("fonte"))
 
 
