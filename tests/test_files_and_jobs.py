@@ -277,3 +277,24 @@ def test_build_all_from_csv_and_payloads(spark, lake, tmp_dir):
     assert camp.filter("temporada = 2001 AND rodada > 4 AND fonte = 'api_football'").count() > 0
     assert camp.filter("temporada = 2000 AND fonte = 'historico_csv'").count() == \
         lake.partidas.filter("temporada = 2000").count()
+
+
+def test_stream_in_several_micro_batches(spark, lake, tmp_dir):
+    from varzea.streaming.refresh import conform, refresh_stream, run_update_season
+    base = conform(lake.partidas)
+    t1, t2 = os.path.join(tmp_dir, "t1"), os.path.join(tmp_dir, "t2")
+    base.write.partitionBy("temporada").parquet(t1)
+    base.write.partitionBy("temporada").parquet(t2)
+    p = lake.partidas.filter("temporada = 2001")
+    docs = FD.fixture_docs(p)
+    run_update_season(spark, t1, docs, 2001, staging=os.path.join(tmp_dir, "stg"))
+    src = os.path.join(tmp_dir, "landing")
+    # three landed files (rounds <= 4, 5-6, 7+) -> three micro-batches
+    for i, cond in enumerate(["rodada <= 4", "rodada BETWEEN 5 AND 6", "rodada >= 7"]):
+        FD.fixture_docs(p.filter(cond)).select("payload").coalesce(1).write.text(os.path.join(src, f"f{i}"))
+    ck = os.path.join(tmp_dir, "ckpt")
+    refresh_stream(spark, os.path.join(src, "*"), t2, ck, 2001, max_files_per_trigger=1)
+    commits = [f for f in os.listdir(os.path.join(ck, "state", "commits")) if f.isdigit()]
+    assert len(commits) == 3
+    assert spark.read.parquet(t2).exceptAll(spark.read.parquet(t1)).count() == 0
+    assert spark.read.parquet(t1).exceptAll(spark.read.parquet(t2)).count() == 0

@@ -71,12 +71,17 @@ def conform(df: DataFrame, schema: str = MATCH_SCHEMA) -> DataFrame:
 
 
 def refresh_stream(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
-                   season: int) -> None:
+                   season: int, max_files_per_trigger: int | None = None) -> None:
     """Fixture documents landing as JSON Lines in ``source_dir`` are
     merged into ``table_dir`` as they arrive.  Runs every available file and
     stops (``availableNow``); call again (or with a different trigger) for
-    the next round.  ``checkpoint`` must be on the shared file system."""
-    stream = spark.readStream.text(source_dir).withColumnRenamed("value", "payload")
+    the next round.  ``checkpoint`` must be on the shared file system.
+    ``max_files_per_trigger`` splits a backlog into several micro-batches;
+    each one is merged in turn (the result does not depend on the split)."""
+    reader = spark.readStream
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    stream = reader.text(source_dir).withColumnRenamed("value", "payload")
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
