@@ -51,7 +51,10 @@ def get_session(master: str | None = None, app: str = "varzea",
     for k, v in {**LIBRARY_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect session
+        pass
     configure(spark)
     _ensure_checkpoint_dir(spark)
     return spark
@@ -64,7 +67,10 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="varzea-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    try:
+        spark.sparkContext.setCheckpointDir(d)  # for DataFrame.checkpoint()
+    except Exception:  # noqa: BLE001 - Spark Connect: the server's setting applies
+        pass
     return d
 
 
