@@ -140,15 +140,16 @@ def merge_season(spark: SparkSession, table_dir: str, new_rows: DataFrame, keys:
 
 
 def ingest_season(spark: SparkSession, landing: str, silver_root: str, season: int,
-                  staging_root: str | None = None) -> dict[str, int]:
+                  staging_root: str | None = None, fixtures_only: bool = False) -> dict[str, int]:
     """U5, complete: one season of provider A payload files (the API cache
     layout, ``{endpoint}__{params}.json``) merged into the silver tables.
 
     fixtures -> matches (U3/U4/J1/U1, season folder only); standings ->
     ``classificacao`` by (season, club); per-fixture statistics / events /
     line-ups of *finished* fixtures (J10), tagged with season and round from
-    their fixture (J11), merged by the table keys (U2).  Returns the row
-    count of each touched season folder."""
+    their fixture (J11), merged by the table keys (U2).  ``fixtures_only``
+    stops after the matches.  Returns the row count of each touched season
+    folder."""
     from varzea.sources.files import read_payloads
     root = silver_root.rstrip("/")
     stage = (staging_root or scratch_dir(spark, f"staging-ingest-{season}")).rstrip("/")
@@ -157,6 +158,8 @@ def ingest_season(spark: SparkSession, landing: str, silver_root: str, season: i
     fx_raw = (raw.filter((F.col("endpoint") == "fixtures") & (prm["season"] == str(season)))
               .select(F.lit(season).cast("int").alias("temporada"), "payload"))
     out = {"partidas": run_update_season(spark, f"{root}/partidas", fx_raw, season, f"{stage}/partidas")}
+    if fixtures_only:
+        return out
     parents = (J.finished(J.flatten_fixtures(fx_raw))
                .select("partida_id", "temporada", "rodada", "mandante", "visitante"))
 
@@ -180,7 +183,8 @@ def ingest_season(spark: SparkSession, landing: str, silver_root: str, season: i
 
 
 def ingest_season_b(spark: SparkSession, landing: str, silver_root: str, season: int,
-                    staging_root: str | None = None, canonical: dict[str, str] | None = None) -> dict[str, int]:
+                    staging_root: str | None = None, canonical: dict[str, str] | None = None,
+                    fixtures_only: bool = False) -> dict[str, int]:
     """Provider B season ingest.  Landing layout: ``round__season{S}_round{R}.json``
     (the round's event list) and ``event_statistics|event_incidents|
     event_lineups__match{id}.json`` per match.
@@ -200,6 +204,8 @@ def ingest_season_b(spark: SparkSession, landing: str, silver_root: str, season:
     matches = J.flatten_matches(rounds, canonical=canonical if canonical is not None else {})
     out = {"partidas": merge_season(spark, f"{root}/partidas", matches, TABLE_KEYS["partidas"], season,
                                     f"{stage}/partidas")}
+    if fixtures_only:
+        return out
     parents = J.finished(matches).select("partida_id", "temporada", "rodada", "mandante", "visitante")
 
     def detail(endpoint: str) -> DataFrame:
