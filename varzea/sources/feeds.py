@@ -267,8 +267,8 @@ def squad_docs(escalacoes: DataFrame) -> DataFrame:
 
 def legacy_sheet_rows(partidas: DataFrame) -> DataFrame:
     """The yearly-sheet layout: padded, capitalised club names, score text
-    ``2x1`` (missing -> ``nanxnan``... kept null), winner name or ``-``,
-    ISO date text and weekday name."""
+    `` 2x1 `` (null for an unplayed match), winner name or ``-`` (null when
+    unplayed), ISO date text and weekday name."""
     def name(c):
         return F.concat(F.lit(" "), F.initcap(F.lower(c)), F.lit(" "))
     gm, gv = F.col("gols_mandante"), F.col("gols_visitante")
