@@ -64,6 +64,8 @@ B_STAT_KEYS = {
 PERCENT_STATS = ("posse_de_bola", "precisao_passes")
 # Provider B goal classes -> goal type.
 B_GOAL_CLASS = {"regular": "Normal", "penalty": "Pênalti", "ownGoal": "Gol Contra", "fromCorner": "De Escanteio"}
+# The providers' words for a finished match, and the source
+# labels written to ``fonte``.
 FINISHED = ("FT", "finished")
 FONTE_A = "api_football"
 FONTE_B = "sofascore"
