@@ -243,3 +243,28 @@ JOIN (SELECT *, ROW_NUMBER() OVER (PARTITION BY temporada ORDER BY pontos DESC,
       FROM classificacao_historica) v
   ON c.temporada = v.temporada AND c.pos = 1 AND v.pos = 2"""))(
     lambda lk: _Q.campeao_vs_vice(gold_of(lk)["classificacao_historica"], "row_number"))
+
+# ---- U6: provider incidents backfilled into goals and cards -------------------------------------
+from varzea.streaming.refresh import backfill_events  # noqa: E402
+
+
+def _backfill(lk):
+    parents = (lk.gols.select("partida_id", "temporada", "rodada", "clube")
+               .unionByName(lk.cartoes.select("partida_id", "temporada", "rodada", "clube"))
+               .select("partida_id", "temporada", "rodada", F.col("clube").alias("mandante"),
+                       F.col("clube").alias("visitante")))
+    return backfill_events(lk.gols, lk.cartoes, FD.incident_docs(lk.gols, lk.cartoes), parents)
+
+
+register("u06_backfill_gols", q("""
+SELECT partida_id, clube, atleta, minuto,
+       CASE WHEN tipo_de_gol = 'Penalty' THEN 'Pênalti' WHEN tipo_de_gol = 'Gol Contra' THEN 'Gol Contra'
+            ELSE 'Normal' END AS tipo_de_gol,
+       temporada, rodada, 'sofascore' AS fonte
+FROM gols"""))(lambda lk: _backfill(lk)[0])
+
+register("u06b_backfill_cartoes", q(f"""
+SELECT partida_id, clube, cartao, atleta, minuto, temporada, rodada, 'sofascore' AS fonte,
+       CASE WHEN {_NUM} % 3 <> 0 THEN CAST({_NUM} % 30 AS VARCHAR) END AS num_camisa,
+       CASE WHEN {_NUM} % 3 <> 0 THEN 'M' END AS posicao
+FROM cartoes"""))(lambda lk: _backfill(lk)[1])
