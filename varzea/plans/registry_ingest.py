@@ -268,3 +268,52 @@ SELECT partida_id, clube, cartao, atleta, minuto, temporada, rodada, 'sofascore'
        CASE WHEN {_NUM} % 3 <> 0 THEN CAST({_NUM} % 30 AS VARCHAR) END AS num_camisa,
        CASE WHEN {_NUM} % 3 <> 0 THEN 'M' END AS posicao
 FROM cartoes"""))(lambda lk: _backfill(lk)[1])
+
+# ---- U7 / U8 run as jobs into fresh folders under the checkpoint dir ---------------------------
+from varzea.session import scratch_dir  # noqa: E402
+
+
+def _stream_refresh(lk):
+    """The stored matches (all seasons) + fixture documents of the running
+    season landing as files, merged by the file-source stream; returns the
+    table as stored afterwards."""
+    from varzea.streaming.refresh import conform, refresh_stream
+    spark = lk.spark
+    table, landing, ckpt = (scratch_dir(spark, n) for n in ("u07-table", "u07-landing", "u07-ckpt"))
+    conform(lk.partidas).write.mode("overwrite").partitionBy("temporada").parquet(table)
+    FD.fixture_docs(lk.partidas.filter(F.col("temporada") == RUNNING)).select("payload") \
+        .write.mode("overwrite").text(landing)
+    refresh_stream(spark, landing, table, ckpt, RUNNING)
+    return spark.read.parquet(table)
+
+
+_BASE = """
+SELECT partida_id, temporada, rodada, data, CAST(NULL AS VARCHAR) AS hora, mandante, visitante,
+       CAST(NULL AS VARCHAR) AS formacao_mandante, CAST(NULL AS VARCHAR) AS formacao_visitante,
+       CAST(NULL AS VARCHAR) AS tecnico_mandante, CAST(NULL AS VARCHAR) AS tecnico_visitante, vencedor, arena,
+       gols_mandante, gols_visitante, estado_mandante, estado_visitante, status, fonte,
+       CAST(NULL AS BIGINT) AS mandante_id, CAST(NULL AS BIGINT) AS visitante_id
+FROM partidas"""
+_CHANGED = f"""(rodada > (SELECT COALESCE(MAX(rodada), 0) FROM partidas WHERE temporada = {RUNNING} AND status = 'finished')
+              OR status <> 'finished')"""
+register("u07_refresh_stream", q(f"""
+SELECT * FROM ({_BASE}) b WHERE temporada <> {RUNNING} OR NOT {_CHANGED}
+UNION ALL
+SELECT partida_id, temporada, rodada, data, {_HORA} AS hora, mandante, visitante,
+       CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+       CAST(NULL AS VARCHAR) AS vencedor, arena, gols_mandante, gols_visitante,
+       CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+       CASE WHEN status = 'finished' THEN 'FT' ELSE 'NS' END AS status, 'api_football' AS fonte,
+       CAST(regexp_extract(mandante, '(\\d+)$', 1) AS BIGINT), CAST(regexp_extract(visitante, '(\\d+)$', 1) AS BIGINT)
+FROM partidas WHERE temporada = {RUNNING} AND {_CHANGED}"""))(_stream_refresh)
+
+
+def _build_all(lk):
+    """U8: the whole lake from the driver's tables into fresh folders;
+    returns the written standings (G5) as the gold layer stores them."""
+    from varzea.plans.pipeline import build_all
+    out = build_all(lk.spark, raw_root=lk.root, dest=scratch_dir(lk.spark, "u08-lake"), exports=True)
+    return lk.spark.read.parquet(f"{out['gold']}/classificacao_historica")
+
+
+register("u08_build_all", q("SELECT * FROM classificacao_historica"))(_build_all)
