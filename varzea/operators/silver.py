@@ -143,3 +143,22 @@ def canonical_clubs(df: DataFrame, cols: list[str], alias_dim: DataFrame) -> Dat
         df = (df.join(dim, F.col(c) == F.col("_alias"), "left")
               .withColumn(c, F.coalesce(F.col("_canon"), F.col(c))).drop("_alias", "_canon"))
     return df
+
+
+def unify_spelling(df: DataFrame, cols: list[str], collation: str = "UNICODE_CI_AI") -> DataFrame:
+    """One spelling per club name under a collation (the MySQL
+    ``*_unicode_ci`` meaning: case and accents ignored).  The spelling kept
+    is the smallest one in binary order, so the result repeats.  The name
+    dictionary is one aggregate over the distinct names (bounded by the
+    clubs); the join back is the planner's choice."""
+    names = None
+    for c in cols:
+        n = df.select(F.col(c).alias("_name"))
+        names = n if names is None else names.unionByName(n)
+    dim = (names.filter(F.col("_name").isNotNull()).distinct()
+           .groupBy(F.collate("_name", collation).alias("_key"))
+           .agg(F.min(F.col("_name").cast("string")).alias("_canon")))
+    for c in cols:
+        df = (df.join(dim, F.collate(F.col(c), collation) == F.col("_key"), "left")
+              .withColumn(c, F.coalesce(F.col("_canon"), F.col(c))).drop("_key", "_canon"))
+    return df

@@ -317,3 +317,19 @@ def _build_all(lk):
 
 
 register("u08_build_all", q("SELECT * FROM classificacao_historica"))(_build_all)
+
+# ---- X2: case/accent-insensitive club names unified before the standings -------------------------
+
+
+def _standings_mixed_case(lk):
+    """Half the matches spell the clubs in lower case; after unifying the
+    spellings under a case/accent-insensitive collation the standings equal
+    the regular ones."""
+    p = lk.partidas
+    odd = F.col("partida_id") % 2 == 1
+    mixed = (p.withColumn("mandante", F.when(odd, F.lower("mandante")).otherwise(F.col("mandante")))
+              .withColumn("visitante", F.when(~odd, F.lower("visitante")).otherwise(F.col("visitante"))))
+    return _classif(S.unify_spelling(mixed, ["mandante", "visitante"]))
+
+
+register("x02_classificacao_collation", q("SELECT * FROM classificacao_historica"))(_standings_mixed_case)
