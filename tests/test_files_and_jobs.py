@@ -298,3 +298,13 @@ def test_stream_in_several_micro_batches(spark, lake, tmp_dir):
     assert len(commits) == 3
     assert spark.read.parquet(t2).exceptAll(spark.read.parquet(t1)).count() == 0
     assert spark.read.parquet(t1).exceptAll(spark.read.parquet(t2)).count() == 0
+
+
+def test_build_all_with_match_dedup(spark, lake, tmp_dir):
+    from varzea.operators.upsert import dedup_matches
+    from varzea.plans.pipeline import build_all
+    out = build_all(spark, "/root/testdata/sf0.001", os.path.join(tmp_dir, "lake"), exports=False,
+                    dedup_matches=True)
+    assert out["dedup_matches"] == dedup_matches(lake.partidas).count() < lake.partidas.count()
+    camp = spark.read.parquet(os.path.join(out["gold"], "campeonato_historico"))
+    assert camp.count() == out["dedup_matches"]

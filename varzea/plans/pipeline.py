@@ -112,6 +112,18 @@ class SilverLake(Lake):
         return self._silver("escalacoes")
 
 
+class _DedupLake(SilverLake):
+    """A silver lake whose matches come from the de-duplicated folder."""
+
+    def __init__(self, spark: SparkSession, silver_root: str, raw_root: str, matches: str):
+        super().__init__(spark, silver_root, raw_root)
+        self._matches = matches
+
+    @property
+    def partidas(self) -> DataFrame:  # type: ignore[override]
+        return self.spark.read.parquet(self._matches)
+
+
 def build_gold_tables(lk: Lake, dest: str | None = None) -> tuple[str, dict[str, int]]:
     """G7 job: the six gold tables, written in dependency order."""
     dest = dest or scratch_dir(lk.spark, "gold")
@@ -140,14 +152,17 @@ def read_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
 
 def build_all(spark: SparkSession, raw_root: str | None = None, dest: str | None = None,
               exports: bool = True, csv_root: str | None = None, landing_a: str | None = None,
-              landing_b: str | None = None, seasons: tuple[int, ...] = ()) -> dict[str, object]:
+              landing_b: str | None = None, seasons: tuple[int, ...] = (),
+              dedup_matches: bool = False) -> dict[str, object]:
     """U8: land -> silver -> provider ingest -> gold -> views -> exports, in
     order; an exception stops the run (nothing later is written).
 
     Silver comes from the historical CSV files (``csv_root``, landed to
     bronze first) or from the driver's tables (``raw_root``).  ``landing_a`` /
     ``landing_b`` with ``seasons`` merge provider payloads season by season
-    before gold is built.  Returns the folders and row counts."""
+    before gold is built.  ``dedup_matches`` (off by default) keeps one row
+    per (season, round, home, away) when two sources filed the same match
+    under different ids.  Returns the folders and row counts."""
     from varzea.sources.files import land_raw
     from varzea.streaming.refresh import ingest_season, ingest_season_b
     dest = (dest or scratch_dir(spark, "lake")).rstrip("/")
@@ -166,6 +181,11 @@ def build_all(spark: SparkSession, raw_root: str | None = None, dest: str | None
         if landing_b:
             out[f"ingest_b_{season}"] = ingest_season_b(spark, landing_b, silver_root, season, f"{dest}/staging/b{season}")
     slk = SilverLake(spark, silver_root, raw_root or csv_root)
+    if dedup_matches:
+        from varzea.operators.upsert import dedup_matches as _dedup
+        one = _dedup(slk.partidas)
+        out["dedup_matches"] = write_table(one, f"{dest}/silver_dedup/partidas", partition_by=["temporada"])
+        slk = _DedupLake(spark, silver_root, raw_root or csv_root, f"{dest}/silver_dedup/partidas")
     gold_root, gold_counts = build_gold_tables(slk, f"{dest}/gold")
     gold = read_gold(spark, gold_root)
     for name, df in gold.items():
