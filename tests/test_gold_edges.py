@@ -127,3 +127,15 @@ def test_recent_form_order(spark):
                         (3, 2020, 3, d, "A", "B", 0, 0, "f")])
     f = {x.clube: x for x in P.recent_form(m, 2).collect()}
     assert f["A"].resultados == "ED" and f["A"].n == 2 and f["B"].resultados == "EV"
+
+
+def test_tie_for_first_place(spark):
+    from varzea.plans.queries import campeao_vs_vice
+    c = spark.createDataFrame(
+        [(2020, "A", 70, 10, 30), (2020, "B", 70, 12, 31), (2020, "C", 60, 0, 20),
+         (2021, "A", 80, 5, 40), (2021, "B", 75, 3, 30)],
+        "temporada int, clube string, pontos bigint, saldo_gols bigint, gols_pro bigint")
+    by_rank = {r.temporada: r for r in campeao_vs_vice(c).collect()}
+    assert set(by_rank) == {2021}                       # the tie at the top leaves no rank 2 in 2020
+    by_row = {r.temporada: r for r in campeao_vs_vice(c, "row_number").collect()}
+    assert by_row[2020].campeao == "B" and by_row[2020].vice == "A" and by_row[2020].diferenca == 0
