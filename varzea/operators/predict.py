@@ -14,7 +14,10 @@ Scale notes
   a ``WindowGroupLimit`` — each map task keeps only its top-n per club before
   the shuffle;
 * the per-club feature tables have one row per club; the final joins let
-  AQE broadcast them only when their measured size is under the threshold.
+  AQE broadcast them only when their measured size is under the threshold;
+* the feature joins use null-safe keys, so no inferred ``IS NOT NULL``
+  filter is pushed into one branch and not the other: the pre-aggregate's
+  shuffle is identical in every branch and computed once (stage reuse).
 """
 
 from __future__ import annotations
@@ -243,15 +246,23 @@ def match_probabilities(fixtures: DataFrame, partidas: DataFrame, mando: str = "
     feats = club_features(p, year, ps)
 
     def feat(df: DataFrame, side: str, cols: list[str]) -> DataFrame:
-        return df.select(F.col("clube").alias(side), *[F.col(c).alias(f"{c}_{side[-1]}") for c in cols])
-
-    j = (fixtures.join(h2h, ["clube1", "clube2"], "left")
-         .join(feat(form, "clube1", ["wins", "draws", "losses"]), "clube1", "left")
-         .join(feat(form, "clube2", ["wins", "draws", "losses"]), "clube2", "left")
-         .join(feat(feats, "clube1", ["home_pct", "away_pct", "home_draw_pct", "away_draw_pct", "score"]),
-               "clube1", "left")
-         .join(feat(feats, "clube2", ["home_pct", "away_pct", "home_draw_pct", "away_draw_pct", "score"]),
-               "clube2", "left"))
+        return df.select(F.col("clube").alias("_k" + side[-1]),
+                         *[F.col(c).alias(f"{c}_{side[-1]}") for c in cols])
+
+    def join_club(left: DataFrame, right: DataFrame, side: str) -> DataFrame:
+        # null-safe keys: no inferred IS NOT NULL filter reaches the shared
+        # pre-aggregate, so its shuffle is computed once and reused
+        k = "_k" + side[-1]
+        return left.join(right, F.col(side).eqNullSafe(F.col(k)), "left").drop(k)
+
+    h = h2h.select(F.col("clube1").alias("_h1"), F.col("clube2").alias("_h2"),
+                   *[c for c in h2h.columns if c not in ("clube1", "clube2")])
+    j = fixtures.join(h, F.col("clube1").eqNullSafe(F.col("_h1")) & F.col("clube2").eqNullSafe(F.col("_h2")),
+                      "left").drop("_h1", "_h2")
+    for side, df, cols in [("clube1", form, ["wins", "draws", "losses"]), ("clube2", form, ["wins", "draws", "losses"]),
+                           ("clube1", feats, ["home_pct", "away_pct", "home_draw_pct", "away_draw_pct", "score"]),
+                           ("clube2", feats, ["home_pct", "away_pct", "home_draw_pct", "away_draw_pct", "score"])]:
+        j = join_club(j, feat(df, side, cols), side)
 
     def z(c):
         return F.coalesce(F.col(c), F.lit(0))
@@ -301,9 +312,10 @@ def match_probabilities(fixtures: DataFrame, partidas: DataFrame, mando: str = "
 
 
 def pairs_that_met(partidas: DataFrame) -> DataFrame:
-    """Every ordered pair of clubs with at least one played meeting."""
-    return (sides(played(partidas), []).select(F.col("clube").alias("clube1"),
-                                               F.col("adversario").alias("clube2")).distinct())
+    """Every ordered pair of clubs with at least one played meeting (from the
+    pair-season pre-aggregate, so the model's plan shares its shuffle)."""
+    return (pair_season(played(partidas)).select(F.col("clube").alias("clube1"),
+                                                 F.col("adversario").alias("clube2")).distinct())
 
 
 def model_config(spark) -> DataFrame:
