@@ -139,3 +139,14 @@ def test_tie_for_first_place(spark):
     assert set(by_rank) == {2021}                       # the tie at the top leaves no rank 2 in 2020
     by_row = {r.temporada: r for r in campeao_vs_vice(c, "row_number").collect()}
     assert by_row[2020].campeao == "B" and by_row[2020].vice == "A" and by_row[2020].diferenca == 0
+
+
+def test_require_tables_gate(spark):
+    import pytest
+    m = spark.createDataFrame([(1, 2020)], "partida_id bigint, temporada int")
+    with pytest.raises(ValueError, match="missing silver tables"):
+        G.require_tables({"partidas": m})
+    with pytest.raises(ValueError, match="lacks columns"):
+        G.require_tables({"partidas": m, "gols": m, "cartoes": m}, columns=G.GOLD_INPUT_COLUMNS)
+    with pytest.raises(ValueError, match="without rows"):
+        G.require_tables({"partidas": m, "gols": m.limit(0), "cartoes": m}, non_empty=True)

@@ -143,9 +143,19 @@ def rebaixamento_acesso(classificacao: DataFrame, spots: int = RELEGATION_SPOTS)
          .otherwise(ZONE_STAY).alias("situacao"))
 
 
+# The columns each gold input must carry.
+GOLD_INPUT_COLUMNS = {
+    "partidas": ["partida_id", "temporada", "rodada", "mandante", "visitante", "gols_mandante", "gols_visitante"],
+    "gols": ["temporada", "atleta", "clube", "tipo_de_gol"],
+    "cartoes": ["partida_id", "temporada", "clube", "cartao"],
+}
+
+
 def require_tables(tables: dict[str, DataFrame], required=("partidas", "gols", "cartoes"),
-                   columns: dict[str, list[str]] | None = None) -> None:
-    """Fail early when an input table or one of its columns is missing."""
+                   columns: dict[str, list[str]] | None = None, non_empty: bool = False) -> None:
+    """Fail early when an input table, one of its columns or (with
+    ``non_empty``) its rows are missing.  The row check is ``limit(1)`` per
+    table: one small job, a boolean to the driver."""
     missing = [t for t in required if tables.get(t) is None]
     if missing:
         raise ValueError(f"missing silver tables: {missing}")
@@ -153,12 +163,16 @@ def require_tables(tables: dict[str, DataFrame], required=("partidas", "gols", "
         absent = [c for c in cols if c not in tables[t].columns]
         if absent:
             raise ValueError(f"table {t} lacks columns {absent}")
+    if non_empty:
+        empty = [t for t in required if tables[t].limit(1).count() == 0]
+        if empty:
+            raise ValueError(f"silver tables without rows: {empty}")
 
 
 def build_gold(partidas: DataFrame, gols: DataFrame, cartoes: DataFrame,
                api_standings: DataFrame | None = None, api_mode: str = "replace") -> dict[str, DataFrame]:
     """The six gold tables, in dependency order (G6 reads G5's plan)."""
-    require_tables({"partidas": partidas, "gols": gols, "cartoes": cartoes})
+    require_tables({"partidas": partidas, "gols": gols, "cartoes": cartoes}, columns=GOLD_INPUT_COLUMNS)
     classif = classificacao_historica(partidas, api_standings, api_mode)
     return {
         "campeonato_historico": campeonato_historico(partidas),

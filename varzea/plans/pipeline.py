@@ -126,7 +126,10 @@ class _DedupLake(SilverLake):
 
 def build_gold_tables(lk: Lake, dest: str | None = None) -> tuple[str, dict[str, int]]:
     """G7 job: the six gold tables, written in dependency order."""
+    from varzea.operators.gold import GOLD_INPUT_COLUMNS, require_tables
     dest = dest or scratch_dir(lk.spark, "gold")
+    require_tables({"partidas": lk.partidas, "gols": lk.gols, "cartoes": lk.cartoes},
+                   columns=GOLD_INPUT_COLUMNS, non_empty=True)
     gold = build_gold(lk.partidas, lk.gols, lk.cartoes)
     counts = {}
     for name in ["campeonato_historico", "artilharia_historica", "desempenho_clubes", "fair_play",
