@@ -72,17 +72,21 @@ def _round_half_up(c: Column) -> Column:
 # ---- shared pre-aggregate --------------------------------------------------------------------
 
 def pair_season(played_df: DataFrame) -> DataFrame:
-    """Wins / draws / losses / games per (club, opponent, season, venue).
+    """Wins / draws / games per (club, opponent, season, venue).
 
     The decay weight depends only on the season, so every weighted feature
     (P1, P3, P4) is a sum over these rows — bounded by clubs² x seasons x 2,
-    whatever the number of matches.  Built once per plan: the features that
-    use it share one scan of the matches and one (reused) shuffle."""
+    whatever the number of matches.  Losses are ``n - v - e`` (played
+    matches only), so every consumer reads the same three counters and the
+    pre-aggregate's shuffle is identical — computed once — in every branch."""
     s = sides(played_df, ["temporada"])
     gp, gc = F.col("gp"), F.col("gc")
     return s.groupBy("clube", "adversario", "temporada", "em_casa").agg(
-        F.count_if(gp > gc).alias("v"), F.count_if(gp == gc).alias("e"),
-        F.count_if(gp < gc).alias("d"), F.count(F.lit(1)).alias("n"))
+        F.count_if(gp > gc).alias("v"), F.count_if(gp == gc).alias("e"), F.count(F.lit(1)).alias("n"))
+
+
+def _losses(prefix: str = "") -> Column:
+    return F.col(prefix + "n") - F.col(prefix + "v") - F.col(prefix + "e")
 
 
 # ---- P1 + P4: one per-club feature table -------------------------------------------------------
@@ -98,8 +102,9 @@ def club_features(played_df: DataFrame, year: Column, ps: DataFrame | None = Non
     def split(c, at_home):
         return F.sum(F.when(home if at_home else ~home, F.col(c)).otherwise(F.lit(0)))
     cs = ps.groupBy("clube", "temporada").agg(
-        *[split(c, True).alias("h" + c) for c in ("v", "e", "d", "n")],
-        *[split(c, False).alias("a" + c) for c in ("v", "e", "d", "n")])
+        *[split(c, True).alias("h" + c) for c in ("v", "e", "n")],
+        *[split(c, False).alias("a" + c) for c in ("v", "e", "n")]
+    ).withColumns({"hd": _losses("h"), "ad": _losses("a")})
     w = _weight(year)
 
     def wsum(c):
@@ -196,8 +201,8 @@ def weighted_h2h(played_df: DataFrame, year: Column, mando: str = "todos",
     w = _weight(year)
     agg = ps.groupBy(F.col("clube").alias("clube1"), F.col("adversario").alias("clube2")).agg(
         F.sum(F.col("v") * w).alias("w1"), F.sum(F.col("e") * w).alias("wd"),
-        F.sum(F.col("d") * w).alias("w2"), F.sum("n").alias("total"),
-        F.sum("v").alias("vit1"), F.sum("d").alias("vit2"))
+        F.sum(_losses() * w).alias("w2"), F.sum("n").alias("total"),
+        F.sum("v").alias("vit1"), F.sum(_losses()).alias("vit2"))
     tw = F.col("w1") + F.col("w2") + F.col("wd")
     tw = F.when(tw == 0, F.lit(1.0)).otherwise(tw)
     return agg.select("clube1", "clube2",

@@ -10,6 +10,8 @@ unless the caller names one.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 
 from varzea.operators.gold import VIEW_BUILDERS, build_gold
@@ -78,7 +80,9 @@ def build_silver_from_csv(spark: SparkSession, csv_root: str, dest: str | None =
 
 class SilverLake(Lake):
     """A lake whose silver tables are read from written Parquet folders;
-    ``raw`` still reads the source tables (dimensions)."""
+    ``raw`` still reads the source tables (dimensions).  Each table is read
+    once per lake (one relation instance), so plans that use a table twice
+    can share its scans and shuffles."""
 
     def __init__(self, spark: SparkSession, silver_root: str, raw_root: str):
         super().__init__(spark, raw_root)
@@ -87,27 +91,27 @@ class SilverLake(Lake):
     def _silver(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.silver_root}/{name}")
 
-    @property
+    @cached_property
     def partidas_bruto(self) -> DataFrame:  # type: ignore[override]
         return self._silver("partidas_bruto")
 
-    @property
+    @cached_property
     def partidas(self) -> DataFrame:  # type: ignore[override]
         return self._silver("partidas")
 
-    @property
+    @cached_property
     def gols(self) -> DataFrame:  # type: ignore[override]
         return self._silver("gols")
 
-    @property
+    @cached_property
     def cartoes(self) -> DataFrame:  # type: ignore[override]
         return self._silver("cartoes")
 
-    @property
+    @cached_property
     def estatisticas(self) -> DataFrame:  # type: ignore[override]
         return self._silver("estatisticas")
 
-    @property
+    @cached_property
     def escalacoes(self) -> DataFrame:  # type: ignore[override]
         return self._silver("escalacoes")
 
@@ -119,7 +123,7 @@ class _DedupLake(SilverLake):
         super().__init__(spark, silver_root, raw_root)
         self._matches = matches
 
-    @property
+    @cached_property
     def partidas(self) -> DataFrame:  # type: ignore[override]
         return self.spark.read.parquet(self._matches)
 
