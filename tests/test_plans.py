@@ -49,3 +49,21 @@ def test_merge_of_raw_rows_needs_no_extra_shuffle(spark, lake):
         assert "hashpartitioning(_ok" not in ex and "hashpartitioning(partida_id" not in ex
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_model_pre_aggregate_identical_in_every_branch(slake):
+    """Every copy of the pair-season exchange is the same plan, so AQE runs
+    it once (stage reuse) for head-to-head and the club features."""
+    import re
+
+    from varzea.operators import predict as P
+    df = P.match_probabilities(P.pairs_that_met(slake.partidas), slake.partidas)
+    init = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1].split("\n")
+    idx = [i for i, line in enumerate(init) if "Exchange hashpartitioning(clube" in line and "em_casa" in line]
+    assert len(idx) >= 2
+
+    def norm(line):
+        line = re.sub(r"_common_expr_\d+", "_c", re.sub(r"#\d+L?", "", re.sub(r"plan_id=\d+", "", line)))
+        return line.strip(" :+-")
+    subtrees = {tuple(norm(x) for x in init[i:i + 6]) for i in idx}
+    assert len(subtrees) == 1
