@@ -35,9 +35,15 @@ class Lake:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        """A driver table, read once per lake (one relation instance, so
+        plans that use it twice — e.g. the home and away club dimensions —
+        can reuse its scan and broadcast)."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self._raw[name]
 
     # -- matches ---------------------------------------------------------------
     def _club_dim(self, club: str, state: str) -> DataFrame:
