@@ -87,7 +87,8 @@ def block_variants(fp: F.Column) -> F.Column:
         free = ((1 << high) - 1) ^ ((1 << low) - 1)
         flips = [0] + [1 << b for b in range(64) if not low <= b < high]
         marks = F.array(*[F.lit(_signed(f | (number + 1) << low)) for f in flips])
-        parts.append(F.transform(marks, lambda x, m=_signed(~free & (1 << 64) - 1): fp.bitwiseAND(F.lit(m)).bitwiseXOR(x)))
+        kept = fp.bitwiseAND(F.lit(_signed(~free & (1 << 64) - 1)))
+        parts.append(F.transform(marks, kept.bitwiseXOR))
     return F.concat(*parts)
 
 
