@@ -40,11 +40,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
-from varzea.llm.common import fresh, partitions, staged, text_bytes
+from varzea.llm.common import fresh, partitions, text_bytes
 
 WINDOW = 20
 #: Words that a map task hashes at once.
-CHUNK_WORDS = 1_500_000
+CHUNK_WORDS = 1_000_000
 #: Hash ranges and document ranges per shuffle partition.
 RANGES = 4
 NULL_ID = -(1 << 63)
@@ -129,12 +129,11 @@ def _doc_range(doc: np.ndarray, ranges: int) -> np.ndarray:
     return (signed.view(np.int64) % ranges)[inverse]
 
 
-def _hash_chunk(ids: list[int], texts: list[list[bytes]], width: int, ranges: int) -> Iterator[pd.DataFrame]:
+def _hash_chunk(ids: list[int], words: list[np.ndarray], width: int, ranges: int) -> Iterator[pd.DataFrame]:
     order = sorted(range(len(ids)), key=ids.__getitem__)
-    digest = xxhash.xxh64_intdigest
-    sizes = np.array([len(texts[k]) for k in order])
+    sizes = np.array([len(words[k]) for k in order])
     total = int(sizes.sum())
-    word = np.fromiter((digest(w) for k in order for w in texts[k]), np.uint64, total)
+    word = np.concatenate([words[k] for k in order])
     begin = np.cumsum(sizes) - sizes
     doc = np.repeat(np.array([ids[k] for k in order], np.int64), sizes)
     at = np.arange(total) - np.repeat(begin, sizes)
@@ -158,27 +157,32 @@ def _hash_chunk(ids: list[int], texts: list[list[bytes]], width: int, ranges: in
 def _hash_windows(width: int, ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids: list[int] = []
-        texts: list[list[bytes]] = []
+        hashed: list[np.ndarray] = []
         held = 0
+        digest = xxhash.xxh64_intdigest
         for batch in batches:
             for i, t in zip(batch["id"].tolist(), batch["text"]):
                 words = t.split()  # on space, tab, \n, \v, \f, \r
                 if len(words) < width:
                     continue
                 ids.append(i)
-                texts.append(words)
+                hashed.append(np.fromiter(map(digest, words), np.uint64, len(words)))
                 held += len(words)
                 if held >= CHUNK_WORDS:
-                    yield from _hash_chunk(ids, texts, width, ranges)
-                    ids, texts, held = [], [], 0
+                    yield from _hash_chunk(ids, hashed, width, ranges)
+                    ids, hashed, held = [], [], 0
         if ids:
-            yield from _hash_chunk(ids, texts, width, ranges)
+            yield from _hash_chunk(ids, hashed, width, ranges)
     return run
 
 
 def _later_ones(ranges: int):
-    """The repeats of one hash range: every occurrence of a hash after its earliest."""
+    """The repeats of one hash range: every occurrence of a hash after its
+    earliest.  Repeats that the chunks have found already pass through."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
+        known, rows = rows[rows["kind"] == REPEATS], rows[rows["kind"] == WINDOWS]
+        if not len(rows):
+            return known
         doc = np.concatenate([unpack_ints(b) for b in rows["doc"]])
         at = np.concatenate([unpack_ints(b) for b in rows["at"]])
         h = np.frombuffer(b"".join(rows["hash"]), np.uint64)
@@ -196,8 +200,8 @@ def _later_ones(ranges: int):
         lead = np.maximum.accumulate(lead)
         later = (doc != doc[lead]) | (at != at[lead])
         if not later.any():
-            return pd.DataFrame(columns=["kind", "part", "doc", "at", "hash"])
-        return _emit(REPEATS, _doc_range(doc[later], ranges), doc[later], at[later], None)
+            return known
+        return pd.concat([known, _emit(REPEATS, _doc_range(doc[later], ranges), doc[later], at[later], None)])
     return run
 
 
@@ -206,10 +210,8 @@ def repeated_windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     spark = docs.sparkSession
     ranges = RANGES * partitions(spark)
     source = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("id"), text_bytes(docs).alias("text"))
-    packed = staged(source.mapInPandas(_hash_windows(width, ranges), PACKED), "windows")
-    across = (packed.filter(F.col("kind") == WINDOWS).repartition(ranges, "part")
-              .groupBy("part").applyInPandas(_later_ones(ranges), PACKED))
-    return packed.filter(F.col("kind") == REPEATS).unionByName(across).select("part", "doc", "at")
+    return (source.mapInPandas(_hash_windows(width, ranges), PACKED).groupBy("part")
+            .applyInPandas(_later_ones(ranges), PACKED).select("part", "doc", "at"))
 
 
 def intervals(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
