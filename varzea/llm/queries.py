@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm import (bpe, embedding_join, licenses, packing, quality_rules, simhash, substring_dedup, toxicity,
-                        url_filter)
+from varzea.llm import (bpe, embedding_join, licenses, packing, quality_rules, simhash, substring_dedup,
+                        suffix_dedup, toxicity, url_filter)
 from varzea.llm.common import read_table
 
 
@@ -32,6 +32,10 @@ def pack_all(docs: DataFrame) -> DataFrame:
     return packing.pack_documents(docs, vocabulary("byte_bpe_50k.tiktoken"), {"<|endoftext|>": 50256})
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(read_table(spark, sf_dir, "documents"))
+
+
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_join.linked_vectors(read_table(spark, sf_dir, "embeddings"))
 
@@ -62,6 +66,6 @@ def vocabulary(name: str) -> str:
 
 
 QUERIES = {f.__name__: f for f in [op1_license_scan, op2_toxicity, op3_simhash_dedup, op4_best_fit_packing,
-                                   op6_embedding_dedup, op7_bpe_round_trip, op8_substring_dedup, op9_url_filter,
+                                   op5_suffix_array_dedup, op6_embedding_dedup, op7_bpe_round_trip, op8_substring_dedup, op9_url_filter,
                                    op10_quality_rules]}
 ORACLES: dict[str, str] = {}
