@@ -109,12 +109,14 @@ def lexical(url: Column, host: Column, path: Column) -> dict[str, Column]:
     }
 
 
+def _share(prior: float) -> Column:
+    return (F.coalesce("blocked", F.lit(0)) + SMOOTHING * prior) / (F.coalesce("n", F.lit(0)) + SMOOTHING)
+
+
 def _with_shares(rows: DataFrame, tables: dict[str, DataFrame], prior: float) -> DataFrame:
     for s, table in tables.items():
         # at most TRAIN_ROWS rows of a short text and two numbers
-        rows = rows.join(F.broadcast(table), s, "left").withColumn(
-            f"{s}_share", (F.coalesce("blocked", F.lit(0)) + SMOOTHING * prior) / (F.coalesce("n", F.lit(0)) + SMOOTHING)
-        ).drop("blocked", "n")
+        rows = rows.join(F.broadcast(table), s, "left").withColumn(f"{s}_share", _share(prior)).drop("blocked", "n")
     return rows
 
 
@@ -133,7 +135,7 @@ def judge(pages: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
 
     chosen = (base.filter(F.col("rule").isNotNull()).select("url", "host", "path", label.alias("label"))
               .orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS))
-    train = staged(chosen.select("label", *[c.alias(k) for k, c in
+    train = staged(chosen.select("label", F.pmod(F.xxhash64(F.lit("half"), "url"), F.lit(2)).cast("int").alias("half"), *[c.alias(k) for k, c in
                                             lexical(F.col("url"), F.col("host"), F.col("path")).items()]), "url-train")
     seen = train.agg(F.count(F.lit(1)).alias("n"), F.avg("label").alias("share")).first()
     settled = F.col("rule").isNotNull()
@@ -143,12 +145,13 @@ def judge(pages: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     tables = {s: staged(train.groupBy(s).agg(F.sum("label").alias("blocked"), F.count(F.lit(1)).alias("n")), "url-suffix")
               for s in STATISTICS}
     vector = VectorAssembler(inputCols=FEATURES, outputCol="features")
-    # a training URL's own label is taken out of its statistics
+    # a training URL takes its statistics from the other half, so no label is in its own features
     fit_rows = train
-    for s, table in tables.items():
-        fit_rows = fit_rows.join(F.broadcast(table), s, "left").withColumn(
-            f"{s}_share", (F.col("blocked") - F.col("label") + SMOOTHING * seen["share"]) / (F.col("n") - 1 + SMOOTHING)
-        ).drop("blocked", "n")
+    for s in STATISTICS:
+        halves = train.groupBy(s, (1 - F.col("half")).alias("half")).agg(
+            F.sum("label").alias("blocked"), F.count(F.lit(1)).alias("n"))
+        fit_rows = fit_rows.join(F.broadcast(halves), [s, "half"], "left").withColumn(
+            f"{s}_share", _share(seen["share"])).drop("blocked", "n")
     model = GBTClassifier(featuresCol="features", labelCol="label", maxIter=TREES, maxDepth=DEPTH, seed=7).fit(
         vector.transform(fit_rows).select("features", "label"))
     judged = model.transform(vector.transform(_with_shares(rows, tables, seen["share"])))
