@@ -45,8 +45,9 @@ from varzea.llm.common import fresh, partitions, text_bytes
 WINDOW = 20
 #: Words that a map task hashes at once.
 CHUNK_WORDS = 1_000_000
-#: Hash ranges and document ranges per shuffle partition.
-RANGES = 4
+#: Hash ranges and document ranges per shuffle partition.  A hash range sends a document range one row at most,
+#: and never more rows than it has repeats.
+RANGES = 2
 NULL_ID = -(1 << 63)
 
 _B1 = np.uint64(0x9E3779B97F4A7C15)
