@@ -87,6 +87,12 @@ def _stat_columns(m: Column, names: dict[str, str]) -> list[Column]:
     return out
 
 
+def _last_by_key(items: str, key: str, value: str) -> Column:
+    """Map of a list of key/value structs; entries without a key are left out."""
+    keyed = F.filter(items, lambda s: s[key].isNotNull())
+    return F.map_from_entries(F.transform(keyed, lambda s: F.struct(s[key], s[value])))
+
+
 # ---- provider A -----------------------------------------------------------------------------
 
 def round_number(round_text: Column) -> Column:
@@ -117,7 +123,7 @@ def flatten_team_stats(raw: DataFrame) -> DataFrame:
     """Per team, the key/value statistics list becomes one map (a repeated
     key keeps its last value) and then ten typed columns."""
     t = _parse(raw, A_STATISTICS).select(*_ctx(raw), F.explode("j.response").alias("t"))
-    m = F.map_from_entries(F.transform("t.statistics", lambda s: F.struct(s["type"], s["value"])))
+    m = _last_by_key("t.statistics", "type", "value")
     return t.select(*_ctx(raw), F.col("t.team.name").alias("clube"), *_stat_columns(m, A_STAT_NAMES))
 
 
@@ -208,10 +214,11 @@ def flatten_stats(raw: DataFrame) -> DataFrame:
     j = _parse(raw, B_STATISTICS)
     items = F.flatten(F.transform(
         F.filter(F.coalesce("j.statistics", F.array()), lambda p: p["period"] == "ALL"),
-        lambda p: F.flatten(F.transform(F.coalesce(p["groups"], F.array()), lambda g: g["statisticsItems"]))))
+        lambda p: F.flatten(F.transform(F.coalesce(p["groups"], F.array()),
+                                        lambda g: F.coalesce(g["statisticsItems"], F.array())))))
     it = j.select(*_ctx(raw), items.alias("_items")).filter(F.size("_items") > 0)
-    home = F.map_from_entries(F.transform("_items", lambda i: F.struct(i["key"], i["homeValue"])))
-    away = F.map_from_entries(F.transform("_items", lambda i: F.struct(i["key"], i["awayValue"])))
+    home = _last_by_key("_items", "key", "homeValue")
+    away = _last_by_key("_items", "key", "awayValue")
     sides = F.array(F.struct(F.lit("mandante").alias("lado"), home.alias("m")),
                     F.struct(F.lit("visitante").alias("lado"), away.alias("m")))
     s = it.select(*_ctx(raw), F.inline(sides))
@@ -221,11 +228,12 @@ def flatten_stats(raw: DataFrame) -> DataFrame:
 def flatten_incidents(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Incidents -> (goals, cards).  ``lado`` is mandante/visitante from
     ``isHome`` (missing -> home); the player name falls back to
-    ``playerName`` only when the player object is absent; a card class
+    ``playerName`` when the player object is absent or empty; a card class
     containing ``red`` (also yellowRed) is Vermelho."""
     i = _parse(raw, B_INCIDENTS).select(*_ctx(raw), F.explode("j.incidents").alias("i"))
     player = F.col("i.player")
-    name = F.when(player.isNull(), F.col("i.playerName")).otherwise(player["name"])
+    empty = player.isNull() | F.coalesce(F.to_json(player) == "{}", F.lit(False))
+    name = F.when(empty, F.col("i.playerName")).otherwise(player["name"])
     lado = F.when(F.coalesce(F.col("i.isHome"), F.lit(True)), F.lit("mandante")).otherwise(F.lit("visitante"))
     cls = F.col("i.incidentClass")
     goal_cls = F.coalesce(cls, F.lit("regular"))

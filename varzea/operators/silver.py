@@ -49,11 +49,16 @@ CLUB_ALIASES = {
 }
 
 
-def by_position(raw: DataFrame, names: list[str], keep: tuple[str, ...] = ("_source_file",)) -> DataFrame:
+def by_position(raw: DataFrame, names: list[str], keep: tuple[str, ...] = ("_source_file",),
+                optional: int = 0) -> DataFrame:
     """Rename the data columns by position (extra trailing context columns
     such as ``_source_file`` keep their names).  Missing trailing columns
-    become null strings (a 5-column goals file gets ``tipo_de_gol`` null)."""
+    become null strings (a 5-column goals file gets ``tipo_de_gol`` null) if
+    there are at most ``optional`` of them; any other width is an error, as
+    names would land on the wrong columns."""
     data = [c for c in raw.columns if c not in keep]
+    if not len(names) - optional <= len(data) <= len(names):
+        raise ValueError(f"{len(data)} columns, expected {len(names)} ({names[0]} ... {names[-1]})")
     ctx = [c for c in raw.columns if c in keep]
     cols = [F.col(f"`{c}`").alias(n) for c, n in zip(data, names)]
     cols += [F.lit(None).cast("string").alias(n) for n in names[len(data):]]
@@ -109,7 +114,7 @@ def silver_estatisticas(raw: DataFrame, partidas: DataFrame) -> DataFrame:
 
 def silver_gols(raw: DataFrame, partidas: DataFrame) -> DataFrame:
     """Goals CSV with 5 or 6 columns -> typed goals with the season."""
-    r = by_position(raw, GOALS_COLUMNS)
+    r = by_position(raw, GOALS_COLUMNS, optional=1)
     typed = r.select(safe_int("partida_id").alias("partida_id"), safe_int("rodada").cast("int").alias("rodada"),
                      clean_str("clube").alias("clube"), clean_str("atleta").alias("atleta"),
                      minute_of("minuto").alias("minuto"), clean_str("tipo_de_gol").alias("tipo_de_gol"))

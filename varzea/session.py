@@ -11,7 +11,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -56,15 +56,23 @@ def get_session(master: str | None = None, app: str = "varzea",
     except Exception:  # noqa: BLE001 - no SparkContext on a Spark Connect session
         pass
     configure(spark)
-    _ensure_checkpoint_dir(spark)
+    if _is_local(spark):
+        _ensure_checkpoint_dir(spark)
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    """One machine runs everything, so its own folders are shared ones."""
+    return re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")) is not None
+
+
 def _ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when unset (local
-    tests) create a private one under the system temp folder."""
+    """Use the cluster's ``spark.checkpoint.dir``; only a local session
+    without it gets a private one under the system temp folder."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not _is_local(spark):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="varzea-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -78,7 +86,4 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, for staged writes
     and lineage cuts.  Never a machine-local folder when the cluster names one."""
     base = _ensure_checkpoint_dir(spark)
-    path = base.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return base.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"  # Spark's writers create it

@@ -15,7 +15,7 @@ def string_schema(names: list[str]) -> T.StructType:
 
 def _csv(spark: SparkSession, path, names, sep, header, encoding) -> DataFrame:
     r = spark.read.option("header", str(header).lower()).option("sep", sep).option("encoding", encoding)
-    r = r.option("mode", "PERMISSIVE")
+    r = r.option("mode", "PERMISSIVE").option("escape", '"')  # a quote inside quotes is doubled
     if names:
         r = r.schema(string_schema(names))
     df = r.csv(path)
@@ -93,8 +93,9 @@ def register_views(tables: dict[str, DataFrame]) -> list[str]:
     return sorted(tables)
 
 
-def run_sql(spark: SparkSession, sql: str, limit: int = 200, args: dict | None = None) -> DataFrame:
-    """Ad-hoc SQL over the registered views, first ``limit`` rows (the
-    console's page size).  Named parameters (``:time1``) replace the
-    source's session variables."""
-    return spark.sql(sql, args=args or {}).limit(limit)
+def run_sql(spark: SparkSession, sql: str, limit: int | None = None, args: dict | None = None) -> DataFrame:
+    """Ad-hoc SQL over the registered views, all rows; ``limit`` is for a
+    caller that pages.  Named parameters (``:time1``) replace the source's
+    session variables."""
+    out = spark.sql(sql, args=args or {})
+    return out if limit is None else out.limit(limit)
