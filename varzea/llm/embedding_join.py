@@ -27,22 +27,37 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from varzea.llm.common import staged
 from varzea.llm.components import components, spanning
 
 COSINE = 0.95
-#: Pivots, at most; about one for CELL distinct vectors.
+#: Pivots, at most; about one for CELL distinct vectors.  Where vectors are spread in many dimensions most cells
+#: take replicas of most vectors, so cells are as large as a block: fewer replicas for the same comparisons.
 MAX_PIVOTS = 512
-CELL = 512
-#: Vectors of a block; two blocks are compared at once.
-BLOCK = 2048
+CELL = 4096
+#: Numbers in a block of vectors (32 MB); two blocks are compared at once.
+BLOCK_VALUES = 1 << 22
+BLOCK = 4096
+#: Vectors multiplied with a block at once, and numbers held to decide candidates.
+STRIP = 256
+VALUES_AT_ONCE = 1 << 21
 #: Distances within this of the bound are decided by the cosine itself.
 EDGE = 1e-9
 
 
-def unit(vectors: list) -> np.ndarray:
-    v = np.array(vectors, np.float64)
+@F.pandas_udf(T.BinaryType())
+def packed(vectors: pd.Series) -> pd.Series:
+    """The components as the bytes of 64-bit floats, which tasks read without boxing."""
+    return pd.Series([np.asarray(v, np.float64).tobytes() for v in vectors])
+
+
+def matrix(vectors: pd.Series, dim: int) -> np.ndarray:
+    return np.frombuffer(b"".join(vectors), np.float64).reshape(-1, dim)
+
+
+def unit(v: np.ndarray) -> np.ndarray:
     return v / np.sqrt((v * v).sum(1))[:, None]
 
 
@@ -56,7 +71,7 @@ def _assign(pivots: dict[int, np.ndarray], radius: float):
                 if p is None:
                     yield rows.assign(cell=0, home=True)[["node", "dim", "cell", "home"]]
                     continue
-                square = 2 - 2 * unit(rows["embedding"].tolist()) @ p.T
+                square = 2 - 2 * unit(matrix(rows["vector"], int(dim))) @ p.T
                 own = square.argmin(1)
                 ahead = square - square[np.arange(len(own)), own][:, None]
                 near = ahead <= 2 * radius * gaps[int(dim)][own] + EDGE
@@ -70,26 +85,42 @@ def _assign(pivots: dict[int, np.ndarray], radius: float):
 JOINED = "node long, links long, a long, b long"
 
 
+def linked_pairs(x: np.ndarray, y: np.ndarray, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) with cosine(x[i], y[j]) >= ``cosine``, a bounded number at
+    a time.  Single-precision products, less than their rounding bound below
+    the threshold, name the candidates; double precision decides each."""
+    dim = x.shape[1]
+    nx, ny = np.sqrt((x * x).sum(1)), np.sqrt((y * y).sum(1))
+    single_x, single_y = (x / nx[:, None]).astype(np.float32), (y / ny[:, None]).astype(np.float32).T
+    low = np.float32(cosine - (dim + 8) * 2.0 ** -22)
+    piece = max(1, VALUES_AT_ONCE // dim)
+    for at in range(0, len(x), STRIP):
+        first, second = np.nonzero(single_x[at:at + STRIP] @ single_y >= low)
+        first += at
+        for k in range(0, len(first), piece):
+            i, j = first[k:k + piece], second[k:k + piece]
+            similar = np.einsum("ij,ij->i", x[i], y[j]) / (nx[i] * ny[j])
+            linked = similar >= cosine
+            for n in np.flatnonzero(np.abs(similar - cosine) < EDGE):
+                linked[n] = float(np.dot(x[i[n]], y[j[n]])) / (nx[i[n]] * ny[j[n]]) >= cosine
+            yield i[linked], j[linked]
+
+
 def _join_blocks(cosine: float):
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
         if not len(left) or not len(right):
             return pd.DataFrame(columns=["node", "links", "a", "b"])
-        x, y = (np.array(s["embedding"].tolist(), np.float64) for s in (left, right))
-        nx, ny = np.sqrt((x * x).sum(1)), np.sqrt((y * y).sum(1))
+        dim = int(rows["dim"].iloc[0])
         a, b = left["node"].to_numpy(), right["node"].to_numpy()
         weight = right["weight"].to_numpy()
         count, ties = np.zeros(len(a), np.int64), []
-        for at in range(0, len(a), 512):
-            similar = (x[at:at + 512] @ y.T) / nx[at:at + 512, None] / ny
-            linked = similar >= cosine
-            for i, j in zip(*np.nonzero(np.abs(similar - cosine) < EDGE)):
-                linked[i, j] = float(np.dot(x[at + i], y[j])) / (nx[at + i] * ny[j]) >= cosine
-            linked &= a[at:at + 512, None] != b
-            count[at:at + 512] = linked @ weight
-            i, j = np.nonzero(linked)
-            ties += spanning(list(zip(a[at + i].tolist(), b[j].tolist())))
-        ties = spanning(ties)
+        for i, j in linked_pairs(matrix(left["vector"], dim), matrix(right["vector"], dim), cosine):
+            other = a[i] != b[j]
+            i, j = i[other], j[other]
+            np.add.at(count, i, weight[j])
+            once = a[i] < b[j]  # the other direction is met where b is at home
+            ties = spanning(ties + list(zip(a[i[once]].tolist(), b[j[once]].tolist())))
         return pd.concat([
             pd.DataFrame({"node": a, "links": count}),
             pd.DataFrame(ties, columns=["a", "b"]),
@@ -108,16 +139,19 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                   .withColumn("row", F.monotonically_increasing_id()), "vectors")
     distinct = staged(rows.filter("embedding IS NOT NULL").groupBy("embedding")
                       .agg(F.min("row").alias("node"), F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("weight"))
-                      .withColumn("dim", F.size("embedding")), "distinct-vectors")
+                      .withColumn("dim", F.size("embedding"))
+                      .withColumn("vector", packed.asNondeterministic()("embedding")), "distinct-vectors")
     n = distinct.count()
     chosen = (distinct.orderBy(F.xxhash64("embedding"), "node").limit(max(1, min(MAX_PIVOTS, n // CELL)))
               .select("dim", "embedding").collect())  # MAX_PIVOTS vectors at most
-    pivots = {d: unit([r["embedding"] for r in chosen if r["dim"] == d]) for d in {r["dim"] for r in chosen}}
+    pivots = {d: unit(np.array([r["embedding"] for r in chosen if r["dim"] == d], np.float64)) for d in {r["dim"] for r in chosen}}
     radius = float(np.sqrt(2 - 2 * cosine))
-    cells = staged(distinct.select("node", "dim", "embedding")
+    cells = staged(distinct.select("node", "dim", "vector")
                    .mapInPandas(_assign(pivots, radius), "node long, dim int, cell int, home boolean"), "cells")
+    block_rows = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_VALUES) / F.col("dim"))))
     sizes = cells.groupBy("dim", "cell").agg(
-        F.ceil(F.sum(F.col("home").cast("int")) / BLOCK).alias("n_left"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("n_right"))
+        F.ceil(F.sum(F.col("home").cast("int")) / block_rows).alias("n_left"),
+        F.ceil(F.count(F.lit(1)) / block_rows).alias("n_right"))
     block = cells.join(sizes, ["dim", "cell"])
     spread = F.pmod(F.xxhash64("node"), F.lit(1 << 30))
     left = block.filter("home").select(
@@ -126,7 +160,7 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     right = block.filter("n_left > 0").select(
         "node", "dim", "cell", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n_left") - 1)).alias("l"),
         (spread % F.col("n_right")).alias("r"))
-    joined = staged(left.unionByName(right).join(distinct.select("node", "embedding", "weight"), "node")
+    joined = staged(left.unionByName(right).join(distinct.select("node", "vector", "weight"), "node")
                     .groupBy("dim", "cell", "l", "r").applyInPandas(_join_blocks(cosine), JOINED), "vector-links")
     counts = joined.filter("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("links"))
     member = components(joined.filter("a IS NOT NULL").select("a", "b"))
