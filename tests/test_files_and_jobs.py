@@ -102,10 +102,10 @@ def test_update_season_batch_equals_stream(spark, lake, tmp_dir):
     base.write.partitionBy("temporada").parquet(t1)
     base.write.partitionBy("temporada").parquet(t2)
     docs = FD.fixture_docs(lake.partidas.filter("temporada = 2001"))
-    n = run_update_season(spark, t1, docs, 2001, staging=os.path.join(tmp_dir, "stg"))
+    n = run_update_season(spark, t1, docs, 2001, staging=os.path.join(tmp_dir, "stg"), mode="source")
     src = os.path.join(tmp_dir, "landing")
     docs.select("payload").write.text(src)
-    refresh_stream(spark, src, t2, os.path.join(tmp_dir, "ckpt"), 2001)
+    refresh_stream(spark, src, t2, os.path.join(tmp_dir, "ckpt"), 2001, mode="source")
     a, b = spark.read.parquet(t1), spark.read.parquet(t2)
     assert a.count() == b.count() == base.count()
     assert a.exceptAll(b).count() == 0
@@ -114,7 +114,7 @@ def test_update_season_batch_equals_stream(spark, lake, tmp_dir):
     assert s.filter("fonte = 'api_football'").count() == s.filter("rodada > 4").count() > 0
     assert a.filter("temporada = 2000 AND fonte = 'fixture'").count() == base.filter("temporada = 2000").count()
     # replaying the same documents changes nothing (idempotent)
-    refresh_stream(spark, src, t2, os.path.join(tmp_dir, "ckpt2"), 2001)
+    refresh_stream(spark, src, t2, os.path.join(tmp_dir, "ckpt2"), 2001, mode="source")
     assert spark.read.parquet(t2).exceptAll(a).count() == 0
 
 

@@ -1,6 +1,7 @@
 """Provider payload flattening on hand-written documents (FIXTURES §D)."""
 import json
 
+import pytest
 from varzea.operators import payloads as J
 
 
@@ -75,7 +76,8 @@ def test_stats_b_all_period_only(spark):
     r = {x.lado: x for x in J.flatten_stats(docs(spark, [st], partida_id=1)).collect()}
     assert r["mandante"].faltas == 12 and r["visitante"].posse_de_bola == 40.0
     none = {"statistics": [{"period": "1ST", "groups": []}]}
-    assert J.flatten_stats(docs(spark, [none], partida_id=2)).count() == 0
+    empty = J.flatten_stats(docs(spark, [none], partida_id=2)).collect()  # two rows, as the source gives
+    assert [(x.lado, x.faltas) for x in empty] == [("mandante", None), ("visitante", None)]
 
 
 def test_incidents_and_matches_b(spark):
@@ -98,3 +100,19 @@ def test_incidents_and_matches_b(spark):
     assert m[5].mandante == "Sao Paulo" and m[5].visitante == "Gremio" and m[5].vencedor == "-"
     assert m[5].arena == "V" and str(m[5].data) == "2023-11-14" and m[5].hora == "22:13"
     assert m[6].vencedor is None
+
+
+def test_malformed_documents_stop_an_ingest(spark):
+    df = spark.createDataFrame([('{"response": []}',), ("{broken",), (None,)], "payload string")
+    with pytest.raises(ValueError, match="1 of 3"):
+        J.reject_malformed(df)
+    assert J.reject_malformed(df, max_share=0.5) == 1
+
+
+def test_last_document_then_last_place_wins(spark):
+    from varzea.operators.upsert import merge_documents
+    rows = [(1, "9-9", (1, 0)), (1, "1-0", (2, 0)), (1, "2-1", (2, 1)), (2, "0-0", (1, 5))]
+    new = spark.createDataFrame(rows, "partida_id int, placar string, _doc struct<time:int,at:int>")
+    old = spark.createDataFrame([(1, "x"), (3, "y")], "partida_id int, placar string")
+    want = {(1, "2-1"), (2, "0-0"), (3, "y")}
+    assert {tuple(r) for r in merge_documents(old, new, ["partida_id"]).collect()} == want

@@ -108,13 +108,15 @@ def goal_histogram(df: DataFrame, side: str = "home", bins: int = 50, by: str =
     the notebook's rule, under which a same-state game counts for both sides.
     ``by="clube"`` selects on the winning club instead (home win / away win).
     Equal-width bins over [min, max] as a plotting library draws them; the
-    bounds come from a scalar subquery, the counts from one aggregate."""
+    bounds come from a scalar subquery over the counts per goal value, which
+    the bins then add up."""
     st, club, g = ("C1 Estado", C1, "p1") if side == "home" else ("C2 Estado", C2, "p2")
     if by == "clube":
         cond = F.lower(F.trim(_q(club))) == F.lower(F.trim(_q(WIN)))
     else:
         cond = _q(st) == _q("Vencedor Estado")
     f = df.filter(cond).select(_q(g).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    f = f.groupBy("v").agg(F.count(F.lit(1)).alias("k"))  # a row per goal count
     bounds = f.select(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi"))).scalar()
     lo_raw, hi_raw = bounds.getField("lo"), bounds.getField("hi")
     same = lo_raw == hi_raw
@@ -122,7 +124,7 @@ def goal_histogram(df: DataFrame, side: str = "home", bins: int = 50, by: str =
     hi = F.when(same, hi_raw + 0.5).otherwise(hi_raw)
     width = (hi - lo) / bins
     b = F.least(F.floor((F.col("v") - lo) / width).cast("int"), F.lit(bins - 1))
-    counts = f.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = f.groupBy(b.alias("bin")).agg(F.sum("k").alias("n"))
     return counts.select("bin", F.round(lo + F.col("bin") * width, 6).alias("de"),
                          F.round(lo + (F.col("bin") + 1) * width, 6).alias("ate"), "n")
 

@@ -71,10 +71,33 @@ FONTE_A = "api_football"
 FONTE_B = "sofascore"
 
 
+#: Optional context column: what orders the documents (file time, file name).  Rows made from a document carry it
+#: with their place in the document, so a merge can keep the last one.
+DOC = "_doc"
+
+
 def _ctx(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != "payload"]
 
 
+def _rows(df: DataFrame, ctx: list[str], array, name: str, *more) -> DataFrame:
+    """One row per element of ``array``, as ``name``; its place goes into ``DOC``."""
+    if DOC not in ctx:
+        return df.select(*ctx, *more, F.explode(array).alias(name))
+    out = df.select(*ctx, *more, F.posexplode(array).alias("_at", name))
+    return out.withColumn(DOC, F.struct(F.col(DOC).alias("doc"), F.col("_at").alias("at"))).drop("_at")
+
+
+def reject_malformed(raw: DataFrame, max_share: float = 0.0) -> int:
+    """Fail if more than ``max_share`` of the documents are not JSON (the
+    flatteners would return no rows for them); returns how many are not."""
+    bad = F.col("payload").isNotNull() & F.try_parse_json("payload").isNull()
+    got = raw.agg(F.count(F.lit(1)).alias("n"), F.count_if(bad).alias("bad")).first()
+    if got["bad"] > max_share * got["n"]:
+        raise ValueError(f"{got['bad']} of {got['n']} documents are not valid JSON")
+    return got["bad"]
+
+
 def _parse(df: DataFrame, schema: str) -> DataFrame:
     return df.select(*_ctx(df), F.from_json("payload", schema).alias("j"))
 
@@ -104,7 +127,7 @@ def round_number(round_text: Column) -> Column:
 def flatten_fixtures(raw: DataFrame) -> DataFrame:
     """Fixture documents -> match rows (date/time by substring of the ISO
     text; date cast to DATE)."""
-    f = _parse(raw, A_FIXTURES).select(*_ctx(raw), F.explode("j.response").alias("f"))
+    f = _rows(_parse(raw, A_FIXTURES), _ctx(raw), "j.response", "f")
     d = F.col("f.fixture.date")
     return f.select(
         *_ctx(raw),
@@ -122,7 +145,7 @@ def flatten_fixtures(raw: DataFrame) -> DataFrame:
 def flatten_team_stats(raw: DataFrame) -> DataFrame:
     """Per team, the key/value statistics list becomes one map (a repeated
     key keeps its last value) and then ten typed columns."""
-    t = _parse(raw, A_STATISTICS).select(*_ctx(raw), F.explode("j.response").alias("t"))
+    t = _rows(_parse(raw, A_STATISTICS), _ctx(raw), "j.response", "t")
     m = _last_by_key("t.statistics", "type", "value")
     return t.select(*_ctx(raw), F.col("t.team.name").alias("clube"), *_stat_columns(m, A_STAT_NAMES))
 
@@ -132,7 +155,7 @@ def flatten_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     penalties, ``Normal Goal`` -> ``Normal``.  Cards: ``Yellow`` in the detail
     -> Amarelo else Vermelho; ``num_camisa`` carries the player id (the
     provider has no shirt number here)."""
-    e = _parse(raw, A_EVENTS).select(*_ctx(raw), F.explode("j.response").alias("e"))
+    e = _rows(_parse(raw, A_EVENTS), _ctx(raw), "j.response", "e")
     typ, det = F.col("e.type"), F.coalesce(F.col("e.detail"), F.lit(""))
     base = [F.col("e.team.name").alias("clube"), F.col("e.player.name").alias("atleta"),
             F.col("e.time.elapsed").alias("minuto")]
@@ -150,12 +173,12 @@ def flatten_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
 def flatten_lineups(raw: DataFrame) -> DataFrame:
     """Starters and bench of both teams in one explode (the two arrays
     are tagged and concatenated per team)."""
-    t = _parse(raw, A_LINEUPS).select(*_ctx(raw), F.explode("j.response").alias("t"))
+    t = _rows(_parse(raw, A_LINEUPS), _ctx(raw), "j.response", "t")
     both = F.concat(
         F.transform(F.coalesce("t.startXI", F.array()), lambda p: F.struct(p["player"].alias("p"), F.lit(True).alias("titular"))),
         F.transform(F.coalesce("t.substitutes", F.array()), lambda p: F.struct(p["player"].alias("p"), F.lit(False).alias("titular"))))
-    return (t.select(*_ctx(raw), F.col("t.team.name").alias("clube"), F.col("t.coach.name").alias("tecnico"),
-                     F.col("t.formation").alias("formacao"), F.explode(both).alias("x"))
+    return (_rows(t, _ctx(raw), both, "x", F.col("t.team.name").alias("clube"), F.col("t.coach.name").alias("tecnico"),
+                  F.col("t.formation").alias("formacao"))
             .select(*_ctx(raw), "clube", "tecnico", "formacao", F.col("x.p.name").alias("atleta"),
                     F.col("x.p.number").alias("num_camisa"), F.col("x.p.pos").alias("posicao"),
                     F.col("x.titular").alias("titular")))
@@ -182,7 +205,7 @@ def flatten_matches(raw: DataFrame, canonical: dict[str, str] | None = None) ->
     split in date and ``HH:mm``; winner (name or ``-``) only for finished
     matches with both scores; stadium name falls back to venue name.
     ``canonical`` (alias -> name, ``{}`` = the built-in list) renames clubs."""
-    e = _parse(raw, B_EVENTS).select(*_ctx(raw), F.explode("j.events").alias("e"))
+    e = _rows(_parse(raw, B_EVENTS), _ctx(raw), "j.events", "e")
     ts = F.timestamp_seconds(F.col("e.startTimestamp"))
     gh, ga = F.col("e.homeScore.current"), F.col("e.awayScore.current")
     st = F.coalesce(F.col("e.status.type"), F.lit(""))
@@ -209,14 +232,15 @@ def flatten_matches(raw: DataFrame, canonical: dict[str, str] | None = None) ->
 def flatten_stats(raw: DataFrame) -> DataFrame:
     """Period ``ALL`` only; every item of every group; one map per side
     (a repeated key keeps the last value), then two rows labelled
-    ``mandante`` / ``visitante`` in ``lado``.  The item list is projected
-    once and reused by the emptiness test and both maps."""
+    ``mandante`` / ``visitante`` in ``lado``.  A document without that period
+    gives the two rows with null statistics.  No filter stands between the
+    parse and the maps, so each document is parsed once."""
     j = _parse(raw, B_STATISTICS)
     items = F.flatten(F.transform(
         F.filter(F.coalesce("j.statistics", F.array()), lambda p: p["period"] == "ALL"),
         lambda p: F.flatten(F.transform(F.coalesce(p["groups"], F.array()),
                                         lambda g: F.coalesce(g["statisticsItems"], F.array())))))
-    it = j.select(*_ctx(raw), items.alias("_items")).filter(F.size("_items") > 0)
+    it = j.select(*_ctx(raw), items.alias("_items"))
     home = _last_by_key("_items", "key", "homeValue")
     away = _last_by_key("_items", "key", "awayValue")
     sides = F.array(F.struct(F.lit("mandante").alias("lado"), home.alias("m")),
@@ -230,7 +254,7 @@ def flatten_incidents(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     ``isHome`` (missing -> home); the player name falls back to
     ``playerName`` when the player object is absent or empty; a card class
     containing ``red`` (also yellowRed) is Vermelho."""
-    i = _parse(raw, B_INCIDENTS).select(*_ctx(raw), F.explode("j.incidents").alias("i"))
+    i = _rows(_parse(raw, B_INCIDENTS), _ctx(raw), "j.incidents", "i")
     player = F.col("i.player")
     empty = player.isNull() | F.coalesce(F.to_json(player) == "{}", F.lit(False))
     name = F.when(empty, F.col("i.playerName")).otherwise(player["name"])
@@ -258,8 +282,8 @@ def flatten_squads(raw: DataFrame) -> DataFrame:
     sides = F.array(F.struct(F.lit("mandante").alias("lado"), F.col("j.home").alias("s")),
                     F.struct(F.lit("visitante").alias("lado"), F.col("j.away").alias("s")))
     s = j.select(*_ctx(raw), F.inline(sides))
-    p = s.select(*_ctx(raw), "lado", F.col("s.formation").alias("formacao"),
-                 F.explode(F.coalesce(F.col("s.players"), F.array())).alias("p"))
+    p = _rows(s, _ctx(raw), F.coalesce(F.col("s.players"), F.array()), "p", "lado",
+              F.col("s.formation").alias("formacao"))
     return p.select(*_ctx(raw), "lado", "formacao", F.col("p.player.name").alias("atleta"),
                     F.col("p.player.jerseyNumber").alias("num_camisa"),
                     F.col("p.player.position").alias("posicao"),

@@ -19,8 +19,6 @@ STATS_COLUMNS = ["partida_id", "rodada", "clube", "chutes", "chutes_no_alvo", "p
                  "precisao_passes", "faltas", "cartao_amarelo", "cartao_vermelho", "impedimentos", "escanteios"]
 GOALS_COLUMNS = ["partida_id", "rodada", "clube", "atleta", "minuto", "tipo_de_gol"]
 CARDS_COLUMNS = ["partida_id", "rodada", "clube", "cartao", "atleta", "num_camisa", "posicao", "minuto"]
-MATCH_TEXT = ["mandante", "visitante", "vencedor", "arena", "tecnico_mandante", "tecnico_visitante",
-              "formacao_mandante", "formacao_visitante", "estado_mandante", "estado_visitante"]
 FONTE_CSV = "historico_csv"
 
 # Provider club names -> the names used by the historical CSV.
@@ -88,8 +86,10 @@ def with_season(child: DataFrame, partidas: DataFrame) -> DataFrame:
     """Season of each child row by a left join to the matches on id.
     ``partidas`` must be one row per id (see ``assert_unique``), so the join
     cannot fan out.  The physical join is the planner's choice (both sides
-    grow with the data)."""
-    return child.join(partidas.select("partida_id", "temporada"), "partida_id", "left")
+    grow with the data).  Id 0 stands for an unreadable one: it names no
+    match, and rows that have it keep a null season."""
+    known = partidas.filter(F.col("partida_id") != 0).select(F.col("partida_id").alias("_id"), "temporada")
+    return child.join(known, F.nullif("partida_id", F.lit(0)) == F.col("_id"), "left").drop("_id")
 
 
 def assert_unique(df: DataFrame, keys: list[str]) -> None:

@@ -28,6 +28,7 @@ TABLE_KEYS = {
 }
 
 SEQ = "_seq"
+DOC = "_doc"
 
 
 def _orderable(dt: T.DataType) -> bool:
@@ -82,6 +83,23 @@ def upsert(existing: DataFrame | None, new: DataFrame, keys: Sequence[str],
     return last_wins(both, keys, [seq]).drop(seq)
 
 
+def merge_documents(existing: DataFrame | None, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """U1 for rows that come from documents: ``new`` wins over ``existing``;
+    inside ``new`` the last document wins, then the last place in it (the
+    ``_doc`` column that the flatteners carry: file time, file name, place).
+    The order comes from the files alone, so a retry or another split of the
+    files into batches gives the same rows."""
+    ordered = DOC in new.columns
+    kind = new.schema[DOC].dataType if ordered else T.LongType()
+
+    def seq(batch: int, place: Column) -> Column:
+        return F.struct(F.lit(batch).cast("long").alias("batch"), place.cast(kind).alias("place"))
+
+    rows = new.withColumn(SEQ, seq(1, F.col(DOC) if ordered else F.lit(None)))
+    stored = None if existing is None else existing.withColumn(SEQ, seq(0, F.lit(None)))
+    return upsert(stored, rows.drop(DOC), keys)
+
+
 def last_synced_round(partidas: DataFrame, season: int,
                       finished=("FT", "finished")) -> DataFrame:
     """Highest round of ``season`` whose matches are finished (0 if none).
@@ -103,20 +121,25 @@ def changed_fixtures(new: DataFrame, last_round: Column | int,
 
 
 def update_season(existing: DataFrame, fixtures: DataFrame, season: int,
-                  fonte: str = "api_football", finished=("FT", "finished")) -> DataFrame:
+                  fonte: str = "api_football", finished=("FT", "finished"), mode: str = "differs") -> DataFrame:
     """U5 (plan): merge a provider's fixture rows (J1 output) into the stored
     matches of one season.
 
-    Last synced round (U3) of the stored rows -> only new or changed
-    fixtures (U4) -> tagged -> last-wins merge by match id (U1).  Returns the
-    season's new rows; the job writes them to the season partition only.
+    ``mode="source"``: last synced round (U3) of the stored rows -> only new
+    or changed fixtures (U4) -> tagged -> last-wins merge by match id (U1).
+    That rule never stores a result that finishes after another match of its
+    round did, so the default ``differs`` merges every fixture (one that
+    equals the stored row changes nothing).  Returns the season's new rows;
+    the job writes them to the season partition only.
     """
+    if mode not in ("differs", "source"):
+        raise ValueError(f"unknown mode {mode!r}")
     cur = existing.filter(F.col("temporada") == season)
-    last = last_synced_round(existing, season, finished).scalar()
     fx = fixtures.filter(F.col("temporada") == season) if "temporada" in fixtures.columns else fixtures
-    new = (changed_fixtures(fx, last, finished)
-           .withColumn("temporada", F.lit(season).cast("int")).withColumn("fonte", F.lit(fonte)))
-    return upsert(with_seq(cur, 0, F.lit(0)), with_seq(new, 1, F.lit(0)), TABLE_KEYS["partidas"])
+    if mode == "source":
+        fx = changed_fixtures(fx, last_synced_round(existing, season, finished).scalar(), finished)
+    new = fx.withColumn("temporada", F.lit(season).cast("int")).withColumn("fonte", F.lit(fonte))
+    return merge_documents(cur, new, TABLE_KEYS["partidas"])
 
 
 def dedup_matches(partidas: DataFrame, prefer: Sequence[str] = ("sofascore", "api_football", "historico_csv")) -> DataFrame:

@@ -161,12 +161,17 @@ def proxima_rodada(partidas: DataFrame, temporada: int) -> DataFrame:
 def previsao_rodada(partidas: DataFrame, temporada: int, elenco: str = "titular") -> DataFrame:
     """Score every game of the next round (home club = clube1, head-to-
     head from games with the same home club, form over 5 games).  The
-    reference year is the latest season of *all* matches, as on that page."""
+    reference year is the latest season of *all* matches, as on that page.
+    The distinct pairs are scored, and the games take their pair's score."""
     nxt = proxima_rodada(partidas, temporada)
     games = (partidas.filter(F.col("temporada") == temporada)
              .join(nxt.select("rodada"), "rodada")
              .select("partida_id", "rodada", F.col("mandante").alias("clube1"), F.col("visitante").alias("clube2")))
-    return P.match_probabilities(games, partidas, mando="t1_casa", elenco=elenco, year=P.max_year(partidas))
+    pairs = games.select("clube1", "clube2").distinct()
+    scored = P.match_probabilities(pairs, partidas, mando="t1_casa", elenco=elenco, year=P.max_year(partidas))
+    named = scored.withColumnsRenamed({"clube1": "_c1", "clube2": "_c2"})
+    return (games.join(named, F.col("clube1").eqNullSafe(F.col("_c1")) & F.col("clube2").eqNullSafe(F.col("_c2")))
+            .drop("_c1", "_c2"))
 
 
 def favorito(previsao: DataFrame) -> DataFrame:

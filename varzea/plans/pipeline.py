@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from varzea.operators.gold import VIEW_BUILDERS, build_gold
@@ -71,6 +72,7 @@ def build_silver_from_csv(spark: SparkSession, csv_root: str, dest: str | None =
     matches = conform(S.silver_partidas(read_csv_any(spark, f"{root}/partidas", sep=sep)))
     counts = {"partidas": write_table(matches, f"{dest}/partidas", partition_by=PARTITION_BY["partidas"])}
     partidas = spark.read.parquet(f"{dest}/partidas")
+    S.assert_unique(partidas.filter("partida_id <> 0"), ["partida_id"])
     for name, fn in [("estatisticas", S.silver_estatisticas), ("gols", S.silver_gols),
                      ("cartoes", S.silver_cartoes)]:
         counts[name] = write_table(fn(read_csv_any(spark, f"{root}/{name}", sep=sep), partidas),
@@ -115,6 +117,14 @@ class SilverLake(Lake):
     def escalacoes(self) -> DataFrame:  # type: ignore[override]
         return self._silver("escalacoes")
 
+    @cached_property
+    def classificacao(self) -> DataFrame | None:
+        """Provider standings, if any season has them."""
+        try:
+            return self._silver("classificacao")
+        except AnalysisException:  # no such folder
+            return None
+
 
 class _DedupLake(SilverLake):
     """A silver lake whose matches come from the de-duplicated folder."""
@@ -128,13 +138,16 @@ class _DedupLake(SilverLake):
         return self.spark.read.parquet(self._matches)
 
 
-def build_gold_tables(lk: Lake, dest: str | None = None) -> tuple[str, dict[str, int]]:
-    """G7 job: the six gold tables, written in dependency order."""
+def build_gold_tables(lk: Lake, dest: str | None = None, api_mode: str = "prefer") -> tuple[str, dict[str, int]]:
+    """G7 job: the six gold tables, written in dependency order.  Provider
+    standings are used when the lake has them: ``prefer`` takes them season by
+    season, ``replace`` (the source's rule) drops seasons without them."""
     from varzea.operators.gold import GOLD_INPUT_COLUMNS, require_tables
     dest = dest or scratch_dir(lk.spark, "gold")
     require_tables({"partidas": lk.partidas, "gols": lk.gols, "cartoes": lk.cartoes},
-                   columns=GOLD_INPUT_COLUMNS, non_empty=True)
-    gold = build_gold(lk.partidas, lk.gols, lk.cartoes)
+                   columns=GOLD_INPUT_COLUMNS)
+    require_tables({"partidas": lk.partidas}, required=("partidas",), non_empty=True)
+    gold = build_gold(lk.partidas, lk.gols, lk.cartoes, getattr(lk, "classificacao", None), api_mode)
     counts = {}
     for name in ["campeonato_historico", "artilharia_historica", "desempenho_clubes", "fair_play",
                  "classificacao_historica"]:
@@ -160,7 +173,7 @@ def read_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
 def build_all(spark: SparkSession, raw_root: str | None = None, dest: str | None = None,
               exports: bool = True, csv_root: str | None = None, landing_a: str | None = None,
               landing_b: str | None = None, seasons: tuple[int, ...] = (),
-              dedup_matches: bool = False) -> dict[str, object]:
+              dedup_matches: bool = False, api_mode: str = "prefer") -> dict[str, object]:
     """U8: land -> silver -> provider ingest -> gold -> views -> exports, in
     order; an exception stops the run (nothing later is written).
 
@@ -169,7 +182,8 @@ def build_all(spark: SparkSession, raw_root: str | None = None, dest: str | None
     ``landing_b`` with ``seasons`` merge provider payloads season by season
     before gold is built.  ``dedup_matches`` (off by default) keeps one row
     per (season, round, home, away) when two sources filed the same match
-    under different ids.  Returns the folders and row counts."""
+    under different ids.  ``api_mode`` as in ``build_gold_tables``.  Returns
+    the folders and row counts."""
     from varzea.sources.files import land_raw
     from varzea.streaming.refresh import ingest_season, ingest_season_b
     dest = (dest or scratch_dir(spark, "lake")).rstrip("/")
@@ -193,7 +207,7 @@ def build_all(spark: SparkSession, raw_root: str | None = None, dest: str | None
         one = _dedup(slk.partidas)
         out["dedup_matches"] = write_table(one, f"{dest}/silver_dedup/partidas", partition_by=["temporada"])
         slk = _DedupLake(spark, silver_root, raw_root or csv_root, f"{dest}/silver_dedup/partidas")
-    gold_root, gold_counts = build_gold_tables(slk, f"{dest}/gold")
+    gold_root, gold_counts = build_gold_tables(slk, f"{dest}/gold", api_mode)
     gold = read_gold(spark, gold_root)
     for name, df in gold.items():
         df.createOrReplaceTempView(name)

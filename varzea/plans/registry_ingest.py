@@ -206,7 +206,7 @@ SELECT partida_id, temporada, rodada, data, hora, mandante, visitante, CAST(NULL
        gols_mandante, gols_visitante, status, arena, 'api_football', CAST(NULL AS VARCHAR), mandante_id, visitante_id
 FROM ({_U04.replace("SELECT temporada,", "SELECT CAST(temporada AS INT) AS temporada,", 1)}) c""")
 register("u05_update_season", U05_SQL)(
-    lambda lk: U.update_season(lk.partidas, J.flatten_fixtures(FD.fixture_docs(lk.partidas)), RUNNING))
+    lambda lk: U.update_season(lk.partidas, J.flatten_fixtures(FD.fixture_docs(lk.partidas)), RUNNING, mode="source"))
 
 # the notebook analyses register themselves on import
 from varzea.plans import registry_legacy  # noqa: E402,F401
@@ -283,7 +283,7 @@ def _stream_refresh(lk):
     conform(lk.partidas).write.mode("overwrite").partitionBy("temporada").parquet(table)
     FD.fixture_docs(lk.partidas.filter(F.col("temporada") == RUNNING)).select("payload") \
         .write.mode("overwrite").text(landing)
-    refresh_stream(spark, landing, table, ckpt, RUNNING)
+    refresh_stream(spark, landing, table, ckpt, RUNNING, mode="source")
     return spark.read.parquet(table)
 
 
@@ -308,6 +308,34 @@ SELECT partida_id, temporada, rodada, data, {_HORA} AS hora, mandante, visitante
 FROM partidas WHERE temporada = {RUNNING} AND {_CHANGED}"""))(_stream_refresh)
 
 
+def _conflicting_documents(lk):
+    """Two files tell of each match of the running season, first with five
+    home goals too many and a later date; the later file must win."""
+    from varzea.streaming.refresh import conform, refresh_stream
+    spark = lk.spark
+    table, landing, ckpt = (scratch_dir(spark, n) for n in ("u07b-table", "u07b-landing", "u07b-ckpt"))
+    conform(lk.partidas).write.mode("overwrite").partitionBy("temporada").parquet(table)
+    now = lk.partidas.filter(F.col("temporada") == RUNNING)
+    early = (now.withColumn("gols_mandante", F.col("gols_mandante") + 5)
+             .withColumn("data", F.date_add("data", 40)))
+    for docs in (early, now):  # written one after the other
+        FD.fixture_docs(docs).select("payload").write.mode("append").text(landing)
+    refresh_stream(spark, landing, table, ckpt, RUNNING)
+    return spark.read.parquet(table)
+
+
+register("u07b_refresh_conflicting", q(f"""
+SELECT * FROM ({_BASE}) b WHERE temporada <> {RUNNING}
+UNION ALL
+SELECT partida_id, temporada, rodada, data, {_HORA} AS hora, mandante, visitante,
+       CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+       CAST(NULL AS VARCHAR) AS vencedor, arena, gols_mandante, gols_visitante,
+       CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+       CASE WHEN status = 'finished' THEN 'FT' ELSE 'NS' END AS status, 'api_football' AS fonte,
+       CAST(regexp_extract(mandante, '(\\d+)$', 1) AS BIGINT), CAST(regexp_extract(visitante, '(\\d+)$', 1) AS BIGINT)
+FROM partidas WHERE temporada = {RUNNING}"""))(_conflicting_documents)
+
+
 def _build_all(lk):
     """U8: the whole lake from the driver's tables into fresh folders;
     returns the written standings (G5) as the gold layer stores them."""

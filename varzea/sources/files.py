@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,24 +56,36 @@ def table(spark: SparkSession, root: str, name: str, layer: str = "silver",
 def read_payloads(spark: SparkSession, path, whole_file: bool = True) -> DataFrame:
     """Raw provider payloads.  ``whole_file``: one JSON document per file
     (the API cache layout, ``{endpoint}__{k}{v}_{k}{v}.json``); otherwise JSON
-    Lines.  The endpoint and parameters are parsed from the file name."""
+    Lines.  The endpoint and parameters are parsed from the file name;
+    ``_doc`` (file time, file name) orders the documents for a merge."""
     df = spark.read.text(path, wholetext=whole_file).select(
-        F.col("value").alias("payload"), F.col("_metadata.file_name").alias("_file"))
+        F.col("value").alias("payload"), F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_modification_time").alias("_time"))
     stem = F.regexp_replace("_file", r"\.json[l]?$", "")
     params = F.element_at(F.split(stem, "__"), -1)
     kv = F.transform(F.split(params, "_"), lambda p: F.struct(
         F.regexp_extract(p, r"^([A-Za-z]+)", 1).alias("k"), F.regexp_extract(p, r"^[A-Za-z]+(.*)$", 1).alias("v")))
     return df.select(
         F.element_at(F.split(stem, "__"), 1).alias("endpoint"),
-        F.map_from_entries(kv).alias("params"), "_file", "payload")
+        F.map_from_entries(kv).alias("params"), "_file", "payload",
+        F.struct(F.col("_time").alias("time"), F.col("_file").alias("file")).alias("_doc"))
 
 
 def land_raw(spark: SparkSession, src, dest: str, fmt: str = "text") -> DataFrame:
     """Bronze landing — keep the file content unchanged, add where and
-    when it came from, append to Parquet.  Returns the landed rows."""
+    when it came from, append to Parquet.  A file that is there already with
+    the same content is not landed again, so a retry adds nothing.  Returns
+    the landed rows."""
     df = (spark.read.text(src, wholetext=True)
           .select(F.col("value").alias("conteudo"), F.col("_metadata.file_path").alias("_source_file"),
                   F.current_timestamp().alias("_ingested_at"), F.lit(fmt).alias("_formato")))
+    df = df.withColumn("_sha256", F.sha2("conteudo", 256))
+    try:
+        landed = spark.read.parquet(dest).select("_source_file", "_sha256")
+    except AnalysisException:  # the first landing
+        landed = None
+    if landed is not None:
+        df = df.join(landed, ["_source_file", "_sha256"], "left_anti").select(*df.columns)
     df.write.mode("append").parquet(dest)
     return spark.read.parquet(dest)
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from varzea.operators import payloads as J
-from varzea.operators.upsert import TABLE_KEYS, update_season, upsert, with_seq
+from varzea.operators.upsert import TABLE_KEYS, merge_documents, update_season
 from varzea.session import scratch_dir
 
 
@@ -36,12 +36,12 @@ def _replace_seasons(spark: SparkSession, merged: DataFrame, table_dir: str, sta
 
 
 def run_update_season(spark: SparkSession, table_dir: str, fixtures_raw: DataFrame, season: int,
-                      staging: str | None = None) -> int:
+                      staging: str | None = None, mode: str = "differs") -> int:
     """U5 job: provider fixture documents (``payload`` column, optional
     ``temporada`` context) -> merged into the stored season.  Returns the
     number of rows now stored for the season."""
     existing = spark.read.parquet(table_dir)
-    merged = update_season(existing, J.flatten_fixtures(fixtures_raw), season)
+    merged = update_season(existing, J.flatten_fixtures(fixtures_raw), season, mode=mode)
     return _replace_seasons(spark, merged.select(*_table_order(existing, merged)), table_dir,
                             staging or scratch_dir(spark, f"staging-u05-{season}"))
 
@@ -71,23 +71,34 @@ def conform(df: DataFrame, schema: str = MATCH_SCHEMA) -> DataFrame:
 
 
 def refresh_stream(spark: SparkSession, source_dir: str, table_dir: str, checkpoint: str,
-                   season: int, max_files_per_trigger: int | None = None) -> None:
+                   season: int, max_files_per_trigger: int | None = None, mode: str = "differs",
+                   max_malformed: float = 0.0) -> None:
     """Fixture documents landing as JSON Lines in ``source_dir`` are
     merged into ``table_dir`` as they arrive.  Runs every available file and
     stops (``availableNow``); call again (or with a different trigger) for
     the next round.  ``checkpoint`` must be on the shared file system.
     ``max_files_per_trigger`` splits a backlog into several micro-batches;
-    each one is merged in turn (the result does not depend on the split)."""
+    each one is merged in turn.  Of several documents of one match the one
+    of the latest file wins, then the last line, whatever the split (the
+    source takes files in time order).  ``mode`` as in U5; a batch with more
+    than ``max_malformed`` of its documents malformed stops the stream."""
     reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = reader.text(source_dir).withColumnRenamed("value", "payload")
+    # a landed file is small, and only the whole file tells the place of a line
+    lines = (reader.text(source_dir, wholetext=True)
+             .select(F.struct(F.col("_metadata.file_modification_time").alias("time"),
+                              F.col("_metadata.file_name").alias("file")).alias("_file"),
+                     F.posexplode(F.split("value", "\n")).alias("_line", "payload")))
+    stream = (lines.filter(F.trim("payload") != "")
+              .select("payload", F.struct(F.col("_file").alias("file"), F.col("_line").alias("line")).alias(J.DOC)))
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
+        J.reject_malformed(batch, max_malformed)
         existing = spark.read.parquet(table_dir)
-        merged = update_season(existing, J.flatten_fixtures(batch), season)
+        merged = update_season(existing, J.flatten_fixtures(batch), season, mode=mode)
         _replace_seasons(spark, merged.select(*_table_order(existing, merged)), table_dir,
                          f"{checkpoint.rstrip('/')}/staging/epoch={epoch_id}")
 
@@ -107,9 +118,8 @@ def backfill_events(gols: DataFrame, cartoes: DataFrame, incidents_raw: DataFram
     g_new, c_new = J.flatten_incidents(incidents_raw)
     g_new = J.tag(g_new, matches, J.FONTE_B, sides=True).drop("lado")
     c_new = J.tag(c_new, matches, J.FONTE_B, sides=True).drop("lado")
-    g = upsert(with_seq(gols, 0, F.lit(0)), with_seq(g_new, 1, F.lit(0)), TABLE_KEYS["gols"])
-    c = upsert(with_seq(cartoes, 0, F.lit(0)), with_seq(c_new, 1, F.lit(0)), TABLE_KEYS["cartoes"])
-    return g, c
+    return (merge_documents(gols, g_new, TABLE_KEYS["gols"]),
+            merge_documents(cartoes, c_new, TABLE_KEYS["cartoes"]))
 
 
 __all__ = ["backfill_events", "conform", "ingest_season", "ingest_season_b", "merge_season", "refresh_stream",
@@ -132,15 +142,15 @@ def merge_season(spark: SparkSession, table_dir: str, new_rows: DataFrame, keys:
         return existing.filter(F.col("temporada") == season).count() if exists else 0
     if exists:
         cur = existing.filter(F.col("temporada") == season)
-        merged = upsert(with_seq(cur, 0, F.lit(0)), with_seq(new, 1, F.lit(0)), keys)
+        merged = merge_documents(cur, new, keys)
         merged = merged.select(*_table_order(existing, merged))
     else:
-        merged = new
+        merged = merge_documents(None, new, keys)
     return _replace_seasons(spark, merged, table_dir, staging)
 
 
 def ingest_season(spark: SparkSession, landing: str, silver_root: str, season: int,
-                  staging_root: str | None = None, fixtures_only: bool = False) -> dict[str, int]:
+                  staging_root: str | None = None, fixtures_only: bool = False, max_malformed: float = 0.0) -> dict[str, int]:
     """U5, complete: one season of provider A payload files (the API cache
     layout, ``{endpoint}__{params}.json``) merged into the silver tables.
 
@@ -155,17 +165,18 @@ def ingest_season(spark: SparkSession, landing: str, silver_root: str, season: i
     stage = (staging_root or scratch_dir(spark, f"staging-ingest-{season}")).rstrip("/")
     raw = read_payloads(spark, landing)
     prm = F.col("params")
+    J.reject_malformed(raw, max_malformed)
     fx_raw = (raw.filter((F.col("endpoint") == "fixtures") & (prm["season"] == str(season)))
-              .select(F.lit(season).cast("int").alias("temporada"), "payload"))
+              .select(F.lit(season).cast("int").alias("temporada"), "payload", J.DOC))
     out = {"partidas": run_update_season(spark, f"{root}/partidas", fx_raw, season, f"{stage}/partidas")}
     if fixtures_only:
         return out
-    parents = (J.finished(J.flatten_fixtures(fx_raw))
+    parents = (J.finished(merge_documents(None, J.flatten_fixtures(fx_raw), TABLE_KEYS["partidas"]))
                .select("partida_id", "temporada", "rodada", "mandante", "visitante"))
 
     def detail(endpoint: str) -> DataFrame:
         return (raw.filter(F.col("endpoint") == endpoint)
-                .select(prm["fixture"].cast("bigint").alias("partida_id"), "payload"))
+                .select(prm["fixture"].cast("bigint").alias("partida_id"), "payload", J.DOC))
 
     def tagged(df: DataFrame) -> DataFrame:
         return J.tag(df, parents, J.FONTE_A)
@@ -174,7 +185,7 @@ def ingest_season(spark: SparkSession, landing: str, silver_root: str, season: i
     gols, cartoes = J.flatten_events(detail("fixtures_events"))
     lineups = tagged(J.flatten_lineups(detail("fixtures_lineups")))
     standings = (J.flatten_standings(raw.filter((F.col("endpoint") == "standings")
-                                                & (prm["season"] == str(season))).select("payload"))
+                                                & (prm["season"] == str(season))).select("payload", J.DOC))
                  .withColumn("temporada", F.lit(season).cast("int")).withColumn("fonte", F.lit(J.FONTE_A)))
     for table, df in [("estatisticas", stats), ("gols", tagged(gols)), ("cartoes", tagged(cartoes)),
                       ("escalacoes", lineups), ("classificacao", standings)]:
@@ -184,7 +195,7 @@ def ingest_season(spark: SparkSession, landing: str, silver_root: str, season: i
 
 def ingest_season_b(spark: SparkSession, landing: str, silver_root: str, season: int,
                     staging_root: str | None = None, canonical: dict[str, str] | None = None,
-                    fixtures_only: bool = False) -> dict[str, int]:
+                    fixtures_only: bool = False, max_malformed: float = 0.0) -> dict[str, int]:
     """Provider B season ingest.  Landing layout: ``round__season{S}_round{R}.json``
     (the round's event list) and ``event_statistics|event_incidents|
     event_lineups__match{id}.json`` per match.
@@ -198,19 +209,21 @@ def ingest_season_b(spark: SparkSession, landing: str, silver_root: str, season:
     stage = (staging_root or scratch_dir(spark, f"staging-ingest-b-{season}")).rstrip("/")
     raw = read_payloads(spark, landing)
     prm = F.col("params")
+    J.reject_malformed(raw, max_malformed)
     rounds = (raw.filter((F.col("endpoint") == "round") & (prm["season"] == str(season)))
               .select(F.lit(season).cast("int").alias("temporada"), prm["round"].cast("int").alias("rodada"),
-                      "payload"))
+                      "payload", J.DOC))
     matches = J.flatten_matches(rounds, canonical=canonical if canonical is not None else {})
     out = {"partidas": merge_season(spark, f"{root}/partidas", matches, TABLE_KEYS["partidas"], season,
                                     f"{stage}/partidas")}
     if fixtures_only:
         return out
-    parents = J.finished(matches).select("partida_id", "temporada", "rodada", "mandante", "visitante")
+    last = merge_documents(None, matches, TABLE_KEYS["partidas"])
+    parents = J.finished(last).select("partida_id", "temporada", "rodada", "mandante", "visitante")
 
     def detail(endpoint: str) -> DataFrame:
         return (raw.filter(F.col("endpoint") == endpoint)
-                .select(prm["match"].cast("bigint").alias("partida_id"), "payload"))
+                .select(prm["match"].cast("bigint").alias("partida_id"), "payload", J.DOC))
 
     def tagged(df: DataFrame) -> DataFrame:
         return J.tag(df, parents, J.FONTE_B, sides=True).drop("lado")
