@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from varzea.llm import (bpe, embedding_join, licenses, packing, quality_rules, simhash, substring_dedup,
                         suffix_dedup, toxicity, url_filter)
 from varzea.llm.common import read_table
+from varzea.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,4 +69,3 @@ def vocabulary(name: str) -> str:
 QUERIES = {f.__name__: f for f in [op1_license_scan, op2_toxicity, op3_simhash_dedup, op4_best_fit_packing,
                                    op5_suffix_array_dedup, op6_embedding_dedup, op7_bpe_round_trip, op8_substring_dedup, op9_url_filter,
                                    op10_quality_rules]}
-ORACLES: dict[str, str] = {}
