@@ -2,6 +2,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from varzea.operators import silver as S
@@ -36,6 +37,51 @@ def test_csv_encodings_and_separator(spark, tmp_dir):
     assert r.partida_id == 3 and r.gols_mandante == 2 and r.temporada == 2003 and r.formacao_mandante is None
 
 
+def test_csv_width_is_each_rows_own(spark, tmp_dir):
+    d = os.path.join(tmp_dir, "goals")
+    os.makedirs(d)
+    with open(os.path.join(d, "five.csv"), "w") as f:
+        f.write("id,rodada,clube,atleta,minuto\n1,1,A,x,10\n2,1,A,\"y, \"\"z\"\"\",45+2\n")
+    with open(os.path.join(d, "six.csv"), "w") as f:
+        f.write("id,rodada,clube,atleta,minuto,tipo\n3,1,B,w,20,Penalty\n4,1,B,v,30,\n")
+    rows = FS.read_csv_any(spark, d, S.GOALS_COLUMNS, optional=1)
+    got = {(r.partida_id, r.atleta, r.tipo_de_gol) for r in rows.collect()}
+    assert got == {("1", "x", None), ("2", 'y, "z"', None), ("3", "w", "Penalty"), ("4", "v", None)}
+    with open(os.path.join(d, "seven.csv"), "w") as f:
+        f.write("a,b,c,d,e,f,g\n5,1,B,u,20,Penalty,extra\n")
+    with pytest.raises(Exception, match="7 columns, expected 6"):
+        FS.read_csv_any(spark, d, S.GOALS_COLUMNS, optional=1).collect()
+
+
+def test_provider_b_cache_names(spark, lake, tmp_dir):
+    from varzea.plans.pipeline import build_silver
+    from varzea.streaming.refresh import ingest_season_b
+    d, season = os.path.join(tmp_dir, "cache_b"), 2001
+    os.makedirs(d)
+    silver, _ = build_silver(lake, os.path.join(tmp_dir, "silver"))
+    p = lake.partidas.filter(f"temporada = {season}")
+    by_round = {}
+    for r in FD.round_docs(p).collect():
+        by_round.setdefault(r.rodada, []).extend(json.loads(r.payload)["events"])
+    for rodada, events in by_round.items():
+        with open(os.path.join(d, f"pub__unique-tournament_325_season_77_events_round_{rodada}__.json"), "w") as f:
+            json.dump({"events": events}, f)
+    one = p.filter("status = 'finished'").orderBy("rodada", "partida_id").first()
+    with open(os.path.join(d, f"pub__event_{one.partida_id}_statistics__.json"), "w") as f:
+        json.dump({"statistics": [{"period": "ALL", "groups": [{"statisticsItems": [
+            {"key": "totalShotsOnGoal", "homeValue": "31", "awayValue": "7"}]}]}]}, f)
+    read = {(r.endpoint, tuple(sorted(r.params.items()))) for r in FS.read_payloads(spark, d).collect()}
+    assert ("event_statistics", (("match", str(one.partida_id)),)) in read
+    assert ("round", (("round", str(one.rodada)), ("season_id", "77"))) in read
+    ingest_season_b(spark, d, silver, season, os.path.join(tmp_dir, "stage"), only_round=one.rodada, season_ids={season: 77})
+    stored = spark.read.parquet(f"{silver}/partidas").filter(f"temporada = {season}")
+    assert {r.rodada for r in stored.filter("fonte = 'sofascore'").select("rodada").distinct().collect()} == {one.rodada}
+    assert stored.count() == p.count()
+    shots = {r.clube: r.chutes for r in spark.read.parquet(f"{silver}/estatisticas").filter(
+        (F.col("partida_id") == one.partida_id) & (F.col("fonte") == "sofascore")).collect()}
+    assert shots[one.mandante] == 31 and shots[one.visitante] == 7
+
+
 def test_dirty_csv_file_round_trip(spark, lake, tmp_dir):
     out = os.path.join(tmp_dir, "dirty")
     FD.dirty_match_rows(lake.partidas).write.option("header", True).csv(out)

@@ -168,17 +168,21 @@ def last_games(played_df: DataFrame, n: int) -> DataFrame:
             .withColumn("res", F.when(gp > gc, "V").when(gp < gc, "D").otherwise("E")))
 
 
-def recent_form(played_df: DataFrame, n: int) -> DataFrame:
+def recent_form(played_df: DataFrame, n: int, details: bool = False) -> DataFrame:
     """Form over the last ``n`` games: W/D/L counts and the ordered result
-    string (newest first).  The per-club list is bounded by ``n``."""
+    string (newest first); with ``details`` also ``jogos``, each game's
+    result, opponent, goals, season and round.  The per-club list is bounded
+    by ``n``."""
     g = last_games(played_df, n)
-    ordered = F.array_sort(F.collect_list(F.struct("rn", "res")))
+    per_game = [F.col("adversario"), "gp", "gc", "temporada", "rodada"] if details else []
+    ordered = F.array_sort(F.collect_list(F.struct("rn", "res", *per_game)))
+    more = [F.transform(ordered, lambda x: x.dropFields("rn")).alias("jogos")] if details else []
     return g.groupBy("clube").agg(
         F.count_if(F.col("res") == "V").alias("wins"),
         F.count_if(F.col("res") == "E").alias("draws"),
         F.count_if(F.col("res") == "D").alias("losses"),
         F.array_join(F.transform(ordered, lambda x: x["res"]), "").alias("resultados"),
-        F.count(F.lit(1)).alias("n"))
+        F.count(F.lit(1)).alias("n"), *more)
 
 
 # ---- P3 -------------------------------------------------------------------------------------

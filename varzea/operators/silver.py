@@ -150,20 +150,25 @@ def canonical_clubs(df: DataFrame, cols: list[str], alias_dim: DataFrame) -> Dat
     return df
 
 
+#: Copies of each dictionary entry in ``unify_spelling``: a club's rows are dealt over as many tasks.
+SPELLING_SALTS = 32
+
+
 def unify_spelling(df: DataFrame, cols: list[str], collation: str = "UNICODE_CI_AI") -> DataFrame:
     """One spelling per club name under a collation (the MySQL
     ``*_unicode_ci`` meaning: case and accents ignored).  The spelling kept
     is the smallest one in binary order, so the result repeats.  The name
     dictionary is one aggregate over the distinct names (bounded by the
-    clubs); the join back is the planner's choice."""
-    names = None
-    for c in cols:
-        n = df.select(F.col(c).alias("_name"))
-        names = n if names is None else names.unionByName(n)
+    clubs); the join back is the planner's choice, with the rows of a club
+    salted by the row's hash so that no club is one task's work."""
+    names = df.select(F.explode(F.array(*cols)).alias("_name"))
     dim = (names.filter(F.col("_name").isNotNull()).distinct()
            .groupBy(F.collate("_name", collation).alias("_key"))
-           .agg(F.min(F.col("_name").cast("string")).alias("_canon")))
+           .agg(F.min(F.col("_name").cast("string")).alias("_canon"))
+           .withColumn("_of", F.explode(F.sequence(F.lit(0), F.lit(SPELLING_SALTS - 1)))))
+    hashed = [F.col(f"`{c}`") for c, t in df.dtypes if not t.startswith(("map", "variant"))]
+    out = df.withColumn("_salt", F.pmod(F.xxhash64(*hashed), F.lit(SPELLING_SALTS)).cast("int"))
     for c in cols:
-        df = (df.join(dim, F.collate(F.col(c), collation) == F.col("_key"), "left")
-              .withColumn(c, F.coalesce(F.col("_canon"), F.col(c))).drop("_key", "_canon"))
-    return df
+        out = (out.join(dim, (F.collate(F.col(c), collation) == F.col("_key")) & (F.col("_salt") == F.col("_of")), "left")
+               .withColumn(c, F.coalesce(F.col("_canon"), F.col(c))).drop("_key", "_canon", "_of"))
+    return out.drop("_salt")

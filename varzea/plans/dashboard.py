@@ -174,6 +174,25 @@ def previsao_rodada(partidas: DataFrame, temporada: int, elenco: str = "titular"
             .drop("_c1", "_c2"))
 
 
+def contexto_rodada(partidas: DataFrame, temporada: int, n: int = 5) -> DataFrame:
+    """D13, beside the forecast: one row per game of the next round and club
+    (``lado`` 1 at home, 2 away) with the club's form over ``n`` games and its
+    strength (score, stars, warning).  The clubs of the round are few rows
+    that meet the per-club tables once."""
+    nxt = proxima_rodada(partidas, temporada)
+    sides = F.inline(F.array(F.struct(F.lit(1).alias("lado"), F.col("mandante").alias("clube")),
+                             F.struct(F.lit(2).alias("lado"), F.col("visitante").alias("clube"))))
+    games = (partidas.filter(F.col("temporada") == temporada).join(nxt.select("rodada"), "rodada")
+             .select("partida_id", "rodada", sides))
+    played = P.played(partidas)
+    form = P.recent_form(played, n)
+    strength = P.team_strength(played, P.max_year(partidas))
+    known = P.strength_for(games.select("clube").distinct(), strength).join(form, "clube", "left")
+    return games.join(known, "clube").select(
+        "partida_id", "rodada", "lado", "clube", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("wins", "draws", "losses")],
+        F.coalesce("resultados", F.lit("")).alias("resultados"), "score", "last_year", "pts_per_game", "stars")
+
+
 def favorito(previsao: DataFrame) -> DataFrame:
     """Per game the gap max(p1, p2) - draw and a flag on the single
     clearest favourite (largest gap; lower match id on ties)."""

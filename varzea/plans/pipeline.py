@@ -69,13 +69,14 @@ def build_silver_from_csv(spark: SparkSession, csv_root: str, dest: str | None =
     dest = dest or scratch_dir(spark, "silver-csv")
     root = csv_root.rstrip("/")
     from varzea.streaming.refresh import conform
-    matches = conform(S.silver_partidas(read_csv_any(spark, f"{root}/partidas", sep=sep)))
+    matches = conform(S.silver_partidas(read_csv_any(spark, f"{root}/partidas", S.MATCH_COLUMNS, sep)))
     counts = {"partidas": write_table(matches, f"{dest}/partidas", partition_by=PARTITION_BY["partidas"])}
     partidas = spark.read.parquet(f"{dest}/partidas")
     S.assert_unique(partidas.filter("partida_id <> 0"), ["partida_id"])
-    for name, fn in [("estatisticas", S.silver_estatisticas), ("gols", S.silver_gols),
-                     ("cartoes", S.silver_cartoes)]:
-        counts[name] = write_table(fn(read_csv_any(spark, f"{root}/{name}", sep=sep), partidas),
+    for name, fn, names, optional in [("estatisticas", S.silver_estatisticas, S.STATS_COLUMNS, 0),
+                                      ("gols", S.silver_gols, S.GOALS_COLUMNS, 1),
+                                      ("cartoes", S.silver_cartoes, S.CARDS_COLUMNS, 0)]:
+        counts[name] = write_table(fn(read_csv_any(spark, f"{root}/{name}", names, sep, optional=optional), partidas),
                                    f"{dest}/{name}", partition_by=PARTITION_BY[name])
     return dest, counts
 

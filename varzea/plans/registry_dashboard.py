@@ -257,6 +257,11 @@ register("p2_recent_form", with_ctes(_model_ctes(form_n=5), "SELECT * FROM form"
 register("p2b_recent_form_reserva", with_ctes(_model_ctes(form_n=12), "SELECT * FROM form"))(
     lambda lk: P.recent_form(P.played(lk.partidas), 12))
 
+register("p2c_form_games", with_ctes(_model_ctes(form_n=5), """
+SELECT clube, CAST(rn - 1 AS INT) AS pos, res, adversario, gp, gc, temporada, rodada FROM lastg"""))(
+    lambda lk: P.recent_form(P.played(lk.partidas), 5, details=True)
+    .select("clube", F.posexplode("jogos").alias("pos", "j")).select("clube", "pos", "j.*"))
+
 register("p3_weighted_h2h", with_ctes(_model_ctes(), """
 SELECT clube1, clube2, ROUND(pct1, 6) AS pct1, ROUND(pct_draw, 6) AS pct_draw, ROUND(pct2, 6) AS pct2,
        ROUND(total_w, 6) AS total_w, total, vit1, vit2 FROM h2h"""))(
@@ -327,6 +332,20 @@ _D13_SQL = with_ctes(_model_ctes(form_n=5, h2h_filter="em_casa", year=_YEAR_ALL)
                      _prob_sql(_NEXT_FIX, "partida_id, rodada,", "t1_casa", 0.55))
 register("d13_previsao_rodada", _D13_SQL)(lambda lk: D.previsao_rodada(lk.partidas, RUNNING))
 
+register("d13b_contexto_rodada", with_ctes(_model_ctes(form_n=5, year=_YEAR_ALL), ",\n" + _NEXT_FIX.strip() + """,
+lados AS (
+  SELECT partida_id, rodada, 1 AS lado, clube1 AS clube FROM fixtures
+  UNION ALL SELECT partida_id, rodada, 2, clube2 FROM fixtures
+)
+SELECT l.partida_id, l.rodada, l.lado, l.clube, COALESCE(f.wins, 0) AS wins, COALESCE(f.draws, 0) AS draws,
+       COALESCE(f.losses, 0) AS losses, COALESCE(f.resultados, '') AS resultados,
+       ROUND(COALESCE(s.score, 0.3), 6) AS score, COALESCE(s.last_year, 0) AS last_year,
+       COALESCE(ROUND(s.ppg, 2), 0.0) AS pts_per_game,
+       CASE WHEN s.score >= 0.75 THEN 5 WHEN s.score >= 0.58 THEN 4 WHEN s.score >= 0.42 THEN 3
+            WHEN s.score >= 0.25 THEN 2 ELSE 1 END AS stars
+FROM lados l LEFT JOIN form f ON f.clube = l.clube LEFT JOIN strength s ON s.clube = l.clube"""))(
+    lambda lk: D.contexto_rodada(lk.partidas, RUNNING).withColumn("score", F.round("score", 6)))
+
 _D14_BODY = _D13_SQL.split("\nSELECT partida_id, rodada, clube1, clube2,")[0]
 register("d14_favorito", _D14_BODY + """,
 prev AS (

@@ -2,42 +2,59 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 REPLACEMENT_CHAR = "�"
+# Request paths in the names of provider B's cache files.
+EVENT_PATH = r"^event_(\d+)_(statistics|incidents|lineups)$"
+ROUND_PATH = r"_season_(\d+)_events_round_(\d+)$"
 
 
 def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def _csv(spark: SparkSession, path, names, sep, header, encoding) -> DataFrame:
+def _csv(spark: SparkSession, path, names, sep, header, encoding, optional) -> DataFrame:
     r = spark.read.option("header", str(header).lower()).option("sep", sep).option("encoding", encoding)
     r = r.option("mode", "PERMISSIVE").option("escape", '"')  # a quote inside quotes is doubled
-    if names:
-        r = r.schema(string_schema(names))
-    df = r.csv(path)
-    return df.withColumn("_source_file", F.col("_metadata.file_path"))
+    if names:  # the reader keeps the line of a row whose width is not the schema's
+        r = r.schema(string_schema([*names, "_line"])).option("columnNameOfCorruptRecord", "_line")
+    df = r.csv(path).withColumn("_source_file", F.col("_metadata.file_path"))
+    if not names:
+        return df
+    outside_quotes = F.regexp_replace("_line", '"[^"]*"', "")
+    width = F.size(F.split(outside_quotes, re.escape(sep)))
+    wrong = F.col("_line").isNotNull() & ~width.between(len(names) - optional, len(names))
+    # names a data column too: Spark reads no file for the kept line alone
+    message = F.concat_ws(" ", width.cast("string"), F.lit(f"columns, expected {len(names)}:"), "_source_file", names[0])
+    return df.filter(F.when(wrong, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop("_line")
 
 
 def read_csv_any(spark: SparkSession, path, names: list[str] | None = None, sep: str = ",",
-                 header: bool = True) -> DataFrame:
+                 header: bool = True, optional: int = 0) -> DataFrame:
     """CSV files of unknown encoding, all columns STRING.
 
+    With ``names`` every row's own width counts, so a folder may mix files
+    with and without the last ``optional`` columns (null where missing); a
+    row of any other width fails the read.  Without ``names`` the header of
+    one file names the columns of all.
+
     Spark does not fail on invalid UTF-8, it yields U+FFFD.  Files whose
     UTF-8 reading holds U+FFFD are read again as ISO-8859-1; the choice is
     made per file with a semi/anti join on the file path — all distributed,
     only matching rows of each reading survive.  A UTF-8 BOM is dropped by
     the reader.
     """
-    utf8 = _csv(spark, path, names, sep, header, "UTF-8")
+    utf8 = _csv(spark, path, names, sep, header, "UTF-8", optional)
     data_cols = [c for c in utf8.columns if c != "_source_file"]
     joined = F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in data_cols])
     bad = utf8.filter(joined.contains(REPLACEMENT_CHAR)).select("_source_file").distinct()
-    latin = _csv(spark, path, names, sep, header, "ISO-8859-1")
+    latin = _csv(spark, path, names, sep, header, "ISO-8859-1", optional)
     return (utf8.join(bad, "_source_file", "left_anti").select(*utf8.columns)
             .unionByName(latin.join(bad, "_source_file", "left_semi").select(*utf8.columns)))
 
@@ -57,7 +74,11 @@ def read_payloads(spark: SparkSession, path, whole_file: bool = True) -> DataFra
     """Raw provider payloads.  ``whole_file``: one JSON document per file
     (the API cache layout, ``{endpoint}__{k}{v}_{k}{v}.json``); otherwise JSON
     Lines.  The endpoint and parameters are parsed from the file name;
-    ``_doc`` (file time, file name) orders the documents for a merge."""
+    ``_doc`` (file time, file name) orders the documents for a merge.
+
+    Provider B's cache names the request path instead,
+    ``{client}__{path with _}__{params}.json``: its round lists become endpoint
+    ``round`` (season_id, round), its match details ``event_*`` (match)."""
     df = spark.read.text(path, wholetext=whole_file).select(
         F.col("value").alias("payload"), F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.file_modification_time").alias("_time"))
@@ -65,9 +86,16 @@ def read_payloads(spark: SparkSession, path, whole_file: bool = True) -> DataFra
     params = F.element_at(F.split(stem, "__"), -1)
     kv = F.transform(F.split(params, "_"), lambda p: F.struct(
         F.regexp_extract(p, r"^([A-Za-z]+)", 1).alias("k"), F.regexp_extract(p, r"^[A-Za-z]+(.*)$", 1).alias("v")))
+    path = F.get(F.split(stem, "__"), F.lit(1))
+    match = F.regexp_extract(path, EVENT_PATH, 1)
+    detail = F.regexp_extract(path, EVENT_PATH, 2)
+    season_id, rodada = F.regexp_extract(path, ROUND_PATH, 1), F.regexp_extract(path, ROUND_PATH, 2)
     return df.select(
-        F.element_at(F.split(stem, "__"), 1).alias("endpoint"),
-        F.map_from_entries(kv).alias("params"), "_file", "payload",
+        F.when(match != "", F.concat(F.lit("event_"), detail)).when(rodada != "", F.lit("round"))
+         .otherwise(F.element_at(F.split(stem, "__"), 1)).alias("endpoint"),
+        F.when(match != "", F.create_map(F.lit("match"), match))
+         .when(rodada != "", F.create_map(F.lit("season_id"), season_id, F.lit("round"), rodada))
+         .otherwise(F.map_from_entries(kv)).alias("params"), "_file", "payload",
         F.struct(F.col("_time").alias("time"), F.col("_file").alias("file")).alias("_doc"))
 
 

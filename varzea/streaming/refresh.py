@@ -193,12 +193,23 @@ def ingest_season(spark: SparkSession, landing: str, silver_root: str, season: i
     return out
 
 
+# Season -> the provider's own season number.
+SEASON_IDS_B = {
+    2003: 90151, 2004: 90149, 2005: 10050, 2006: 90145, 2007: 89936, 2008: 1223, 2009: 2079, 2010: 2684,
+    2011: 3311, 2012: 4438, 2013: 6075, 2014: 7778, 2015: 10173, 2016: 11429, 2017: 13100, 2018: 16183,
+    2019: 22931, 2020: 27591, 2021: 36166, 2022: 40557, 2023: 48982, 2024: 58766, 2025: 72034, 2026: 87678,
+}
+
+
 def ingest_season_b(spark: SparkSession, landing: str, silver_root: str, season: int,
                     staging_root: str | None = None, canonical: dict[str, str] | None = None,
-                    fixtures_only: bool = False, max_malformed: float = 0.0) -> dict[str, int]:
-    """Provider B season ingest.  Landing layout: ``round__season{S}_round{R}.json``
-    (the round's event list) and ``event_statistics|event_incidents|
-    event_lineups__match{id}.json`` per match.
+                    fixtures_only: bool = False, max_malformed: float = 0.0, only_round: int | None = None,
+                    season_ids: dict[int, int] | None = None) -> dict[str, int]:
+    """Provider B season ingest.  Landing layout: the provider's cache files
+    (``read_payloads``; its own season numbers come from ``season_ids``), or
+    ``round__season{S}_round{R}.json`` (the round's event list) and
+    ``event_statistics|event_incidents|event_lineups__match{id}.json`` per
+    match.  ``only_round`` takes one round's matches and their details.
 
     Round lists -> matches (J6, club names canonicalised, season/round from
     the file) merged by id; details of *finished* matches (J10) -> J7/J8/J9,
@@ -210,7 +221,11 @@ def ingest_season_b(spark: SparkSession, landing: str, silver_root: str, season:
     raw = read_payloads(spark, landing)
     prm = F.col("params")
     J.reject_malformed(raw, max_malformed)
-    rounds = (raw.filter((F.col("endpoint") == "round") & (prm["season"] == str(season)))
+    own_id = (SEASON_IDS_B if season_ids is None else season_ids).get(season)
+    of_season = F.coalesce(prm["season"] == str(season), prm["season_id"] == str(own_id), F.lit(False))
+    if only_round is not None:
+        of_season = of_season & (prm["round"].cast("int") == only_round)
+    rounds = (raw.filter((F.col("endpoint") == "round") & of_season)
               .select(F.lit(season).cast("int").alias("temporada"), prm["round"].cast("int").alias("rodada"),
                       "payload", J.DOC))
     matches = J.flatten_matches(rounds, canonical=canonical if canonical is not None else {})
