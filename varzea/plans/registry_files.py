@@ -1,6 +1,6 @@
-"""Registrations: the file layer (S1-S7, K1-K4, V6).  Each entry writes files
-derived from the driver's tables into a scratch folder, reads them back with
-the library's sources and returns what was read."""
+"""Registrations: the file layer (S1-S7, K1-K4, V6).  All but S7 and V6
+write files derived from the driver's tables into a scratch folder, read them
+back with the library's sources and return what was read."""
 
 from __future__ import annotations
 
