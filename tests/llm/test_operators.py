@@ -316,6 +316,22 @@ def test_substring_dedup(docs, rows, monkeypatch):
     assert texts[12]["text"] == "another start and end" and texts[2]["text"] is None
 
 
+def test_substring_dedup_of_rows_that_share_an_id(spark, monkeypatch):
+    a = [f"a{k}" for k in range(100)]
+    b = [f"b{k}" for k in range(40)] + a[:60]
+    c = [f"c{k}" for k in range(50)]
+    d = [f"d{k}" for k in range(10)] + c[5:45]
+    data = [(None, a), (None, b), (None, a), (5, d), (5, c), (5, None), (None, None), (9, c)]
+    df = spark.createDataFrame([(i, w and " ".join(w)) for i, w in data], "doc_id long, text string")
+    want = Counter()
+    for (i, w), kept in zip(data, [a, b[:40], a, d[:10], c, None, None, []]):
+        want[i, len(w or ()), len(w or ()) - len(kept or ()), hashlib.sha256(" ".join(kept or ()).encode()).hexdigest()] += 1
+    for chunk, parts in [(1_000_000, 1), (1_000_000, 3), (1, 1)]:  # rows in one chunk, in several tasks, in a chunk each
+        monkeypatch.setattr(substring_dedup, "CHUNK_WORDS", chunk)
+        got = substring_dedup.digests(df.repartition(parts))
+        assert by_row(got, "doc_id", "n_words", "n_removed", "kept_sha256") == want
+
+
 # 9 URL filter
 
 def test_url_rules_and_trees(spark, monkeypatch):

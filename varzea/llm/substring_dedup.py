@@ -7,35 +7,40 @@
    on, so a passage that a third of the corpus shares sends one entry per
    chunk (a map-side combine).
 2. The windows are shuffled by the second hash.  A shuffle row holds a chunk's
-   windows of one hash range as packed columns (first hash, document,
-   position), about nine bytes a window.
+   windows of one hash range as packed columns (first hash and position of each
+   window, id and text hash of each run of windows of one row).
 3. In each hash range the occurrences of a hash are counted; all but the
    earliest (by document, then position) are repeats and are shuffled to their
-   documents.
-4. Each document merges its repeated windows into maximal intervals of words.
+   rows.
+4. Each row merges its repeated windows into maximal intervals of words.
+
+A row is known by its id and a 64-bit hash of its text, so rows that share an
+id (or have none) lose only what they hold themselves; rows equal in both have
+the same repeats.  The id and the position alone decide which window is earlier.
 
 Two different windows are taken for one only if 64 bits of one hash and the
-hash range of the other agree by chance: with 2^r ranges 2^-(64+r) per pair.
+hash range of the other agree by chance: with 2^r ranges 2^-(64+r) per pair;
+two texts of one id with 2^-64 per pair.
 
 Defined results: a null or empty text has no words; fewer than ``WINDOW``
 words are never removed; of windows with the same document id and the same
 position (repeated rows) none comes first, so a repeated row loses no more
-than its twin; a null id sorts before all others; texts are read whole, in
+than its twin; null ids are one id that sorts before all others; texts are read whole, in
 chunks, so that a task holds one chunk, one hash range or one range of
-documents at a time.
+rows at a time.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
@@ -45,7 +50,7 @@ from varzea.llm.common import fresh, partitions, text_bytes
 WINDOW = 20
 #: Words that a map task hashes at once.
 CHUNK_WORDS = 1_000_000
-#: Hash ranges and document ranges per shuffle partition.  A hash range sends a document range one row at most,
+#: Hash ranges and row ranges per shuffle partition.  A hash range sends a row range one packed row at most,
 #: and never more rows than it has repeats.
 RANGES = 2
 NULL_ID = -(1 << 63)
@@ -95,85 +100,91 @@ def _mix(a: np.ndarray) -> np.ndarray:
         return a ^ (a >> np.uint64(29))
 
 
-def _first_of_each(*keys: np.ndarray) -> np.ndarray:
-    """Mask of the first row of each key, in the rows' own order."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    for k in keys:
-        new[1:] |= k[order][1:] != k[order][:-1]
-    mask = np.zeros(len(order), bool)
-    mask[order[new]] = True
-    return mask
-
-
-def _emit(kind: int, part: np.ndarray, doc: np.ndarray, at: np.ndarray, h: np.ndarray | None) -> pd.DataFrame:
-    """Packed rows, one per range."""
+def _emit(kind: int, part: np.ndarray, doc: np.ndarray, key: np.ndarray, at: np.ndarray,
+          h: np.ndarray | None) -> pd.DataFrame:
+    """Packed rows, one per range; windows of one row that follow each other share an entry of doc, key and ends."""
     order = np.argsort(part, kind="stable")
-    part, doc, at = part[order], doc[order], at[order]
+    part, doc, key, at = part[order], doc[order], key[order], at[order]
     h = None if h is None else h[order]
     cut = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
-    rows = [(kind, int(part[a]), pack_ints(doc[a:b]), pack_ints(at[a:b]), b"" if h is None else h[a:b].tobytes())
-            for a, b in zip(cut[:-1], cut[1:]) if b > a]
-    return pd.DataFrame(rows, columns=["kind", "part", "doc", "at", "hash"])
-
-
-PACKED = "kind int, part int, doc binary, at binary, hash binary"
+    rows = []
+    for a, b in zip(cut[:-1], cut[1:]):
+        if b > a:
+            ends = np.append(np.flatnonzero((np.diff(doc[a:b]) != 0) | (np.diff(key[a:b]) != 0)) + 1, b - a)
+            rows.append((kind, int(part[a]), pack_ints(doc[a:b][ends - 1]), key[a:b][ends - 1].tobytes(), pack_ints(ends),
+                         pack_ints(at[a:b]), b"" if h is None else h[a:b].tobytes()))
+    return pd.DataFrame(rows, columns=["kind", "part", "doc", "key", "ends", "at", "hash"])
+
+
+def _unpack(rows: Iterable[tuple[bytes, bytes, bytes, bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc, key and at of every window of packed (doc, key, ends, at)."""
+    docs, keys, ats = [], [], []
+    for doc, key, ends, at in rows:
+        sizes = np.diff(unpack_ints(ends), prepend=0)
+        docs.append(np.repeat(unpack_ints(doc), sizes))
+        keys.append(np.repeat(np.frombuffer(key, np.int64), sizes))
+        ats.append(unpack_ints(at))
+    return np.concatenate(docs), np.concatenate(keys), np.concatenate(ats)
+
+
+PACKED = "kind int, part int, doc binary, key binary, ends binary, at binary, hash binary"
 WINDOWS, REPEATS = 0, 1
 
 
-def _doc_range(doc: np.ndarray, ranges: int) -> np.ndarray:
-    """As ``pmod(xxhash64(id), ranges)`` in Spark."""
-    ids, inverse = np.unique(doc, return_inverse=True)
+def _row_range(doc: np.ndarray, key: np.ndarray, ranges: int) -> np.ndarray:
+    """As ``pmod(xxhash64(id ^ key), ranges)`` in Spark."""
+    ids, inverse = np.unique(doc ^ key, return_inverse=True)
     packed = ids.astype("<i8").tobytes()
     signed = np.array([xxhash.xxh64_intdigest(packed[k:k + 8], 42) for k in range(0, len(packed), 8)], np.uint64)
     return (signed.view(np.int64) % ranges)[inverse]
 
 
-def _hash_chunk(ids: list[int], words: list[np.ndarray], width: int, ranges: int) -> Iterator[pd.DataFrame]:
-    order = sorted(range(len(ids)), key=ids.__getitem__)
-    sizes = np.array([len(words[k]) for k in order])
+def _hash_chunk(rows: dict[tuple[int, int], np.ndarray], width: int, ranges: int) -> Iterator[pd.DataFrame]:
+    """``rows``: word hashes of each id and text hash."""
+    order = sorted(rows)
+    sizes = np.array([len(rows[k]) for k in order])
     total = int(sizes.sum())
-    word = np.concatenate([words[k] for k in order])
+    word = np.concatenate([rows[k] for k in order])
     begin = np.cumsum(sizes) - sizes
-    doc = np.repeat(np.array([ids[k] for k in order], np.int64), sizes)
+    ids = np.array([i for i, _ in order], np.int64)
+    doc, key = np.repeat(ids, sizes), np.repeat(np.array([k for _, k in order], np.int64), sizes)
     at = np.arange(total) - np.repeat(begin, sizes)
     whole = (at + width <= np.repeat(sizes, sizes))[:total - width + 1]
     h = window_hashes(word, _B1, width)[whole]
     part = (window_hashes(_mix(word), _B2, width)[whole] >> np.uint64(20)) % np.uint64(ranges)
-    doc, at, part = doc[:len(whole)][whole], at[:len(whole)][whole], part.astype(np.int64)
-    first = _first_of_each(part, h)
-    twin = np.zeros(len(h), bool)
-    if not first.all():  # same id and position as the earliest: not later than it
-        order2 = np.lexsort((np.arange(len(h)), h, part))
-        lead = np.maximum.accumulate(np.where(first[order2], np.arange(len(h)), 0))
-        twin[order2] = (doc[order2] == doc[order2][lead]) & (at[order2] == at[order2][lead])
-        later = ~first & ~twin
-        if later.any():
-            yield _emit(REPEATS, _doc_range(doc[later], ranges), doc[later], at[later], None)
-    if first.any():
-        yield _emit(WINDOWS, part[first], doc[first], at[first], h[first])
+    doc, key, at = (x[:len(whole)][whole] for x in (doc, key, at))
+    part = part.astype(np.int64)
+    by = np.arange(len(h))
+    if (np.diff(ids) == 0).any():  # rows of one id: the earlier place first, whatever the row
+        by = np.lexsort((at, doc))
+    by = by[np.lexsort((h[by], part[by]))]
+    new = np.ones(len(by), bool)
+    new[1:] = (h[by][1:] != h[by][:-1]) | (part[by][1:] != part[by][:-1])
+    lead = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+    later = np.zeros(len(by), bool)
+    later[by] = (doc[by] != doc[lead]) | (at[by] != at[lead])  # same id and place as the earliest: not later than it
+    if later.any():
+        yield _emit(REPEATS, _row_range(doc[later], key[later], ranges), doc[later], key[later], at[later], None)
+    yield _emit(WINDOWS, part[~later], doc[~later], key[~later], at[~later], h[~later])
 
 
 def _hash_windows(width: int, ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids: list[int] = []
-        hashed: list[np.ndarray] = []
+        hashed: dict[tuple[int, int], np.ndarray] = {}
         held = 0
         digest = xxhash.xxh64_intdigest
         for batch in batches:
-            for i, t in zip(batch["id"].tolist(), batch["text"]):
+            for i, k, t in zip(batch["id"].tolist(), batch["key"].tolist(), batch["text"]):
                 words = t.split()  # on space, tab, \n, \v, \f, \r
-                if len(words) < width:
+                if len(words) < width or (i, k) in hashed:
                     continue
-                ids.append(i)
-                hashed.append(np.fromiter(map(digest, words), np.uint64, len(words)))
+                hashed[i, k] = np.fromiter(map(digest, words), np.uint64, len(words))
                 held += len(words)
                 if held >= CHUNK_WORDS:
-                    yield from _hash_chunk(ids, hashed, width, ranges)
-                    ids, hashed, held = [], [], 0
-        if ids:
-            yield from _hash_chunk(ids, hashed, width, ranges)
+                    yield from _hash_chunk(hashed, width, ranges)
+                    hashed, held = {}, 0
+        if hashed:
+            yield from _hash_chunk(hashed, width, ranges)
     return run
 
 
@@ -184,8 +195,7 @@ def _later_ones(ranges: int):
         known, rows = rows[rows["kind"] == REPEATS], rows[rows["kind"] == WINDOWS]
         if not len(rows):
             return known
-        doc = np.concatenate([unpack_ints(b) for b in rows["doc"]])
-        at = np.concatenate([unpack_ints(b) for b in rows["at"]])
+        doc, key, at = _unpack(zip(rows["doc"], rows["key"], rows["ends"], rows["at"]))
         h = np.frombuffer(b"".join(rows["hash"]), np.uint64)
         order = np.argsort(h, kind="stable")
         same = np.zeros(len(h), bool)
@@ -193,26 +203,33 @@ def _later_ones(ranges: int):
         same[1:] |= equal
         same[:-1] |= equal
         some = order[same]  # occurrences of hashes that more than one chunk has
-        h, doc, at = h[some], doc[some], at[some]
+        h, doc, key, at = h[some], doc[some], key[some], at[some]
         order = np.lexsort((at, doc, h))
-        h, doc, at = h[order], doc[order], at[order]
+        h, doc, key, at = h[order], doc[order], key[order], at[order]
         lead = np.arange(len(h))
         lead[1:][h[1:] == h[:-1]] = 0
         lead = np.maximum.accumulate(lead)
         later = (doc != doc[lead]) | (at != at[lead])
         if not later.any():
             return known
-        return pd.concat([known, _emit(REPEATS, _doc_range(doc[later], ranges), doc[later], at[later], None)])
+        doc, key, at = doc[later], key[later], at[later]
+        order = np.lexsort((at, key, doc))
+        doc, key, at = doc[order], key[order], at[order]
+        return pd.concat([known, _emit(REPEATS, _row_range(doc, key, ranges), doc, key, at, None)])
     return run
 
 
+def _id(docs: DataFrame) -> Column:
+    return F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
+
+
 def repeated_windows(docs: DataFrame, width: int = WINDOW) -> DataFrame:
-    """Packed repeats by range of documents: part, doc, at."""
+    """Packed repeats by range of rows: part, doc, key, ends, at."""
     spark = docs.sparkSession
     ranges = RANGES * partitions(spark)
-    source = docs.select(F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("id"), text_bytes(docs).alias("text"))
+    source = docs.select(_id(docs).alias("id"), F.xxhash64(text_bytes(docs)).alias("key"), text_bytes(docs).alias("text"))
     return (source.mapInPandas(_hash_windows(width, ranges), PACKED).groupBy("part")
-            .applyInPandas(_later_ones(ranges), PACKED).select("part", "doc", "at"))
+            .applyInPandas(_later_ones(ranges), PACKED).select("part", "doc", "key", "ends", "at"))
 
 
 def intervals(starts: np.ndarray, width: int) -> list[tuple[int, int]]:
@@ -240,27 +257,28 @@ def with_removals(docs: DataFrame, digest: Callable[[bytes, list[tuple[int, int]
                   width: int = WINDOW) -> DataFrame:
     """Rows of ``docs`` and, for each, the ``fields`` that ``digest`` makes of
     its text and its removal intervals (in words).  Texts meet their packed
-    repeats by range of documents."""
+    repeats by range of rows; texts too short for a window go to any range."""
     ranges = RANGES * partitions(docs.sparkSession)
-    part = fresh(docs, "part")
+    part, key = fresh(docs, "part"), fresh(docs, "key")
     columns = docs.columns
-    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
-    left = docs.withColumn(part, F.pmod(F.xxhash64(key), F.lit(ranges)).cast("int"))
+    text_key = F.xxhash64(text_bytes(docs))
+    dealt = F.when(F.octet_length(text_bytes(docs)) < 2 * width - 1, F.spark_partition_id().cast("long")).otherwise(
+        _id(docs).bitwiseXOR(text_key))
+    left = docs.select("*", text_key.alias(key), F.pmod(F.xxhash64(dealt), F.lit(ranges)).cast("int").alias(part))
     right = repeated_windows(docs, width)
     names, id_at, text_at = fields.names, columns.index("doc_id"), columns.index("text")
 
     def run(rows: pa.Table, repeats: pa.Table) -> pa.Table:
-        starts: dict[int, np.ndarray] = {}
+        starts: dict[tuple[int, int], np.ndarray] = {}
         if len(repeats):
-            doc = np.concatenate([unpack_ints(b.as_py()) for b in repeats["doc"]])
-            at = np.concatenate([unpack_ints(b.as_py()) for b in repeats["at"]])
-            order = np.lexsort((at, doc))
-            doc, at = doc[order], at[order]
-            cut = np.concatenate([[0], np.flatnonzero(np.diff(doc)) + 1])
-            starts = dict(zip(doc[cut].tolist(), np.split(at, cut[1:])))
+            doc, key, at = _unpack(zip(*(repeats[c].to_pylist() for c in ("doc", "key", "ends", "at"))))
+            order = np.lexsort((at, key, doc))
+            doc, key, at = doc[order], key[order], at[order]
+            cut = np.concatenate([[0], np.flatnonzero((np.diff(doc) != 0) | (np.diff(key) != 0)) + 1])
+            starts = dict(zip(zip(doc[cut].tolist(), key[cut].tolist()), np.split(at, cut[1:])))
         out = []
-        for i, t in zip(rows.column(id_at), rows.column(text_at)):
-            spans = intervals(starts.get(NULL_ID if i.as_py() is None else int(i.as_py()), ()), width)
+        for i, t, k in zip(rows.column(id_at), rows.column(text_at), rows.column(len(columns))):
+            spans = intervals(starts.get((NULL_ID if i.as_py() is None else int(i.as_py()), k.as_py()), ()), width)
             out.append(digest((t.as_py() or "").encode(), spans))
         made = pa.Table.from_pylist(out, schema=fields)
         kept = rows.select(list(range(len(columns))))
