@@ -197,6 +197,27 @@ def test_packing_over_several_levels(spark, monkeypatch):
     assert len(got) == 700 and max(fill.values()) <= 1024 and len(fill) <= 1.03 * least + 2
 
 
+def test_packing_of_many_empty_texts(spark):
+    import public_tokenizers
+    df = spark.range(10_000).selectExpr("id AS doc_id", "CASE WHEN id % 2 = 0 THEN '' END AS text")
+    got = packing.pack_documents(df, public_tokenizers.path("byte_bpe_50k.tiktoken"), {"<|endoftext|>": 50256}).collect()
+    fill = Counter(r["sequence_id"] for r in got)
+    assert sorted(r["doc_id"] for r in got) == list(range(10_000)) and {r["length"] for r in got} == {1}
+    assert len({(r["sequence_id"], r["offset"]) for r in got}) == 10_000 and max(fill.values()) <= 1024 and len(fill) == 10
+
+
+def test_packing_shrinks_when_shards_have_few_bins(spark, monkeypatch):
+    """A level keeps at most half of its pieces, whatever their lengths."""
+    monkeypatch.setattr(packing, "SHARD", 64)
+    data = [(k, 0, 0, 1 if k % 8 else 1000, 0) for k in range(200)]
+    df = spark.createDataFrame(data, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = packing.pack(df).collect()
+    fill = Counter()
+    for r in got:
+        fill[r["sequence_id"]] += r["length"]
+    assert sorted(r["doc_id"] for r in got) == list(range(200)) and max(fill.values()) <= 1024
+
+
 def test_crossover_keeps_every_piece_once():
     rng = np.random.default_rng(0)
     lengths = rng.integers(1, 900, 200).tolist()

@@ -12,8 +12,10 @@ about ``SHARD`` pieces, and several islands work on each shard:
 * after each epoch the best individual of every island (the elite) moves to
   the next island of its shard;
 * at the end a shard keeps the bins of its best individual, but for its
-  ``OPEN_BINS`` worst: their pieces migrate to the next level, where fewer
-  shards pack what all shards left over, until one shard is left.
+  ``OPEN_BINS`` worst, or as many of these as hold half of its pieces at most:
+  their pieces migrate to the next level, where fewer shards pack what all
+  shards left over, until one shard is left.  Each level has at most half of
+  the pieces of the one before.
 
 A task holds one shard (lengths for evolution, rows for the final placing).
 
@@ -241,8 +243,8 @@ def _place(level: int, last: bool):
         items = items.sort_values("row").reset_index(drop=True)
         best = states.sort_values(["bins", "fill", "island"], ascending=[True, False, True])["best"].iloc[0]
         items["bin"] = np.frombuffer(best, np.int32)
-        fill = items.groupby("bin")["length"].sum().sort_values(kind="stable")
-        opened = set() if last else set(fill.index[:OPEN_BINS])
+        bins = items.groupby("bin")["length"].agg(["sum", "size"]).sort_values("sum", kind="stable")[:OPEN_BINS]
+        opened = set() if last else set(bins.index[2 * bins["size"].cumsum() <= len(items)])
         items["settled"] = ~items["bin"].isin(opened)
         items["sequence_id"] = (level << 58) + (int(key[0]) << 24) + items["bin"].astype("int64")
         items["offset"] = items.groupby("bin")["length"].cumsum() - items["length"]
