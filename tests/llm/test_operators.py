@@ -380,6 +380,18 @@ def test_url_rules_and_trees(spark, monkeypatch):
     assert {r["verdict"] for r in only.collect()} == {"allow"}
 
 
+def test_a_hot_url_is_one_training_row(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "TREES", 3)
+    monkeypatch.setattr(url_filter, "TRAIN_ROWS", 150)
+    urls = [f"https://s{k}.example.com/{'de' if k % 2 else 'fr'}/{k}" for k in range(200)]
+    hot = min(urls, key=lambda u: np.uint64(xxhash.xxh64_intdigest(u, 42)).astype(np.int64))  # the first by Spark's hash
+    data = urls + [hot] * 150 + [u.replace(".com/", ".net/") for u in urls]
+    judged = url_filter.judge(spark.createDataFrame(list(enumerate(data)), "page_id long, url string"))
+    right = judged.filter("rule IS NULL").select(
+        ((F.col("verdict") == "block") == F.col("path").startswith("/de/")).cast("int").alias("ok")).agg(F.avg("ok")).first()[0]
+    assert right > 0.9
+
+
 # 10 quality rules
 
 def test_quality_ledger(docs, rows):

@@ -3,8 +3,8 @@ lexical features.  DataFrame and SQL functions only.
 
 Rules name a host and a path; a rule fits its host and all subdomains when the
 path begins with the rule's path, and the longest rule wins.  URLs that a rule
-settles are the labelled ones: at most ``TRAIN_ROWS`` of them (chosen by a
-hash) train the trees, which judge all the others.
+settles are the labelled ones: at most ``TRAIN_ROWS`` distinct ones (chosen by
+a hash) train the trees, which judge all the others.
 
 Features of a URL: length, path depth, digit ratio, character entropy, number
 of parameters, hyphens and labels of the host, and suffix statistics: the
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from varzea.llm.common import fresh, staged
 
-#: Labelled URLs that the trees are trained on, at most.
+#: Distinct labelled URLs that the trees are trained on, at most.
 TRAIN_ROWS = 10_000
 TREES = 8
 DEPTH = 3
@@ -133,7 +133,7 @@ def judge(pages: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     label = F.col("rule").isin(blocked).cast("double") if blocked else F.lit(0.0)
     rows = base.select("*", *[c.alias(k) for k, c in lexical(F.col("url"), F.col("host"), F.col("path")).items()])
 
-    chosen = (base.filter(F.col("rule").isNotNull()).select("url", "host", "path", label.alias("label"))
+    chosen = (base.filter(F.col("rule").isNotNull()).select("url", "host", "path", label.alias("label")).distinct()
               .orderBy(F.xxhash64("url"), "url").limit(TRAIN_ROWS))
     train = staged(chosen.select("label", F.pmod(F.xxhash64(F.lit("half"), "url"), F.lit(2)).cast("int").alias("half"), *[c.alias(k) for k, c in
                                             lexical(F.col("url"), F.col("host"), F.col("path")).items()]), "url-train")
