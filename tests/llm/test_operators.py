@@ -76,6 +76,18 @@ def test_license_matching_statistics():
             assert matched == max(runs)
 
 
+def test_license_spans_of_a_passage_held_twice():
+    words = [f"w{k}" for k in range(40)]
+    foreign = [f"f{k}" for k in range(100)]
+    s = licenses.Scanner({}, [("x", " ".join(words))])
+    text = words + foreign + words + foreign + words[:30]
+    got = s.scan(" ".join(text).encode())
+    assert [(x["first"], x["end"], x["covered"]) for x in got["spans"]] == [(0, 40, 40), (140, 180, 40), (280, 310, 30)]
+    assert got["labels"] == "x" and got["score"] == 1.0
+    one = s.scan(" ".join(words[:20] + ["f"] + words[20:]).encode())["spans"]  # parts of one chain are no spans of their own
+    assert [(x["first"], x["end"], x["covered"]) for x in one] == [(0, 41, 40)]
+
+
 # 2 toxicity
 
 def test_toxicity_learns_folds_and_spares(spark):

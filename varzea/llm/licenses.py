@@ -19,6 +19,7 @@ special case); the whole text is streamed, with memory for its own words only.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -182,7 +183,7 @@ class Scanner:
         return places, runs
 
     def chain(self, runs: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-        """Per template its best chain: (template, first word, end word, template words covered)."""
+        """Per template its chains that lie in no better one: (template, first word, end word, template words covered)."""
         by_template: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
         base = len(self.phrase_words)
         for start, length, state in runs:
@@ -191,7 +192,7 @@ class Scanner:
                     by_template[number - base].append((start, end - length, length))
         out = []
         for t, found in by_template.items():
-            best = None
+            chains = []
             open_chains: list[tuple[int, int, int, int]] = []  # text start, text end, template end, covered
             for start, place, length in sorted(found):
                 chain = (start, start + length, place + length, length)
@@ -202,9 +203,16 @@ class Scanner:
                         if fresh_words > 0 and c[3] + fresh_words > chain[3]:
                             chain = (c[0], start + length, place + length, c[3] + fresh_words)
                 open_chains.append(chain)
-                if best is None or chain[3] > best[3]:
-                    best = chain
-            out.append((t, best[0], best[1], best[3]))
+                chains.append(chain)
+            firsts: list[int] = []  # of the chains taken, those that lie in no other: both ascend
+            ends: list[int] = []
+            for first, end, _, covered in sorted(chains, key=lambda c: -c[3]):
+                k = bisect_right(firsts, first)
+                if k and ends[k - 1] >= end:
+                    continue
+                out.append((t, first, end, covered))
+                k = bisect_left(firsts, first)
+                firsts[k:], ends[k:] = [first, *firsts[bisect_right(ends, end):]], [end, *ends[bisect_right(ends, end):]]
         return sorted(out)
 
     def scan(self, text: bytes) -> dict:
