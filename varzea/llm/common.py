@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,6 +48,20 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def ship_file(spark: SparkSession, path: str) -> str:
+    """Give every executor a file of the driver; tasks find it as ``SparkFiles.get(<the returned name>)``."""
+    spark.sparkContext.addFile(path)
+    return os.path.basename(path)
+
+
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder in the shared one, for files that tasks write themselves."""
+    path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex[:12]}"
+    at, system = _hadoop(spark, path)
+    system.mkdirs(at)
+    return path
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the driver's tables, ready for an operator."""
     ship(spark)
@@ -63,12 +79,54 @@ def shared_dir(spark: SparkSession) -> str:
     return scratch_dir(spark, "llm")
 
 
+_scratch: list[list[DataFrame]] = []
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: the lineage ends at
-    Parquet files that survive lost executors, and the work is done once."""
-    path = f"{shared_dir(df.sparkSession)}/llm-{label}-{uuid.uuid4().hex[:12]}"
+    Parquet files that survive lost executors, and the work is done once.  The
+    folder goes when the driver's JVM ends, or before (``scratch``, ``drop_staged``)."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/llm-{label}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    at, system = _hadoop(spark, path)
+    system.deleteOnExit(at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    if _scratch:
+        _scratch[-1].append(out)
+    return out
+
+
+def _hadoop(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def drop_staged(*frames: DataFrame) -> None:
+    """Delete the folders of staged tables that nothing reads any more."""
+    for df in frames:
+        at, system = _hadoop(df.sparkSession, df._staged_at)
+        system.delete(at, True)
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables staged inside are deleted at the end, but for those passed to the function that it gives."""
+    kept: list[DataFrame] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        kept.append(df)
+        return df
+
+    _scratch.append([])
+    try:
+        yield keep
+    finally:
+        inside = _scratch.pop()
+        drop_staged(*(df for df in inside if not any(df is k for k in kept)))
+        if _scratch:
+            _scratch[-1] += kept
 
 
 def partitions(spark: SparkSession) -> int:

