@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from varzea.sources.seasons import read_seasons
 from varzea.operators import silver as S
 from varzea.sources import feeds as FD
 from varzea.sources import files as FS
@@ -74,10 +75,10 @@ def test_provider_b_cache_names(spark, lake, tmp_dir):
     assert ("event_statistics", (("match", str(one.partida_id)),)) in read
     assert ("round", (("round", str(one.rodada)), ("season_id", "77"))) in read
     ingest_season_b(spark, d, silver, season, os.path.join(tmp_dir, "stage"), only_round=one.rodada, season_ids={season: 77})
-    stored = spark.read.parquet(f"{silver}/partidas").filter(f"temporada = {season}")
+    stored = read_seasons(spark, f"{silver}/partidas").filter(f"temporada = {season}")
     assert {r.rodada for r in stored.filter("fonte = 'sofascore'").select("rodada").distinct().collect()} == {one.rodada}
     assert stored.count() == p.count()
-    shots = {r.clube: r.chutes for r in spark.read.parquet(f"{silver}/estatisticas").filter(
+    shots = {r.clube: r.chutes for r in read_seasons(spark, f"{silver}/estatisticas").filter(
         (F.col("partida_id") == one.partida_id) & (F.col("fonte") == "sofascore")).collect()}
     assert shots[one.mandante] == 31 and shots[one.visitante] == 7
 
@@ -152,7 +153,7 @@ def test_update_season_batch_equals_stream(spark, lake, tmp_dir):
     src = os.path.join(tmp_dir, "landing")
     docs.select("payload").write.text(src)
     refresh_stream(spark, src, t2, os.path.join(tmp_dir, "ckpt"), 2001, mode="source")
-    a, b = spark.read.parquet(t1), spark.read.parquet(t2)
+    a, b = read_seasons(spark, t1), read_seasons(spark, t2)
     assert a.count() == b.count() == base.count()
     assert a.exceptAll(b).count() == 0
     s = a.filter("temporada = 2001")
@@ -161,7 +162,7 @@ def test_update_season_batch_equals_stream(spark, lake, tmp_dir):
     assert a.filter("temporada = 2000 AND fonte = 'fixture'").count() == base.filter("temporada = 2000").count()
     # replaying the same documents changes nothing (idempotent)
     refresh_stream(spark, src, t2, os.path.join(tmp_dir, "ckpt2"), 2001, mode="source")
-    assert spark.read.parquet(t2).exceptAll(a).count() == 0
+    assert read_seasons(spark, t2).exceptAll(a).count() == 0
 
 
 def test_backfill_events(spark, lake):
@@ -211,7 +212,7 @@ def test_silver_from_csv_job(spark, lake, tmp_dir):
     dest, counts = build_silver_from_csv(spark, root, os.path.join(tmp_dir, "silver"))
     assert counts == {"partidas": lake.partidas.count(), "estatisticas": lake.estatisticas.count(),
                       "gols": lake.gols.count(), "cartoes": lake.cartoes.count()}
-    g = spark.read.parquet(f"{dest}/gols")
+    g = read_seasons(spark, f"{dest}/gols")
     assert g.filter("tipo_de_gol IS NOT NULL").count() == 0
     matched = g.join(lake.partidas.select("partida_id"), "partida_id").count()
     assert g.filter("temporada IS NOT NULL").count() == matched
@@ -245,18 +246,18 @@ def test_ingest_season_provider_a(spark, lake, tmp_dir):
     std = FD.standings_docs(classificacao_historica(lake.partidas).filter(f"temporada = {season}")).first()
     with open(os.path.join(landing, f"standings__league71_season{season}.json"), "w") as f:
         f.write(std.payload)
-    before_2000 = spark.read.parquet(f"{silver}/estatisticas").filter("temporada = 2000").count()
+    before_2000 = read_seasons(spark, f"{silver}/estatisticas").filter("temporada = 2000").count()
     out = ingest_season(spark, landing, silver, season, os.path.join(tmp_dir, "stage"))
     assert out["partidas"] == p.count()
-    est = spark.read.parquet(f"{silver}/estatisticas")
+    est = read_seasons(spark, f"{silver}/estatisticas")
     ids = [m.partida_id for m in done]
     new_stats = est.filter(F.col("partida_id").isin(ids))
     assert new_stats.count() == 4 and new_stats.filter("fonte = 'api_football' AND chutes = 99").count() == 4
     assert est.filter("temporada = 2000").count() == before_2000
-    g = spark.read.parquet(f"{silver}/gols").filter("atleta = 'Novo'")
+    g = read_seasons(spark, f"{silver}/gols").filter("atleta = 'Novo'")
     assert g.count() == 2 and g.filter(f"temporada = {season} AND tipo_de_gol = 'Normal'").count() == 2
-    assert spark.read.parquet(f"{silver}/escalacoes").filter("atleta = 'Novo' AND titular").count() == 2
-    assert spark.read.parquet(f"{silver}/classificacao").count() == out["classificacao"] > 0
+    assert read_seasons(spark, f"{silver}/escalacoes").filter("atleta = 'Novo' AND titular").count() == 2
+    assert read_seasons(spark, f"{silver}/classificacao").count() == out["classificacao"] > 0
 
 
 def test_ingest_season_provider_b(spark, lake, tmp_dir):
@@ -287,17 +288,17 @@ def test_ingest_season_provider_b(spark, lake, tmp_dir):
                 json.dump(doc, f)
     out = ingest_season_b(spark, landing, silver, season, os.path.join(tmp_dir, "stage_b"))
     assert out["partidas"] == p.count()
-    part = spark.read.parquet(f"{silver}/partidas").filter(f"temporada = {season}")
+    part = read_seasons(spark, f"{silver}/partidas").filter(f"temporada = {season}")
     assert part.filter("fonte = 'sofascore'").count() == p.count()
-    est = spark.read.parquet(f"{silver}/estatisticas").filter(F.col("partida_id").isin([m.partida_id for m in done]))
+    est = read_seasons(spark, f"{silver}/estatisticas").filter(F.col("partida_id").isin([m.partida_id for m in done]))
     shots = {(r.partida_id, r.clube): r.chutes for r in est.collect()}
     for m in done:
         assert shots[(m.partida_id, m.mandante)] == 21 and shots[(m.partida_id, m.visitante)] == 3
-    g = spark.read.parquet(f"{silver}/gols").filter("atleta = 'Novo'").collect()
+    g = read_seasons(spark, f"{silver}/gols").filter("atleta = 'Novo'").collect()
     assert {(r.partida_id, r.clube, r.tipo_de_gol) for r in g} == {(m.partida_id, m.visitante, "Pênalti") for m in done}
-    c = spark.read.parquet(f"{silver}/cartoes").filter("atleta = 'Outro'").collect()
+    c = read_seasons(spark, f"{silver}/cartoes").filter("atleta = 'Outro'").collect()
     assert {(r.clube, r.cartao) for r in c} == {(m.mandante, "Amarelo") for m in done}
-    e = spark.read.parquet(f"{silver}/escalacoes").filter("atleta IN ('Novo', 'Outro')")
+    e = read_seasons(spark, f"{silver}/escalacoes").filter("atleta IN ('Novo', 'Outro')")
     assert e.filter("titular").count() == 2 and e.count() == 4
 
 
@@ -317,7 +318,7 @@ def test_build_all_from_csv_and_payloads(spark, lake, tmp_dir):
     out = build_all(spark, csv_root=root, dest=os.path.join(tmp_dir, "lake"), landing_a=landing,
                     seasons=(2001,), exports=False)
     assert out["bronze_rows"] > 0 and out["ingest_a_2001"]["partidas"] == p.count()
-    camp = spark.read.parquet(os.path.join(out["gold"], "campeonato_historico"))
+    camp = read_seasons(spark, os.path.join(out["gold"], "campeonato_historico"))
     assert camp.count() == lake.partidas.count()
     # CSV seasons keep the CSV source; the refreshed season's later rounds come from the provider
     assert camp.filter("temporada = 2001 AND rodada > 4 AND fonte = 'api_football'").count() > 0
@@ -342,8 +343,8 @@ def test_stream_in_several_micro_batches(spark, lake, tmp_dir):
     refresh_stream(spark, os.path.join(src, "*"), t2, ck, 2001, max_files_per_trigger=1)
     commits = [f for f in os.listdir(os.path.join(ck, "state", "commits")) if f.isdigit()]
     assert len(commits) == 3
-    assert spark.read.parquet(t2).exceptAll(spark.read.parquet(t1)).count() == 0
-    assert spark.read.parquet(t1).exceptAll(spark.read.parquet(t2)).count() == 0
+    assert read_seasons(spark, t2).exceptAll(read_seasons(spark, t1)).count() == 0
+    assert read_seasons(spark, t1).exceptAll(read_seasons(spark, t2)).count() == 0
 
 
 def test_build_all_with_match_dedup(spark, lake, tmp_dir):
@@ -352,5 +353,5 @@ def test_build_all_with_match_dedup(spark, lake, tmp_dir):
     out = build_all(spark, "/root/testdata/sf0.001", os.path.join(tmp_dir, "lake"), exports=False,
                     dedup_matches=True)
     assert out["dedup_matches"] == dedup_matches(lake.partidas).count() < lake.partidas.count()
-    camp = spark.read.parquet(os.path.join(out["gold"], "campeonato_historico"))
+    camp = read_seasons(spark, os.path.join(out["gold"], "campeonato_historico"))
     assert camp.count() == out["dedup_matches"]

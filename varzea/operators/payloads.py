@@ -21,8 +21,9 @@ from varzea.functions.columns import safe_float
 # ---- schemas (fixed by the providers' formats) ---------------------------------------------
 
 _TEAM = "STRUCT<id: BIGINT, name: STRING>"
-A_FIXTURES = ("response ARRAY<STRUCT<fixture: STRUCT<id: BIGINT, date: STRING, status: STRUCT<short: STRING>, "
-              f"venue: STRUCT<name: STRING>>, league: STRUCT<round: STRING>, teams: STRUCT<home: {_TEAM}, "
+A_FIXTURES = ("parameters STRUCT<season: STRING>, "
+              "response ARRAY<STRUCT<fixture: STRUCT<id: BIGINT, date: STRING, status: STRUCT<short: STRING>, "
+              f"venue: STRUCT<name: STRING>>, league: STRUCT<round: STRING, season: INT>, teams: STRUCT<home: {_TEAM}, "
               f"away: {_TEAM}>, goals: STRUCT<home: BIGINT, away: BIGINT>>>")
 A_STATISTICS = ("response ARRAY<STRUCT<team: STRUCT<name: STRING>, "
                 "statistics: ARRAY<STRUCT<type: STRING, value: STRING>>>>")
@@ -88,6 +89,25 @@ def _rows(df: DataFrame, ctx: list[str], array, name: str, *more) -> DataFrame:
     return out.withColumn(DOC, F.struct(F.col(DOC).alias("doc"), F.col("_at").alias("at"))).drop("_at")
 
 
+def with_place(lines: DataFrame) -> DataFrame:
+    """``DOC`` of JSON Lines read in splits: file time, file name, the split's
+    start in the file, and the line's place in the split (its number among the
+    rows of the task that read it; the split's rows are all there, in order).
+    Takes ``_time``, ``_file`` and ``_start`` as they come from the reader."""
+    return lines.withColumn("_line", F.monotonically_increasing_id()).select(
+        *[c for c in lines.columns if c not in ("_time", "_file", "_start")],
+        F.struct(F.col("_time").alias("time"), F.col("_file").alias("file"), F.col("_start").alias("start"),
+                 F.col("_line").alias("line")).alias(DOC))
+
+
+def with_envelope(raw: DataFrame) -> DataFrame:
+    """Provider A's envelope: ``endpoint`` (``fixtures`` if it names none) and ``params`` beside the document."""
+    top = F.from_json("payload", "get STRING, parameters MAP<STRING, STRING>")
+    return raw.withColumn("_top", top).select(
+        *raw.columns, F.coalesce(F.col("_top.get"), F.lit("fixtures")).alias("endpoint"),
+        F.col("_top.parameters").alias("params"))
+
+
 def reject_malformed(raw: DataFrame, max_share: float = 0.0) -> int:
     """Fail if more than ``max_share`` of the documents are not JSON (the
     flatteners would return no rows for them); returns how many are not."""
@@ -124,13 +144,16 @@ def round_number(round_text: Column) -> Column:
     return F.when(round_text.contains(" - "), last.try_cast("int"))
 
 
-def flatten_fixtures(raw: DataFrame) -> DataFrame:
+def flatten_fixtures(raw: DataFrame, with_season: bool = False) -> DataFrame:
     """Fixture documents -> match rows (date/time by substring of the ISO
-    text; date cast to DATE)."""
-    f = _rows(_parse(raw, A_FIXTURES), _ctx(raw), "j.response", "f")
+    text; date cast to DATE).  ``with_season`` adds ``temporada``, the match's
+    own season or else that of the request."""
+    asked = F.col("j.parameters.season").try_cast("int").alias("asked")
+    f = _rows(_parse(raw, A_FIXTURES), _ctx(raw), "j.response", "f", asked)
     d = F.col("f.fixture.date")
+    season = [F.coalesce("f.league.season", "asked").alias("temporada")] if with_season else []
     return f.select(
-        *_ctx(raw),
+        *_ctx(raw), *season,
         F.col("f.fixture.id").alias("partida_id"),
         round_number(F.col("f.league.round")).alias("rodada"),
         F.to_date(F.substring(d, 1, 10)).alias("data"),

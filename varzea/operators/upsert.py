@@ -120,6 +120,20 @@ def changed_fixtures(new: DataFrame, last_round: Column | int,
                       | ~F.coalesce(F.col("status").isin(*finished), F.lit(False)))
 
 
+def last_synced_rounds(partidas: DataFrame, finished=("FT", "finished")) -> DataFrame:
+    """U3 for every season at once: (temporada, ultima_rodada) of the seasons with a finished match."""
+    if "status" not in partidas.columns:
+        return partidas.limit(0).select("temporada", F.lit(0).alias("ultima_rodada"))
+    return (partidas.filter(F.col("status").isin(*finished)).groupBy("temporada")
+            .agg(F.max("rodada").cast("int").alias("ultima_rodada")))
+
+
+def new_or_changed(new: DataFrame, synced: DataFrame, finished=("FT", "finished")) -> DataFrame:
+    """U4 against each row's own season (``last_synced_rounds``: one row a season)."""
+    rows = new.join(synced, "temporada", "left")
+    return changed_fixtures(rows, F.coalesce("ultima_rodada", F.lit(0)), finished).select(*new.columns)
+
+
 def update_season(existing: DataFrame, fixtures: DataFrame, season: int,
                   fonte: str = "api_football", finished=("FT", "finished"), mode: str = "differs") -> DataFrame:
     """U5 (plan): merge a provider's fixture rows (J1 output) into the stored

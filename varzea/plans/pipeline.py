@@ -12,13 +12,15 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from varzea.operators.gold import VIEW_BUILDERS, build_gold
 from varzea.plans.exports import EXPORT_ORDER, all_exports
 from varzea.session import scratch_dir
+from varzea.sources import storage
 from varzea.sources.fixtures import Lake
+from varzea.sources.seasons import commit_seasons, current, has_seasons, notes, read_seasons, vacuum
 from varzea.sources.sinks import export_json, write_table
 
 SILVER_TABLES = ["partidas_bruto", "partidas", "gols", "cartoes", "estatisticas", "escalacoes"]
@@ -32,8 +34,6 @@ def build_silver(lk: Lake, dest: str | None = None) -> tuple[str, dict[str, int]
     Staged so the raw joins run once: the raw match rows are written first,
     the one-row-per-match table is merged from that folder, and the
     statistics are derived from the written matches."""
-    from pyspark.sql import functions as F
-
     from varzea.operators.upsert import last_wins
     dest = dest or scratch_dir(lk.spark, "silver")
     counts = {}
@@ -92,7 +92,7 @@ class SilverLake(Lake):
         self.silver_root = silver_root.rstrip("/")
 
     def _silver(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.silver_root}/{name}")
+        return read_seasons(self.spark, f"{self.silver_root}/{name}")
 
     @cached_property
     def partidas_bruto(self) -> DataFrame:  # type: ignore[override]
@@ -121,10 +121,9 @@ class SilverLake(Lake):
     @cached_property
     def classificacao(self) -> DataFrame | None:
         """Provider standings, if any season has them."""
-        try:
-            return self._silver("classificacao")
-        except AnalysisException:  # no such folder
+        if not has_seasons(self.spark, f"{self.silver_root}/classificacao"):
             return None
+        return self._silver("classificacao")
 
 
 class _DedupLake(SilverLake):
@@ -139,33 +138,72 @@ class _DedupLake(SilverLake):
         return self.spark.read.parquet(self._matches)
 
 
-def build_gold_tables(lk: Lake, dest: str | None = None, api_mode: str = "prefer") -> tuple[str, dict[str, int]]:
-    """G7 job: the six gold tables, written in dependency order.  Provider
-    standings are used when the lake has them: ``prefer`` takes them season by
-    season, ``replace`` (the source's rule) drops seasons without them."""
-    from varzea.operators.gold import GOLD_INPUT_COLUMNS, require_tables
+GOLD_TABLES = ["campeonato_historico", "artilharia_historica", "desempenho_clubes", "fair_play",
+               "classificacao_historica", "rebaixamento_acesso"]
+#: What gold is built from; provider standings may be missing.
+GOLD_SOURCES = ["partidas", "gols", "cartoes", "classificacao"]
+
+
+def build_gold_tables(lk: Lake, dest: str | None = None, api_mode: str = "prefer",
+                      note: dict | None = None) -> tuple[str, dict[str, int]]:
+    """G7 job: the six gold tables, committed season by season in dependency
+    order.  Provider standings are used when the lake has them: ``prefer``
+    takes them season by season, ``replace`` (the source's rule) drops seasons
+    without them.  ``note`` (what gold was built from) goes with the last
+    table, so it is there only when all six are."""
+    from varzea.operators.gold import GOLD_INPUT_COLUMNS, rebaixamento_acesso, require_tables
     dest = dest or scratch_dir(lk.spark, "gold")
     require_tables({"partidas": lk.partidas, "gols": lk.gols, "cartoes": lk.cartoes},
                    columns=GOLD_INPUT_COLUMNS)
     require_tables({"partidas": lk.partidas}, required=("partidas",), non_empty=True)
     gold = build_gold(lk.partidas, lk.gols, lk.cartoes, getattr(lk, "classificacao", None), api_mode)
-    counts = {}
-    for name in ["campeonato_historico", "artilharia_historica", "desempenho_clubes", "fair_play",
-                 "classificacao_historica"]:
-        hist = name == "campeonato_historico"
-        counts[name] = write_table(gold[name], f"{dest}/{name}", partition_by=["temporada"] if hist else None,
-                                   sort_within=["rodada", "partida_id"] if hist else None)
+    counts = {name: commit_seasons(gold[name], f"{dest}/{name}")["rows"] for name in GOLD_TABLES[:-1]}
     # G6 reads G5 from its written folder, as the source does
-    from varzea.operators.gold import rebaixamento_acesso
-    classif = lk.spark.read.parquet(f"{dest}/classificacao_historica")
-    counts["rebaixamento_acesso"] = write_table(rebaixamento_acesso(classif), f"{dest}/rebaixamento_acesso")
+    seasons = [r[0] for r in lk.partidas.select("temporada").distinct().collect()]  # one value a season
+    classif = read_seasons(lk.spark, f"{dest}/classificacao_historica").filter(F.col("temporada").isin(seasons))
+    counts["rebaixamento_acesso"] = commit_seasons(rebaixamento_acesso(classif), f"{dest}/rebaixamento_acesso", note)["rows"]
     return dest, counts
 
 
+class _SeasonLake(SilverLake):
+    """Some seasons of a silver lake; the other folders are not read."""
+
+    def __init__(self, spark: SparkSession, silver_root: str, seasons: list[int]):
+        super().__init__(spark, silver_root, silver_root)
+        self._seasons = seasons
+
+    def _silver(self, name: str) -> DataFrame:
+        return super()._silver(name).filter(F.col("temporada").isin(self._seasons))
+
+
+def stale_seasons(spark: SparkSession, silver_root: str, gold_root: str) -> tuple[list[int], dict]:
+    """Seasons whose gold was not built from the silver versions that readers
+    now take, and those versions (season -> table -> version)."""
+    silver: dict[str, dict[str, int]] = {}
+    for name in GOLD_SOURCES:
+        if has_seasons(spark, f"{silver_root.rstrip('/')}/{name}"):
+            for season, version in current(spark, f"{silver_root.rstrip('/')}/{name}").items():
+                silver.setdefault(season, {})[name] = version
+    built = notes(spark, f"{gold_root.rstrip('/')}/{GOLD_TABLES[-1]}")
+    stale = [s for s, now in silver.items() if "partidas" in now and (built.get(s) or {}).get(s) != now]
+    return sorted(int(s) for s in stale if s.isdigit()), silver
+
+
+def refresh_gold(spark: SparkSession, silver_root: str, gold_root: str, api_mode: str = "prefer") -> list[int]:
+    """G7, incremental: the six gold tables of the seasons that silver has
+    changed since, from those seasons' rows.  Returns the seasons."""
+    stale, silver = stale_seasons(spark, silver_root, gold_root)
+    if stale:
+        note = {str(s): silver[str(s)] for s in stale}
+        build_gold_tables(_SeasonLake(spark, silver_root, stale), gold_root.rstrip("/"), api_mode, note)
+        for root, names in ((silver_root, GOLD_SOURCES), (gold_root, GOLD_TABLES)):
+            for name in names:
+                vacuum(spark, f"{root.rstrip('/')}/{name}")
+    return stale
+
+
 def read_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
-    names = ["campeonato_historico", "artilharia_historica", "desempenho_clubes", "fair_play",
-             "classificacao_historica", "rebaixamento_acesso"]
-    g = {n: spark.read.parquet(f"{gold_root.rstrip('/')}/{n}") for n in names}
+    g = {n: read_seasons(spark, f"{gold_root.rstrip('/')}/{n}") for n in GOLD_TABLES}
     for name, (src, fn) in VIEW_BUILDERS.items():
         g[name] = fn(g[src])
     return g
@@ -174,7 +212,7 @@ def read_gold(spark: SparkSession, gold_root: str) -> dict[str, DataFrame]:
 def build_all(spark: SparkSession, raw_root: str | None = None, dest: str | None = None,
               exports: bool = True, csv_root: str | None = None, landing_a: str | None = None,
               landing_b: str | None = None, seasons: tuple[int, ...] = (),
-              dedup_matches: bool = False, api_mode: str = "prefer") -> dict[str, object]:
+              dedup_matches: bool = False, api_mode: str = "prefer", resume: bool = True) -> dict[str, object]:
     """U8: land -> silver -> provider ingest -> gold -> views -> exports, in
     order; an exception stops the run (nothing later is written).
 
@@ -183,40 +221,58 @@ def build_all(spark: SparkSession, raw_root: str | None = None, dest: str | None
     ``landing_b`` with ``seasons`` merge provider payloads season by season
     before gold is built.  ``dedup_matches`` (off by default) keeps one row
     per (season, round, home, away) when two sources filed the same match
-    under different ids.  ``api_mode`` as in ``build_gold_tables``.  Returns
-    the folders and row counts."""
+    under different ids.  ``api_mode`` as in ``build_gold_tables``.
+
+    A ledger in ``dest`` remembers the steps that finished; a second run over
+    the same folder goes on from the first step that did not, or whose input
+    files have changed (``resume``).  Returns the folders and row counts, and
+    the names of the steps that ran and that were skipped."""
+    from varzea.plans.ledger import Ledger
     from varzea.sources.files import land_raw
     from varzea.streaming.refresh import ingest_season, ingest_season_b
     dest = (dest or scratch_dir(spark, "lake")).rstrip("/")
+    ledger = Ledger(spark, f"{dest}/_steps", resume)
     out: dict[str, object] = {}
+    silver_root = f"{dest}/silver"
+
+    def afresh() -> None:
+        """Later commits to the seasons would hide what the step writes."""
+        storage.delete(spark, silver_root)
+
     if csv_root:
-        out["bronze_rows"] = land_raw(spark, f"{csv_root.rstrip('/')}/*/*.csv", f"{dest}/bronze", "csv").count()
-        silver_root, silver_counts = build_silver_from_csv(spark, csv_root, f"{dest}/silver")
+        files = [f"{csv_root.rstrip('/')}/*/*.csv"]
+        out["bronze_rows"] = ledger.step("bronze", lambda: land_raw(spark, files[0], f"{dest}/bronze", "csv").count(), files)
+        silver_counts = ledger.step("silver", lambda: afresh() or build_silver_from_csv(spark, csv_root, silver_root)[1], files)
     elif raw_root:
-        silver_root, silver_counts = build_silver(Lake(spark, raw_root), f"{dest}/silver")
+        silver_counts = ledger.step("silver", lambda: afresh() or build_silver(Lake(spark, raw_root), silver_root)[1], [raw_root])
     else:
         raise ValueError("build_all needs csv_root or raw_root")
     out.update({"silver": silver_root, "silver_counts": silver_counts})
     for season in seasons:
-        if landing_a:
-            out[f"ingest_a_{season}"] = ingest_season(spark, landing_a, silver_root, season, f"{dest}/staging/a{season}")
-        if landing_b:
-            out[f"ingest_b_{season}"] = ingest_season_b(spark, landing_b, silver_root, season, f"{dest}/staging/b{season}")
+        for provider, landing, ingest in (("a", landing_a, ingest_season), ("b", landing_b, ingest_season_b)):
+            if landing:
+                out[f"ingest_{provider}_{season}"] = ledger.step(
+                    f"ingest_{provider}_{season}",
+                    lambda season=season, landing=landing, ingest=ingest: ingest(spark, landing, silver_root, season), [landing])
     slk = SilverLake(spark, silver_root, raw_root or csv_root)
     if dedup_matches:
         from varzea.operators.upsert import dedup_matches as _dedup
-        one = _dedup(slk.partidas)
-        out["dedup_matches"] = write_table(one, f"{dest}/silver_dedup/partidas", partition_by=["temporada"])
-        slk = _DedupLake(spark, silver_root, raw_root or csv_root, f"{dest}/silver_dedup/partidas")
-    gold_root, gold_counts = build_gold_tables(slk, f"{dest}/gold", api_mode)
+        matches = f"{dest}/silver_dedup/partidas"
+        out["dedup_matches"] = ledger.step("dedup_matches", lambda: write_table(_dedup(slk.partidas), matches,
+                                                                                partition_by=["temporada"]))
+        slk = _DedupLake(spark, silver_root, raw_root or csv_root, matches)
+    gold_root = f"{dest}/gold"
+    # the note lets a later refresh tell which seasons are new; a table of de-duplicated matches has no versions
+    note = None if dedup_matches else stale_seasons(spark, silver_root, gold_root)[1]
+    gold_counts = ledger.step("gold", lambda: build_gold_tables(slk, gold_root, api_mode, note)[1])
     gold = read_gold(spark, gold_root)
     for name, df in gold.items():
         df.createOrReplaceTempView(name)
     out.update({"gold": gold_root, "gold_counts": gold_counts})
     if exports:
         silver = {n: getattr(slk, n) for n in ["gols", "cartoes", "estatisticas"]}
-        ex = all_exports(gold, silver)
-        for name, df in ex.items():
-            export_json(df, f"{dest}/json/{name}", EXPORT_ORDER.get(name))
+        for name, df in all_exports(gold, silver).items():
+            ledger.step(f"export_{name}", lambda name=name, df=df: export_json(df, f"{dest}/json/{name}", EXPORT_ORDER.get(name)))
         out["json"] = f"{dest}/json"
+    out.update({"ran": ledger.ran, "skipped": ledger.skipped})
     return out

@@ -271,6 +271,7 @@ FROM cartoes"""))(lambda lk: _backfill(lk)[1])
 
 # ---- U7 / U8 run as jobs into fresh folders under the checkpoint dir ---------------------------
 from varzea.session import scratch_dir  # noqa: E402
+from varzea.sources.seasons import read_seasons  # noqa: E402
 
 
 def _stream_refresh(lk):
@@ -284,7 +285,7 @@ def _stream_refresh(lk):
     FD.fixture_docs(lk.partidas.filter(F.col("temporada") == RUNNING)).select("payload") \
         .write.mode("overwrite").text(landing)
     refresh_stream(spark, landing, table, ckpt, RUNNING, mode="source")
-    return spark.read.parquet(table)
+    return read_seasons(spark, table)
 
 
 _BASE = """
@@ -321,7 +322,7 @@ def _conflicting_documents(lk):
     for docs in (early, now):  # written one after the other
         FD.fixture_docs(docs).select("payload").write.mode("append").text(landing)
     refresh_stream(spark, landing, table, ckpt, RUNNING)
-    return spark.read.parquet(table)
+    return read_seasons(spark, table)
 
 
 register("u07b_refresh_conflicting", q(f"""
@@ -335,17 +336,6 @@ SELECT partida_id, temporada, rodada, data, {_HORA} AS hora, mandante, visitante
        CAST(regexp_extract(mandante, '(\\d+)$', 1) AS BIGINT), CAST(regexp_extract(visitante, '(\\d+)$', 1) AS BIGINT)
 FROM partidas WHERE temporada = {RUNNING}"""))(_conflicting_documents)
 
-
-def _build_all(lk):
-    """U8: the whole lake from the driver's tables into fresh folders;
-    returns the written standings (G5) as the gold layer stores them."""
-    from varzea.plans.pipeline import build_all
-    out = build_all(lk.spark, raw_root=lk.root, dest=scratch_dir(lk.spark, "u08-lake"), exports=True)
-    return lk.spark.read.parquet(f"{out['gold']}/classificacao_historica")
-
-
-register("u08_build_all", q("SELECT * FROM classificacao_historica"))(_build_all)
-
 # ---- X2: case/accent-insensitive club names unified before the standings -------------------------
 
 

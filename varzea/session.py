@@ -84,6 +84,11 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder, for staged writes
-    and lineage cuts.  Never a machine-local folder when the cluster names one."""
+    and lineage cuts.  Never a machine-local folder when the cluster names one.
+    The folder is deleted when the driver's JVM ends; name a folder of your own
+    for what shall stay."""
+    from varzea.sources.storage import delete_at_end
     base = _ensure_checkpoint_dir(spark)
-    return base.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"  # Spark's writers create it
+    path = base.rstrip("/") + f"/{name}-{uuid.uuid4().hex[:12]}"  # Spark's writers create it
+    delete_at_end(spark, path)
+    return path

@@ -101,6 +101,13 @@ def fixture_docs(partidas: DataFrame) -> DataFrame:
     return partidas.select("temporada", F.to_json(F.struct(F.array(fx).alias("response"))).alias("payload"))
 
 
+def in_envelope(docs: DataFrame, endpoint: str, **params) -> DataFrame:
+    """The documents as the provider sends them: with the endpoint and the request's parameters."""
+    asked = F.to_json(F.struct(*[c.cast("string").alias(k) for k, c in params.items()]))
+    head = F.concat(F.lit(f'{{"get":"{endpoint}","parameters":'), asked, F.lit(","))
+    return docs.withColumn("payload", F.concat(head, F.expr("substring(payload, 2)")))
+
+
 def team_stats_docs(estatisticas: DataFrame) -> DataFrame:
     """One statistics document per match: both teams, key/value lists
     (possession as ``NN%``)."""

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from varzea.operators.payloads import with_place
+
 REPLACEMENT_CHAR = "�"
 # Request paths in the names of provider B's cache files.
 EVENT_PATH = r"^event_(\d+)_(statistics|incidents|lineups)$"
@@ -73,15 +75,17 @@ def table(spark: SparkSession, root: str, name: str, layer: str = "silver",
 def read_payloads(spark: SparkSession, path, whole_file: bool = True) -> DataFrame:
     """Raw provider payloads.  ``whole_file``: one JSON document per file
     (the API cache layout, ``{endpoint}__{k}{v}_{k}{v}.json``); otherwise JSON
-    Lines.  The endpoint and parameters are parsed from the file name;
-    ``_doc`` (file time, file name) orders the documents for a merge.
+    Lines, read in as many splits as the size asks for.  The endpoint and
+    parameters are parsed from the file name; ``_doc`` (file time, file name,
+    place in the file) orders the documents for a merge.
 
     Provider B's cache names the request path instead,
     ``{client}__{path with _}__{params}.json``: its round lists become endpoint
     ``round`` (season_id, round), its match details ``event_*`` (match)."""
-    df = spark.read.text(path, wholetext=whole_file).select(
+    df = with_place(spark.read.text(path, wholetext=whole_file).select(
         F.col("value").alias("payload"), F.col("_metadata.file_name").alias("_file"),
-        F.col("_metadata.file_modification_time").alias("_time"))
+        F.col("_metadata.file_modification_time").alias("_time"), F.col("_metadata.file_block_start").alias("_start")))
+    df = df.withColumn("_file", F.col("_doc.file"))
     stem = F.regexp_replace("_file", r"\.json[l]?$", "")
     params = F.element_at(F.split(stem, "__"), -1)
     kv = F.transform(F.split(params, "_"), lambda p: F.struct(
@@ -96,7 +100,7 @@ def read_payloads(spark: SparkSession, path, whole_file: bool = True) -> DataFra
         F.when(match != "", F.create_map(F.lit("match"), match))
          .when(rodada != "", F.create_map(F.lit("season_id"), season_id, F.lit("round"), rodada))
          .otherwise(F.map_from_entries(kv)).alias("params"), "_file", "payload",
-        F.struct(F.col("_time").alias("time"), F.col("_file").alias("file")).alias("_doc"))
+        "_doc")
 
 
 def land_raw(spark: SparkSession, src, dest: str, fmt: str = "text") -> DataFrame:
