@@ -228,3 +228,16 @@ def test_a_step_runs_again_when_its_inputs_change(spark, tmp_dir):
     run()
     assert seen == ["first", "second", "third", "second", "third"]  # what comes after runs again too
     assert json.load(open(f"{tmp_dir}/steps/second.json"))["result"] == {"n": 1}
+
+
+def test_the_bytes_of_a_csv_file_decide(spark, tmp_dir):
+    d = f"{tmp_dir}/c s[v]"
+    os.makedirs(d)
+    files = {"utf8.csv": 'a,b\n1,"São�\nPaulo ""x"""\n2,plain\n'.encode(), "latin.csv": "a,b\n3,São\n4,pão\n".encode("latin-1"),
+             "both.csv": 'a,b\n5,"é\nê"\n'.encode("latin-1"), "empty.csv": b"", "bom.csv": "﻿a,b\n6,ção\n".encode()}
+    for name, raw in files.items():
+        with open(f"{d}/{name}", "wb") as f:
+            f.write(raw)
+    got = FS.read_csv_any(spark, d.replace("[", "\\[").replace("]", "\\]"), ["a", "b"])
+    assert {(r.a, r.b) for r in got.collect()} == {("1", 'São�\nPaulo "x"'), ("2", "plain"), ("3", "São"), ("4", "pão"),
+                                                   ("5", "é\nê"), ("6", "ção")}

@@ -39,6 +39,23 @@ register("s01_csv_two_encodings", ORACLES["t07_silver_partidas"].replace(
     "vencedor, arena,", f"vencedor, '{_ARENA}' || arena AS arena,"))(_two_encodings)
 
 
+_ODD_ARENA = "Estádio \ufffd \"X\",\nsetor "
+
+
+def _bytes_decide(lk):
+    """UTF-8 files whose text holds U+FFFD and quoted line breaks, beside ISO-8859-1 files."""
+    out = scratch_dir(lk.spark, "s01c-csv")
+    for rest, encoding, arena in [(0, "UTF-8", _ODD_ARENA), (1, "ISO-8859-1", _ARENA)]:
+        some = lk.partidas.filter(F.col("partida_id") % 2 == rest)
+        _write_csv(FD.dirty_match_rows(some.withColumn("arena", F.concat(F.lit(arena), "arena"))), out, encoding=encoding)
+    return S.silver_partidas(FS.read_csv_any(lk.spark, out, S.MATCH_COLUMNS))
+
+
+register("s01c_csv_bytes_decide", ORACLES["t07_silver_partidas"].replace(
+    "vencedor, arena,", f"vencedor, CASE WHEN partida_id % 2 = 0 THEN 'Estádio ' || chr(65533) || ' \"X\",' || chr(10) || 'setor ' "
+                        f"ELSE '{_ARENA}' END || arena AS arena,"))(_bytes_decide)
+
+
 def _mixed_widths(lk):
     """One folder with goals files of 5 and of 6 columns."""
     out = scratch_dir(lk.spark, "s01b-csv")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,6 @@ from pyspark.sql import types as T
 
 from varzea.operators.payloads import with_place
 
-REPLACEMENT_CHAR = "�"
 # Request paths in the names of provider B's cache files.
 EVENT_PATH = r"^event_(\d+)_(statistics|incidents|lineups)$"
 ROUND_PATH = r"_season_(\d+)_events_round_(\d+)$"
@@ -21,8 +21,9 @@ def string_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
 
-def _csv(spark: SparkSession, path, names, sep, header, encoding, optional) -> DataFrame:
+def _csv(spark: SparkSession, path, names, sep, header, encoding, optional, multi_line=False) -> DataFrame:
     r = spark.read.option("header", str(header).lower()).option("sep", sep).option("encoding", encoding)
+    r = r.option("multiLine", str(multi_line).lower())
     r = r.option("mode", "PERMISSIVE").option("escape", '"')  # a quote inside quotes is doubled
     if names:  # the reader keeps the line of a row whose width is not the schema's
         r = r.schema(string_schema([*names, "_line"])).option("columnNameOfCorruptRecord", "_line")
@@ -46,19 +47,30 @@ def read_csv_any(spark: SparkSession, path, names: list[str] | None = None, sep:
     row of any other width fails the read.  Without ``names`` the header of
     one file names the columns of all.
 
-    Spark does not fail on invalid UTF-8, it yields U+FFFD.  Files whose
-    UTF-8 reading holds U+FFFD are read again as ISO-8859-1; the choice is
-    made per file with a semi/anti join on the file path — all distributed,
-    only matching rows of each reading survive.  A UTF-8 BOM is dropped by
-    the reader.
-    """
-    utf8 = _csv(spark, path, names, sep, header, "UTF-8", optional)
-    data_cols = [c for c in utf8.columns if c != "_source_file"]
-    joined = F.concat_ws("\u0001", *[F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in data_cols])
-    bad = utf8.filter(joined.contains(REPLACEMENT_CHAR)).select("_source_file").distinct()
-    latin = _csv(spark, path, names, sep, header, "ISO-8859-1", optional)
-    return (utf8.join(bad, "_source_file", "left_anti").select(*utf8.columns)
-            .unionByName(latin.join(bad, "_source_file", "left_semi").select(*utf8.columns)))
+    The raw bytes decide, file by file: one pass over the lines tells of each
+    file whether a line is not valid UTF-8 (then it is ISO-8859-1; a U+FFFD that
+    the file itself holds is text like any other) and whether a quoted field
+    goes on in the next line (an odd number of quotes in a line).  Only files
+    with such fields are read as records of several lines, which cannot be
+    split over tasks.  What the driver gets is a row per file, like the listing
+    that it reads files by.  A UTF-8 BOM is dropped by the reader."""
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
+    files = (spark.read.text(path).groupBy(F.col("_metadata.file_path").alias("file"))
+             .agg(F.bool_or(~F.is_valid_utf8(line)).alias("latin"), F.bool_or(quotes % 2 == 1).alias("multi")).collect())
+    groups: dict[tuple, list[str]] = {}
+    for f in files:
+        groups.setdefault(("ISO-8859-1" if f["latin"] else "UTF-8", f["multi"]), []).append(_as_path(f["file"]))
+    out = None
+    for (encoding, multi), paths in sorted(groups.items()):
+        part = _csv(spark, sorted(paths), names, sep, header, encoding, optional, multi)
+        out = part if out is None else out.unionByName(part)
+    return out if out is not None else _csv(spark, path, names, sep, header, "UTF-8", optional)
+
+
+def _as_path(uri: str) -> str:
+    """A file's URI as a path pattern that means this file alone."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
 def table(spark: SparkSession, root: str, name: str, layer: str = "silver",
