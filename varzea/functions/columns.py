@@ -18,9 +18,11 @@ def _c(c) -> Column:
 # ---- T1..T6 -----------------------------------------------------------------
 
 def safe_int(c) -> Column:
-    """Text -> BIGINT; missing, ``nan`` or not a number -> 0 (``'3.0'`` -> 3)."""
+    """Text -> BIGINT; missing, ``nan`` or not a number -> 0 (``'3.0'`` -> 3).
+    A whole number keeps all its digits; only others go through a double."""
+    whole = F.regexp_extract(_c(c).cast("string"), r"^\s*([+-]?\d+)\s*$", 1).try_cast("bigint")
     d = _c(c).try_cast("double")
-    return F.coalesce(F.when(~F.isnan(d), d).try_cast("bigint"), F.lit(0).cast("bigint"))
+    return F.coalesce(whole, F.when(~F.isnan(d), d).try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def safe_float(c) -> Column:

@@ -230,6 +230,23 @@ VIEW_BUILDERS = {
     "v_media_gols_temporada": ("campeonato_historico", v_media_gols_temporada),
 }
 
+# The same views as text, for a catalog: view -> (table, SELECT).
+VIEW_SQL = {
+    "v_artilharia_geral": ("artilharia_historica", "SELECT atleta, clube, SUM(total_gols) AS gols_historico "
+                                                   "FROM {table} GROUP BY atleta, clube"),
+    "v_campeoes": ("rebaixamento_acesso", "SELECT temporada, clube, pontos, posicao FROM {table} "
+                                          f"WHERE situacao = '{ZONE_CHAMPION}'"),
+    "v_rebaixados": ("rebaixamento_acesso", "SELECT temporada, clube, posicao, pontos FROM {table} "
+                                            f"WHERE situacao = '{ZONE_RELEGATED}'"),
+    "v_desempenho_geral": ("desempenho_clubes", "SELECT clube, COUNT(DISTINCT temporada) AS temporadas, "
+                           "SUM(pontos) AS pontos_total, SUM(vitorias) AS vitorias_total, SUM(gols_pro) AS gols_pro_total, "
+                           "SUM(gols_contra) AS gols_contra_total, ROUND(AVG(aproveitamento_pct), 1) AS aproveitamento_medio "
+                           "FROM {table} GROUP BY clube"),
+    "v_media_gols_temporada": ("campeonato_historico", "SELECT temporada, COUNT(*) AS partidas, "
+                               "ROUND(AVG(total_gols), 2) AS media_gols, SUM(total_gols) AS total_gols "
+                               "FROM {table} GROUP BY temporada"),
+}
+
 
 def create_views(gold: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """V6: (re)create every gold table and served view as a temp view."""

@@ -103,6 +103,36 @@ for _t in ["campeonato_historico", "artilharia_historica", "desempenho_clubes",
         lambda lk, t=_t: read_seasons(lk.spark, f"{refreshed_lake(lk)}/{t}"))
 
 
+# ---- K5 + V6 -----------------------------------------------------------------------------------
+@_once
+def served_database(lk: Lake) -> str:
+    """Matches and statistics bucketed by match, and the gold tables with
+    their views, in a database of the catalog.  Returns its name."""
+    from varzea.sources.fixtures import gold_of
+    from varzea.sources.sinks import MATCH_BUCKETS, publish_catalog, publish_views
+    name = f"varzea_{len(_runs)}"
+    tables = {"partidas": lk.partidas, "estatisticas": lk.estatisticas,
+              **{n: df for n, df in gold_of(lk).items() if not n.startswith("v_")}}
+    publish_catalog(lk.spark, tables, name, bucket_by=MATCH_BUCKETS, buckets=8, location=scratch_dir(lk.spark, "k05-database"))
+    publish_views(lk.spark, name)
+    return name
+
+
+def _means_of_buckets(lk: Lake) -> DataFrame:
+    """Q22 from the bucketed tables: the join reads buckets side by side."""
+    from varzea.plans.queries import medias_estatisticas
+    name = served_database(lk)
+    return medias_estatisticas(lk.spark.table(f"{name}.estatisticas"), lk.spark.table(f"{name}.partidas"))
+
+
+register("k05_medias_do_catalogo", ORACLES["q22_medias_estatisticas"])(_means_of_buckets)
+
+for _view in ["v_artilharia_geral", "v_campeoes", "v_rebaixados", "v_desempenho_geral", "v_media_gols_temporada"]:
+    # another session than the one that made the views
+    register(f"v06_catalog_{_view}", ORACLES[_view])(
+        lambda lk, v=_view: lk.spark.newSession().table(f"{served_database(lk)}.{v}"))
+
+
 # ---- U8 ---------------------------------------------------------------------------------------
 @_once
 def built_lake(lk: Lake) -> dict:

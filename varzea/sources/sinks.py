@@ -65,21 +65,34 @@ MATCH_BUCKETS = {"partidas": ["partida_id"], "estatisticas": ["partida_id"], "go
 
 def publish_catalog(spark: SparkSession, tables: dict[str, DataFrame], database: str = "varzea",
                     partition_by: dict[str, list[str]] | None = None,
-                    bucket_by: dict[str, list[str]] | None = None, buckets: int = 64) -> list[str]:
+                    bucket_by: dict[str, list[str]] | None = None, buckets: int = 64,
+                    location: str | None = None) -> list[str]:
     """K5: replace the served tables in a Spark database (the source loads a
     MySQL server; season partitioning and match-id bucketing stand in for its
     indexes).  ``bucket_by`` (e.g. ``MATCH_BUCKETS``) writes the named tables
     bucketed and sorted by those columns with ``buckets`` buckets; size the
     count so one bucket file stays around 128-512 MB.  A JDBC target is
-    ``df.write.jdbc(...)`` on the same frames."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    ``df.write.jdbc(...)`` on the same frames.  ``location`` names the
+    database's folder, else it is the warehouse's.  Bucketed rows are brought
+    together by bucket first, so a bucket is one file."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
     for name, df in tables.items():
-        w = df.write.mode("overwrite").format("parquet")
+        bcols = (bucket_by or {}).get(name)
         cols = (partition_by or {}).get(name)
+        w = (df.repartition(buckets, *bcols) if bcols else df).write.mode("overwrite").format("parquet")
         if cols:
             w = w.partitionBy(*cols)
-        bcols = (bucket_by or {}).get(name)
         if bcols:
             w = w.bucketBy(buckets, *bcols).sortBy(*bcols)
         w.saveAsTable(f"{database}.{name}")
     return sorted(tables)
+
+
+def publish_views(spark: SparkSession, database: str = "varzea") -> list[str]:
+    """V6: the served views over the tables that ``publish_catalog`` has put
+    into the database.  Each is replaced in turn; they outlive the session that
+    made them and follow their tables."""
+    from varzea.operators.gold import VIEW_SQL
+    for name, (source, select) in VIEW_SQL.items():
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS {select.format(table=f'{database}.{source}')}")
+    return list(VIEW_SQL)
