@@ -115,6 +115,54 @@ def test_toxicity_learns_folds_and_spares(spark):
     assert kept.columns == docs.columns and kept.filter("doc_id = 9003").count() == 1
 
 
+def test_toxicity_hits_against_brute_force():
+    rng = random.Random(9)
+    pieces = ["trash", "can", "trashy", "clown", "fish", "idiot", "good", "rodeo", "circus", "sore", "loser", "scum", "pond", "line"]
+    model = toxicity.Model(20, 80, {" trash ": (9, 1), " tra": (8, 2), " clown ": (7, 1), " idi": (9, 0), " loser ": (6, 1), " scum ": (8, 1)})
+    m = toxicity.Matcher(model)
+    for _ in range(300):
+        words = [rng.choice(pieces) for _ in range(rng.randint(0, 25))]
+        text = " " + " ".join(words) + " "
+        spans = [(x.start(), x.end() - 1) for e in toxicity.EXCEPTIONS for x in re.finditer(f"(?= {e} )", text)
+                 for x in [re.compile(f" {e} ").match(text, x.start())]]
+        want = {}
+        for s in range(len(text)):
+            found = [t for t in model.counts if text.startswith(t, s)]
+            if found and not any(a <= s < b for a, b in spans):
+                want[s] = max(found, key=lambda t: m.weights[t])
+        assert m.hits(words) == want
+
+
+def test_toxicity_is_linear_in_the_text():
+    import time
+    m = toxicity.Matcher(toxicity.Model(20, 80, {" trash ": (9, 1), " can ": (9, 1)}))
+    text = "trash can trash good " * 50_000  # about a megabyte, an exception and a hit every 21 letters
+    began = time.process_time()
+    assert m.features(text)[2] > 0
+    assert time.process_time() - began < 10
+
+
+def test_toxicity_learns_from_all_terms(spark):
+    long_word = "x" * 200  # no length is too long, and no number of other terms crowds it out
+    data = [(i, (f"{long_word} " if i % 3 == 0 else "") + " ".join(f"w{i}n{k}" for k in range(300))) for i in range(240)]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in data], "doc_id long, toxic int")
+    assert f" {long_word} " in toxicity.train(docs, marks).counts
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.predictions(docs, marks).collect()}
+    assert all(got[i] == int(i % 3 == 0) for i, _ in data)
+
+
+def test_toxicity_of_awkward_rows(docs, rows, spark):
+    """With a trained model: nulls, empty and very long texts, repeated rows, and a column named score."""
+    insults = spark.createDataFrame([(1000 + k, "utter idiot " * (k % 3) + "fine words here") for k in range(300)], "doc_id long, text string")
+    marks = spark.createDataFrame([(1000 + k, int(k % 3 > 0)) for k in range(300)], "doc_id long, toxic int")
+    both = docs.select("doc_id", "text", "score").unionByName(insults.withColumn("score", F.lit(0.5)))
+    got = Counter((r["doc_id"], r["predicted"]) for r in toxicity.predictions(both, marks).collect())
+    assert sum(got.values()) == len(rows) + 300
+    assert all(got[i, 0] for i, _ in rows) and not any(got[i, 1] for i, _ in rows)
+    assert toxicity.keep_clean(both, marks).columns == ["doc_id", "text", "score"]
+
+
 def test_toxicity_without_labels(docs, no_docs, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r["score"] for r in toxicity.predictions(docs, none).collect()} == {0.0}
@@ -427,6 +475,31 @@ def test_quality_ledger(docs, rows):
         assert (r["failed"], r["sole"]) == (sum(b & bit > 0 for b in bits), sum(b == bit for b in bits))
 
 
+def test_simhash_keeps_the_same_row_whatever_the_order(spark):
+    words = " ".join(f"w{k}" for k in range(40))
+    data = [(1, words.upper(), "a", {"k": 1}), (1, words, "b", {"k": 2}), (1, words.title(), "c", {"k": 3}), (1, words, "a", {"k": 4}),
+            (None, "alone", "z", None), (None, "ALONE", "y", None), (2, words + " w40", "d", {}), (3, "", "e", {}), (None, None, "f", {})]
+    got = set()
+    for k in range(3):
+        random.Random(k).shuffle(data)
+        df = spark.createDataFrame(data, "doc_id long, text string, __fp string, m map<string,int>").repartition(3)
+        got.add(frozenset((r["doc_id"], r["text"], r["__fp"]) for r in simhash.keep_first(df).collect()))
+    assert len(got) == 1
+    rows = dict((i, t) for i, t, _ in got.pop())
+    texts = {words.upper(), words, words.title()}
+    assert rows[1] == min(texts, key=lambda t: np.uint64(xxhash.xxh64_intdigest(t, 42)).astype(np.int64))
+    assert set(rows) == {1, 3, None} or set(rows) == {1, 2, 3, None}
+
+
+def test_embeddings_of_any_magnitude(spark):
+    data = [(1, [1e-200, 1e-210]), (2, [0.1, 1.0]), (3, [2e-200, 2e-210]), (4, [1e200, 1e190]), (5, [1.0, 0.0]), (6, [5e-324, 0.0]),
+            (7, [1e308, 1e308]), (8, [1.0, 1.0]), (None, [3.0, 3.0]), (8, [2.0, 2.0]), (9, None)]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_join.linked_vectors(df).collect())
+    assert got == Counter([(1, 4, 1), (3, 4, 1), (4, 4, 1), (5, 4, 1), (6, 4, 1), (2, 0, 2), (7, 3, 7), (8, 3, 7), (8, 3, 7), (None, 3, 7),
+                           (9, 0, 9)])
+
+
 # empty tables
 
 def test_empty_tables(no_docs):

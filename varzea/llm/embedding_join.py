@@ -49,8 +49,10 @@ EDGE = 1e-9
 
 @F.pandas_udf(T.BinaryType())
 def packed(vectors: pd.Series) -> pd.Series:
-    """The components as the bytes of 64-bit floats, which tasks read without boxing."""
-    return pd.Series([np.asarray(v, np.float64).tobytes() for v in vectors])
+    """The components as the bytes of 64-bit floats, which tasks read without
+    boxing; scaled by a power of two so that the largest lies between 1/2 and 1
+    (exact, and squares neither vanish nor overflow)."""
+    return pd.Series([np.ldexp(v, -np.frexp(np.abs(v).max())[1]).tobytes() for v in (np.asarray(x, np.float64) for x in vectors)])
 
 
 def matrix(vectors: pd.Series, dim: int) -> np.ndarray:
@@ -143,8 +145,8 @@ def linked_vectors(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
                       .withColumn("vector", packed.asNondeterministic()("embedding")), "distinct-vectors")
     n = distinct.count()
     chosen = (distinct.orderBy(F.xxhash64("embedding"), "node").limit(max(1, min(MAX_PIVOTS, n // CELL)))
-              .select("dim", "embedding").collect())  # MAX_PIVOTS vectors at most
-    pivots = {d: unit(np.array([r["embedding"] for r in chosen if r["dim"] == d], np.float64)) for d in {r["dim"] for r in chosen}}
+              .select("dim", "vector").collect())  # MAX_PIVOTS vectors at most
+    pivots = {d: unit(np.array([np.frombuffer(r["vector"]) for r in chosen if r["dim"] == d])) for d in {r["dim"] for r in chosen}}
     radius = float(np.sqrt(2 - 2 * cosine))
     cells = staged(distinct.select("node", "dim", "vector")
                    .mapInPandas(_assign(pivots, radius), "node long, dim int, cell int, home boolean"), "cells")

@@ -39,6 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from varzea.llm.common import fresh, partitions, staged, text_bytes
 from varzea.llm.components import components, spanning
@@ -196,12 +197,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` per component, columns unchanged: a row of its
-    smallest doc_id, or of a null id where it has no other."""
-    f = fresh(docs, "fp")
-    marked = with_fingerprint(docs, f)
-    rows = staged(marked.select("doc_id", F.col(f).alias("fp")), "simhash-fp")
-    first = (groups(rows).groupBy("root")
+    smallest doc_id, or of a null id where it has no other.  Of several rows of
+    that id the one with the least fingerprint stays, then that with the least
+    hash of its text, then the least text and the least other columns (in their
+    order; columns that have no order are not asked)."""
+    f, h = fresh(docs, "fp"), fresh(docs, "text_hash")
+    marked = staged(with_fingerprint(docs, f).withColumn(h, F.xxhash64("text")), "simhash-rows")
+    first = (groups(marked.select("doc_id", F.col(f).alias("fp"))).groupBy("root")
              .agg(F.min(F.struct(F.col("least").isNull().alias("none"), "least", "fp")).alias("first"))
              .select(F.col("first.least").alias("keep_id"), F.col("first.fp").alias("keep_fp")))
     kept = marked.join(first, marked["doc_id"].eqNullSafe(F.col("keep_id")) & (marked[f] == F.col("keep_fp")), "left_semi")
-    return kept.dropDuplicates(["doc_id", f]).drop(f)
+    others = [c for c in docs.columns if c not in ("doc_id", "text") and orderable(docs.schema[c].dataType)]
+    n = fresh(docs, "place")
+    best = Window.partitionBy("doc_id", f).orderBy(h, "text", *(F.col(f"`{c}`") for c in others))
+    return kept.withColumn(n, F.row_number().over(best)).filter(F.col(n) == 1).drop(f, h, n)
+
+
+def orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(orderable(x.dataType) for x in kind)
+    return orderable(kind.elementType) if isinstance(kind, T.ArrayType) else not isinstance(kind, (T.MapType, T.VariantType))

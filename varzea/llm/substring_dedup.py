@@ -18,9 +18,11 @@ A row is known by its id and a 64-bit hash of its text, so rows that share an
 id (or have none) lose only what they hold themselves; rows equal in both have
 the same repeats.  The id and the position alone decide which window is earlier.
 
-Two different windows are taken for one only if 64 bits of one hash and the
-hash range of the other agree by chance: with 2^r ranges 2^-(64+r) per pair;
-two texts of one id with 2^-64 per pair.
+The two polynomials take the two halves of a 128-bit hash of each word, so words
+that agree in one half still differ in the other.  Two different windows are
+taken for one only if 64 bits of one hash and the hash range of the other agree
+by chance: with 2^r ranges 2^-(64+r) per pair; two texts of one id with 2^-64
+per pair.
 
 Defined results: a null or empty text has no words; fewer than ``WINDOW``
 words are never removed; of windows with the same document id and the same
@@ -94,12 +96,6 @@ def window_hashes(words: np.ndarray, base: np.uint64, width: int) -> np.ndarray:
             span *= 2
 
 
-def _mix(a: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        a = (a ^ (a >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-        return a ^ (a >> np.uint64(29))
-
-
 def _emit(kind: int, part: np.ndarray, doc: np.ndarray, key: np.ndarray, at: np.ndarray,
           h: np.ndarray | None) -> pd.DataFrame:
     """Packed rows, one per range; windows of one row that follow each other share an entry of doc, key and ends."""
@@ -140,7 +136,7 @@ def _row_range(doc: np.ndarray, key: np.ndarray, ranges: int) -> np.ndarray:
 
 
 def _hash_chunk(rows: dict[tuple[int, int], np.ndarray], width: int, ranges: int) -> Iterator[pd.DataFrame]:
-    """``rows``: word hashes of each id and text hash."""
+    """``rows``: both hashes of the words of each id and text hash."""
     order = sorted(rows)
     sizes = np.array([len(rows[k]) for k in order])
     total = int(sizes.sum())
@@ -150,8 +146,8 @@ def _hash_chunk(rows: dict[tuple[int, int], np.ndarray], width: int, ranges: int
     doc, key = np.repeat(ids, sizes), np.repeat(np.array([k for _, k in order], np.int64), sizes)
     at = np.arange(total) - np.repeat(begin, sizes)
     whole = (at + width <= np.repeat(sizes, sizes))[:total - width + 1]
-    h = window_hashes(word, _B1, width)[whole]
-    part = (window_hashes(_mix(word), _B2, width)[whole] >> np.uint64(20)) % np.uint64(ranges)
+    h = window_hashes(word[:, 0], _B1, width)[whole]
+    part = (window_hashes(word[:, 1], _B2, width)[whole] >> np.uint64(20)) % np.uint64(ranges)
     doc, key, at = (x[:len(whole)][whole] for x in (doc, key, at))
     part = part.astype(np.int64)
     by = np.arange(len(h))
@@ -172,13 +168,13 @@ def _hash_windows(width: int, ranges: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashed: dict[tuple[int, int], np.ndarray] = {}
         held = 0
-        digest = xxhash.xxh64_intdigest
+        digest = xxhash.xxh3_128_digest
         for batch in batches:
             for i, k, t in zip(batch["id"].tolist(), batch["key"].tolist(), batch["text"]):
                 words = t.split()  # on space, tab, \n, \v, \f, \r
                 if len(words) < width or (i, k) in hashed:
                     continue
-                hashed[i, k] = np.fromiter(map(digest, words), np.uint64, len(words))
+                hashed[i, k] = np.frombuffer(b"".join(map(digest, words)), np.uint64).reshape(-1, 2)
                 held += len(words)
                 if held >= CHUNK_WORDS:
                     yield from _hash_chunk(hashed, width, ranges)

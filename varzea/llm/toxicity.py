@@ -48,10 +48,8 @@ from varzea.llm.common import fresh, staged
 #: Labelled documents that the classifier is fitted on, at most.
 SAMPLE = 12_000
 MIN_DOCS = 6
-MAX_CANDIDATES = 100_000
 MIN_RATIO = 24.0
 PREFIXES = (3, 4, 5, 6)
-MAX_TERM = 32
 
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = {
@@ -94,7 +92,7 @@ def fold(text: str) -> list[str]:
 
 def terms(words: set[str]) -> set[str]:
     """Whole words " word " and word beginnings " wor"."""
-    out = {f" {w} " for w in words if len(w) <= MAX_TERM}
+    out = {f" {w} " for w in words}
     for n in PREFIXES:
         out.update(" " + w[:n] for w in words if len(w) >= n)
     return out
@@ -134,7 +132,15 @@ class Matcher:
                 spared.append((start, end))
             elif start not in best or weights[term] > weights[best[start]]:
                 best[start] = term
-        return {s: t for s, t in best.items() if not any(a <= s < b for a, b in spared)}
+        out, k, until = {}, 0, 0
+        spared.sort()
+        for s in sorted(best):  # both in order: each span is met once
+            while k < len(spared) and spared[k][0] <= s:
+                until = max(until, spared[k][1])
+                k += 1
+            if s >= until:
+                out[s] = best[s]
+        return out
 
     def features(self, text: str | None, label: int | None = None) -> tuple[float, float, float]:
         """Sum of weights, sum per hundred words, and number of hits, as
@@ -174,40 +180,40 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return staged(texts.join(F.broadcast(sample), "doc_id").select("text", "toxic"), "toxicity-sample")
 
 
-TERM_COUNT = "term string, n long"
+TERM_COUNT = "term string, toxic long, clean long"
 
 
-def _count_terms(known: frozenset[str] | None):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: Counter[str] = Counter()
-        for batch in batches:
-            for t in batch["text"]:
-                found = terms(set(fold(t or "")))
-                held.update(found if known is None else found & known)
-            if len(held) > 200_000:
-                yield pd.DataFrame(list(held.items()), columns=["term", "n"])
-                held.clear()
-        if held:
-            yield pd.DataFrame(list(held.items()), columns=["term", "n"])
-    return run
+def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held: tuple[Counter[str], Counter[str]] = Counter(), Counter()  # clean, toxic
+    for batch in batches:
+        for t, toxic in zip(batch["text"], batch["toxic"]):
+            held[toxic].update(terms(set(fold(t or ""))))
+        if sum(map(len, held)) > 200_000:
+            yield _counted(held)
+            held = Counter(), Counter()
+    yield _counted(held)
 
 
-def _term_documents(rows: DataFrame, known: frozenset[str] | None) -> DataFrame:
-    return (rows.select("text").mapInPandas(_count_terms(known), TERM_COUNT)
-            .groupBy("term").agg(F.sum("n").alias("n")))
+def _counted(held: tuple[Counter[str], Counter[str]]) -> pd.DataFrame:
+    clean, toxic = held
+    return pd.DataFrame([(t, toxic[t], clean[t]) for t in {**clean, **toxic}], columns=["term", "toxic", "clean"])
 
 
-def ratio(a: float, b: float, toxic: float, clean: float) -> float:
-    """Log likelihood ratio of a term's two shares, 0 if it is not over-represented."""
-    if a / toxic <= b / max(1.0, clean):
-        return 0.0
+def lexicon_terms(rows: DataFrame, toxic: int, clean: int) -> DataFrame:
+    """term, toxic and clean documents that have it, of the terms over-represented in toxic ones.  All terms of
+    the sample are counted and judged in Spark."""
+    counts = rows.mapInPandas(_count_terms, TERM_COUNT).groupBy("term").agg(F.sum("toxic").alias("a"), F.sum("clean").alias("b"))
+    a, b = F.col("a").cast("double"), F.col("b").cast("double")
     p = (a + b) / (toxic + clean)
 
-    def part(k: float, n: float) -> float:
-        q = k / n if n else 0.0
-        return (k * math.log(q / p) if k else 0.0) + ((n - k) * math.log((1 - q) / (1 - p)) if n > k else 0.0)
+    def part(k: Column, n: int) -> Column:
+        q = k / n
+        return (F.when(k > 0, k * F.ln(q / p)).otherwise(0.0)
+                + F.when(k < n, (n - k) * F.ln((1 - q) / (1 - p))).otherwise(0.0))
 
-    return 2.0 * (part(a, toxic) + part(b, clean)) if 0 < p < 1 else 0.0
+    likelihood = F.when(p < 1, 2 * (part(a, toxic) + part(b, clean))).otherwise(0.0)
+    return counts.filter((F.col("a") >= min(MIN_DOCS, max(1, toxic // 4))) & (a / toxic > b / clean)
+                         & (likelihood >= min(MIN_RATIO, 2.0 * toxic)))
 
 
 def fit_curve(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 50) -> tuple[float, ...]:
@@ -229,14 +235,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return Model()
-    candidates = (_term_documents(rows.filter("toxic = 1"), None).filter(F.col("n") >= min(MIN_DOCS, max(1, toxic // 4)))
-                  .orderBy(F.desc("n"), "term").limit(MAX_CANDIDATES).collect())
-    in_toxic = {r["term"]: r["n"] for r in candidates}
-    in_clean = {r["term"]: r["n"] for r in
-                _term_documents(rows.filter("toxic = 0"), frozenset(in_toxic)).collect()}  # at most MAX_CANDIDATES
-    counts = {t: (a, in_clean.get(t, 0)) for t, a in in_toxic.items()}
-    need = min(MIN_RATIO, 2.0 * toxic)
-    counts = {t: c for t, c in counts.items() if ratio(*c, toxic, clean) >= need}
+    # terms of SAMPLE documents at most, and of those the few that tell
+    counts = {r["term"]: (r["a"], r["b"]) for r in sorted(lexicon_terms(rows, toxic, clean).collect())}
     model = Model(toxic, clean, counts)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
