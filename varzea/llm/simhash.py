@@ -147,7 +147,8 @@ def fingerprint_links(fps: DataFrame) -> DataFrame:
     """Links (a, b) between the distinct fingerprints of ``fps`` (column fp)
     that join the same fingerprints as all pairs within RADIUS bits do."""
     spark = fps.sparkSession
-    variants = fps.select(F.explode(block_variants(F.col("fp"))).alias("key"), "fp")
+    spread = fps.select("fp").repartition(4 * partitions(spark), "fp")  # a few small files else make a few large tasks
+    variants = spread.select(F.explode(block_variants(F.col("fp"))).alias("key"), "fp")
     met = staged(variants.repartition(4 * partitions(spark), "key").mapInPandas(_meet, "a long, b long"), "simhash-met")
     pairs = met.filter("b IS NOT NULL")
     hot = met.filter("b IS NULL").select(F.col("a").alias("fp")).distinct()
