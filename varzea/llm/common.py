@@ -129,6 +129,22 @@ def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
             _scratch[-1] += kept
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark deletes the shuffle files of a query when the query ends:
+    what ``staged`` has written is read from Parquet, so nothing needs them again."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def partitions(spark: SparkSession) -> int:
     """The shuffle width that the cluster's owner chose for the data."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
