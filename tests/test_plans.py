@@ -67,3 +67,18 @@ def test_model_pre_aggregate_identical_in_every_branch(slake):
         return line.strip(" :+-")
     subtrees = {tuple(norm(x) for x in init[i:i + 6]) for i in idx}
     assert len(subtrees) == 1
+
+
+def test_a_filter_on_matches_prunes_the_seasons_of_statistics(slake):
+    stats, partidas = slake.estatisticas, slake.partidas
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    one_season, one_round = partidas.filter("temporada = 2000"), partidas.filter("rodada = 1")
+    for matches in (partidas, one_season, one_round):
+        assert rows(Q.medias_estatisticas(stats, matches, por_temporada=True)) == rows(Q.medias_estatisticas(stats, matches))
+
+    def scan(df):  # the line of the statistics' scan
+        return next(line for line in _plan(df).split("\n") if "/estatisticas" in line)
+
+    assert "= 2000)" in scan(Q.medias_estatisticas(stats, one_season, por_temporada=True))
+    assert "dynamicpruning" in scan(Q.medias_estatisticas(stats, one_round, por_temporada=True))
+    assert "dynamicpruning" not in scan(Q.medias_estatisticas(stats, one_round))

@@ -201,12 +201,16 @@ def melhor_visitante(partidas: DataFrame, min_jogos: int = 50, status: str | Non
 
 # ---- 3. joins and windows ---------------------------------------------------------------
 
-def medias_estatisticas(estatisticas: DataFrame, partidas: DataFrame) -> DataFrame:
+def medias_estatisticas(estatisticas: DataFrame, partidas: DataFrame, por_temporada: bool = False) -> DataFrame:
     """Q22: mean possession / shots / corners / fouls per season (inner join
-    to matches; statistics without a match drop out)."""
-    e = estatisticas.select("partida_id", "posse_de_bola", "chutes", "escanteios", "faltas")
+    to matches; statistics without a match drop out).  Statistics that are
+    stored by their match's season may be joined ``por_temporada`` too: a filter
+    on the matches then leaves out the folders of other seasons, when the query
+    is planned or, for other columns than the season, when it runs."""
+    keys = ["partida_id", "temporada"] if por_temporada else ["partida_id"]
+    e = estatisticas.select(*keys, "posse_de_bola", "chutes", "escanteios", "faltas")
     p = partidas.select("partida_id", "temporada")
-    return (e.join(p, "partida_id").groupBy("temporada")
+    return (e.join(p, keys).groupBy("temporada")
             .agg(F.round(F.avg("posse_de_bola"), 1).alias("media_posse"),
                  F.round(F.avg("chutes"), 1).alias("media_chutes"),
                  F.round(F.avg("escanteios"), 1).alias("media_escanteios"),
