@@ -278,6 +278,18 @@ def test_packing_shrinks_when_shards_have_few_bins(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in got) == list(range(200)) and max(fill.values()) <= 1024
 
 
+def test_evolution_gains_on_best_fit_and_goes_on_from_its_population():
+    lengths = np.random.default_rng(1).integers(200, 700, 8192).tolist()
+    best_fit = packing.first_individual(lengths, 1024, np.random.default_rng(1), 0.0)
+    first = packing.evolve(lengths, 1024, 1, [], None)
+    assert len(first) == packing.POPULATION and len({p.fitness() for p in first}) == len(first)
+    assert len(first[0].free) < len(best_fit.free)
+    second = packing.evolve(lengths, 1024, 2, [p.bin_of for p in first], None)
+    assert second[0].fitness() > first[0].fitness()
+    used = np.bincount(second[0].bin_of, weights=lengths, minlength=len(second[0].free))
+    assert min(second[0].bin_of) >= 0 and (used + np.array(second[0].free) == 1024).all()
+
+
 def test_crossover_keeps_every_piece_once():
     rng = np.random.default_rng(0)
     lengths = rng.integers(1, 900, 200).tolist()

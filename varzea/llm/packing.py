@@ -9,8 +9,9 @@ about ``SHARD`` pieces, and several islands work on each shard:
 * crossover injects whole well-filled bins of one parent into the other, the
   bins that would then hold a piece twice are removed, and the pieces that
   lose their bin are put back by best fit, longest first;
-* after each epoch the best individual of every island (the elite) moves to
-  the next island of its shard;
+* an island keeps its population from epoch to epoch; after each the best
+  individual of every island (the elite) also moves to the next island of its
+  shard, as a guest of the population there;
 * at the end a shard keeps the bins of its best individual, but for its
   ``OPEN_BINS`` worst, or as many of these as hold half of its pieces at most:
   their pieces migrate to the next level, where fewer shards pack what all
@@ -45,9 +46,11 @@ END_ID = 2
 SHARD = 8192
 ISLANDS = 2
 EPOCHS = 2
-POPULATION = 3
-GENERATIONS = 3
+POPULATION = 6
+GENERATIONS = 10
 OPEN_BINS = 6
+#: How far a first individual's order strays from longest first, from the first to the last of a population.
+NOISE = 0.3
 #: Share of a parent's bins, the fullest, that crossover injects.
 INJECT = 0.5
 MEMO_ENTRIES = 400_000
@@ -192,42 +195,63 @@ def crossover(a: Bins, b: Bins, rng: np.random.Generator) -> Bins:
     return child
 
 
-def evolve(lengths: list[int], capacity: int, seed: int, elite: list[int] | None) -> Bins:
-    """One island's epoch; ``elite`` is the assignment that migrated here."""
+def _individual(lengths: list[int], capacity: int, bin_of: list[int]) -> Bins:
+    out = Bins(lengths, capacity)
+    out.bin_of = bin_of
+    filled = np.bincount(bin_of, weights=lengths, minlength=max(bin_of) + 1)
+    out.free = (capacity - filled.astype(int)).tolist()
+    return out
+
+
+def _fittest(population: list[Bins]) -> list[Bins]:
+    """The best ``POPULATION``, best first; of equally fit ones the first, so that copies do not take the others' places."""
+    distinct: dict[tuple[int, int], Bins] = {}
+    for one in population:
+        distinct.setdefault(one.fitness(), one)
+    return [distinct[f] for f in sorted(distinct, reverse=True)[:POPULATION]]
+
+
+def evolve(lengths: list[int], capacity: int, seed: int, kept: list[list[int]],
+           elite: list[int] | None) -> list[Bins]:
+    """One island's epoch, best first.  ``kept`` are the assignments that the
+    epoch before left here (none: a first population), ``elite`` is the one that
+    migrated here."""
     rng = np.random.default_rng(seed)
-    population = [first_individual(lengths, capacity, rng, noise) for noise in (0.0, 0.05, 0.3)[:POPULATION]]
+    if kept:
+        population = [_individual(lengths, capacity, k) for k in kept]
+    else:
+        population = [first_individual(lengths, capacity, rng, NOISE * k / max(1, POPULATION - 1))
+                      for k in range(POPULATION)]
     if elite is not None:
-        guest = Bins(lengths, capacity)
-        guest.bin_of = elite
-        filled = np.bincount(elite, weights=lengths, minlength=max(elite) + 1)
-        guest.free = (capacity - filled.astype(int)).tolist()
-        population.append(guest)
+        population.append(_individual(lengths, capacity, elite))
     least = -(-sum(lengths) // capacity)
     for _ in range(GENERATIONS):
-        population.sort(key=Bins.fitness, reverse=True)
+        population = _fittest(population)
         if len(population[0].free) == least:
             break  # no packing has fewer bins
-        population = population[:POPULATION]
-        best = population[0]
-        population += [crossover(*(pair if rng.random() < 0.5 else pair[::-1]), rng)
-                       for pair in ((best, other) for other in population[1:])]
-    return max(population, key=Bins.fitness)
+        order = rng.permutation(len(population)).tolist()  # each is a parent, beside the next one
+        population += [crossover(population[i], population[j], rng)
+                       for i, j in zip(order, order[1:] + order[:1]) if i != j]
+    return _fittest(population)
 
 
-STATE = "shard long, island int, best binary, bins long, fill double"
+STATE = "shard long, island int, best binary, kept array<binary>, bins long, fill double"
 
 
 def _island(capacity: int, epoch: int):
     def run(key, items: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
+        columns = ["shard", "island", "best", "kept", "bins", "fill"]
         if not len(items):
-            return pd.DataFrame(columns=["shard", "island", "best", "bins", "fill"])
+            return pd.DataFrame(columns=columns)
         shard, island = int(key[0]), int(key[1])
         lengths = items.sort_values("row")["length"].astype(int).tolist()
-        elite = np.frombuffer(states["best"].iloc[0], np.int32).tolist() if len(states) else None
-        best = evolve(lengths, capacity, shard * 1000 + island * 10 + epoch, elite)
-        bins, fill = best.fitness()
-        return pd.DataFrame([(shard, island, np.array(best.bin_of, np.int32).tobytes(), -bins, float(fill))],
-                            columns=["shard", "island", "best", "bins", "fill"])
+        own, guests = states[~states["guest"].astype(bool)], states[states["guest"].astype(bool)]
+        kept = [np.frombuffer(k, np.int32).tolist() for k in own["kept"].iloc[0]] if len(own) else []
+        elite = np.frombuffer(guests["best"].iloc[0], np.int32).tolist() if len(guests) else None
+        population = evolve(lengths, capacity, shard * 1000 + island * 10 + epoch, kept, elite)
+        bins, fill = population[0].fitness()
+        packed = [np.array(p.bin_of, np.int32).tobytes() for p in population]
+        return pd.DataFrame([(shard, island, packed[0], packed, -bins, float(fill))], columns=columns)
     return run
 
 
@@ -268,11 +292,15 @@ def pack(pieces_: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         lengths = items.select("shard", "row", "length", F.explode(F.array(*map(F.lit, range(ISLANDS)))).alias("island"))
         state = spark.createDataFrame([], STATE)
         for epoch in range(EPOCHS):
-            moved = state.withColumn("island", (F.col("island") + 1) % ISLANDS)  # the elite goes to the next island
+            # the elite goes to the next island, the population stays
+            moved = (state.select("shard", ((F.col("island") + 1) % ISLANDS).cast("int").alias("island"), "best",
+                                  F.lit(None).cast("array<binary>").alias("kept"), F.lit(True).alias("guest"))
+                     .unionByName(state.select("shard", "island", F.lit(None).cast("binary").alias("best"), "kept",
+                                               F.lit(False).alias("guest"))))
             state = staged(lengths.groupBy("shard", "island").cogroup(moved.groupBy("shard", "island"))
                            .applyInPandas(_island(capacity, epoch), STATE), "islands")
         last = shards == 1
-        placed = staged(items.groupBy("shard").cogroup(state.groupBy("shard"))
+        placed = staged(items.groupBy("shard").cogroup(state.drop("kept").groupBy("shard"))
                         .applyInPandas(_place(level, last), PLACED), "packed")
         done.append(placed.filter("settled").select(*payload, "sequence_id", "offset"))
         if last:
