@@ -34,23 +34,17 @@ def build_silver(lk: Lake, dest: str | None = None) -> tuple[str, dict[str, int]
     Staged so the raw joins run once: the raw match rows are written first,
     the one-row-per-match table is merged from that folder, and the
     statistics are derived from the written matches."""
-    from varzea.operators.upsert import last_wins
+    from varzea.sources.fixtures import merged_matches
     dest = dest or scratch_dir(lk.spark, "silver")
     counts = {}
     counts["partidas_bruto"] = write_table(lk.partidas_bruto, f"{dest}/partidas_bruto",
-                                           partition_by=PARTITION_BY["partidas_bruto"])
+                                           partition_by=PARTITION_BY["partidas_bruto"], cluster=False)
     bruto = lk.spark.read.parquet(f"{dest}/partidas_bruto")
-    one = last_wins(bruto, ["partida_id"], ["seq1", "seq2", "seq3", "seq4", "gols_mandante"])
-    gm, gv = F.col("gols_mandante"), F.col("gols_visitante")
-    partidas = one.select(
-        "partida_id", "temporada", "rodada", "data", "mandante", "visitante", "estado_mandante",
-        "estado_visitante", "gols_mandante", "gols_visitante", "status", "arena", "fonte",
-        F.when(gm > gv, F.col("mandante")).when(gm < gv, F.col("visitante")).when(gm == gv, F.lit("-"))
-         .alias("vencedor"))
-    counts["partidas"] = write_table(partidas, f"{dest}/partidas", partition_by=PARTITION_BY["partidas"])
+    partidas = merged_matches(bruto, ["partida_id"], F.col("partida_id"))
+    counts["partidas"] = write_table(partidas, f"{dest}/partidas", partition_by=PARTITION_BY["partidas"], cluster=False)
     staged = SilverLake(lk.spark, dest, lk.root)
     counts["estatisticas"] = write_table(Lake.estatisticas.func(staged), f"{dest}/estatisticas",
-                                         partition_by=PARTITION_BY["estatisticas"])
+                                         partition_by=PARTITION_BY["estatisticas"], cluster=False)
     for name in ["gols", "cartoes", "escalacoes"]:
         counts[name] = write_table(getattr(lk, name), f"{dest}/{name}", partition_by=PARTITION_BY[name])
     return dest, counts
@@ -157,7 +151,9 @@ def build_gold_tables(lk: Lake, dest: str | None = None, api_mode: str = "prefer
                    columns=GOLD_INPUT_COLUMNS)
     require_tables({"partidas": lk.partidas}, required=("partidas",), non_empty=True)
     gold = build_gold(lk.partidas, lk.gols, lk.cartoes, getattr(lk, "classificacao", None), api_mode)
-    counts = {name: commit_seasons(gold[name], f"{dest}/{name}")["rows"] for name in GOLD_TABLES[:-1]}
+    # G1 is the matches row by row, which come by season
+    counts = {name: commit_seasons(gold[name], f"{dest}/{name}", cluster=name != "campeonato_historico")["rows"]
+              for name in GOLD_TABLES[:-1]}
     # G6 reads G5 from its written folder, as the source does
     seasons = [r[0] for r in lk.partidas.select("temporada").distinct().collect()]  # one value a season
     classif = read_seasons(lk.spark, f"{dest}/classificacao_historica").filter(F.col("temporada").isin(seasons))
@@ -272,7 +268,7 @@ def build_all(spark: SparkSession, raw_root: str | None = None, dest: str | None
     if exports:
         silver = {n: getattr(slk, n) for n in ["gols", "cartoes", "estatisticas"]}
         for name, df in all_exports(gold, silver).items():
-            ledger.step(f"export_{name}", lambda name=name, df=df: export_json(df, f"{dest}/json/{name}", EXPORT_ORDER.get(name)))
+            ledger.step(f"export_{name}", lambda name=name, df=df: export_json(df, f"{dest}/json/{name}", EXPORT_ORDER.get(name), "gzip"))
         out["json"] = f"{dest}/json"
     out.update({"ran": ledger.ran, "skipped": ledger.skipped})
     return out

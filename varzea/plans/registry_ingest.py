@@ -282,7 +282,8 @@ def _stream_refresh(lk):
     spark = lk.spark
     table, landing, ckpt = (scratch_dir(spark, n) for n in ("u07-table", "u07-landing", "u07-ckpt"))
     conform(lk.partidas).write.mode("overwrite").partitionBy("temporada").parquet(table)
-    FD.fixture_docs(lk.partidas.filter(F.col("temporada") == RUNNING)).select("payload") \
+    # the documents tell of the matches just stored: the source tables are joined and merged once
+    FD.fixture_docs(read_seasons(spark, table).filter(F.col("temporada") == RUNNING)).select("payload") \
         .write.mode("overwrite").text(landing)
     refresh_stream(spark, landing, table, ckpt, RUNNING, mode="source")
     return read_seasons(spark, table)
@@ -316,7 +317,7 @@ def _conflicting_documents(lk):
     spark = lk.spark
     table, landing, ckpt = (scratch_dir(spark, n) for n in ("u07b-table", "u07b-landing", "u07b-ckpt"))
     conform(lk.partidas).write.mode("overwrite").partitionBy("temporada").parquet(table)
-    now = lk.partidas.filter(F.col("temporada") == RUNNING)
+    now = read_seasons(spark, table).filter(F.col("temporada") == RUNNING)  # as just stored: joined and merged once
     early = (now.withColumn("gols_mandante", F.col("gols_mandante") + 5)
              .withColumn("data", F.date_add("data", 40)))
     for docs in (early, now):  # written one after the other

@@ -16,6 +16,7 @@ from varzea.session import scratch_dir
 from varzea.sources import feeds as FD
 from varzea.sources.fixtures import Lake
 from varzea.sources.seasons import commit_seasons, read_seasons
+from varzea.sources.sinks import write_table
 
 _runs: dict[tuple, object] = {}
 
@@ -29,6 +30,16 @@ def _once(make: Callable[[Lake], object]) -> Callable[[Lake], object]:
     return run
 
 
+def with_stored_matches(lk: Lake) -> tuple[Lake, int]:
+    """The lake with its matches written once, by season: what reads them many
+    times does not join and merge the source tables each time.  Also their number."""
+    path = scratch_dir(lk.spark, "matches")
+    n = write_table(lk.partidas, path, partition_by=["temporada"], cluster=False)
+    stored = Lake(lk.spark, lk.root)
+    stored.partidas = lk.spark.read.schema(lk.partidas.schema).parquet(path).select(*lk.partidas.columns)
+    return stored, n
+
+
 # ---- U7 + G7 ----------------------------------------------------------------------------------
 REFRESHED, ROUNDS = (1999, 2000), (5, 6)
 _IS_NEW = f"temporada IN {REFRESHED} AND rodada IN {ROUNDS}"
@@ -44,9 +55,10 @@ def refreshed_lake(lk: Lake) -> str:
     from varzea.streaming.refresh import conform, refresh_lake
     spark = lk.spark
     silver, gold, landing, state = (scratch_dir(spark, f"u07c-{n}") for n in ("silver", "gold", "landing", "state"))
+    lk, _ = with_stored_matches(lk)
     new = F.expr(_IS_NEW)
     wrong = lk.partidas.withColumn("gols_mandante", F.when(new, F.col("gols_mandante") + 5).otherwise(F.col("gols_mandante")))
-    commit_seasons(conform(wrong), f"{silver}/partidas")
+    commit_seasons(conform(wrong), f"{silver}/partidas", cluster=False)
     ids = lk.partidas.filter(new).select("partida_id")
     for name in ("gols", "cartoes"):
         commit_seasons(getattr(lk, name).join(ids, "partida_id", "left_anti"), f"{silver}/{name}")
@@ -103,6 +115,10 @@ for _t in ["campeonato_historico", "artilharia_historica", "desempenho_clubes",
         lambda lk, t=_t: read_seasons(lk.spark, f"{refreshed_lake(lk)}/{t}"))
 
 
+#: Matches of a bucket: its sort fits a task's memory, its file stays small.
+BUCKET_ROWS = 1_000_000
+
+
 # ---- K5 + V6 -----------------------------------------------------------------------------------
 @_once
 def served_database(lk: Lake) -> str:
@@ -111,9 +127,14 @@ def served_database(lk: Lake) -> str:
     from varzea.sources.fixtures import gold_of
     from varzea.sources.sinks import MATCH_BUCKETS, publish_catalog, publish_views
     name = f"varzea_{len(_runs)}"
-    tables = {"partidas": lk.partidas, "estatisticas": lk.estatisticas,
+    lk, n = with_stored_matches(lk)
+    buckets = max(8, -(-n // BUCKET_ROWS))
+    # matches meet their bucket before they become two rows of statistics each
+    by_bucket = Lake(lk.spark, lk.root)
+    by_bucket.partidas = lk.partidas.repartition(buckets, "partida_id")
+    tables = {"partidas": lk.partidas, "estatisticas": by_bucket.estatisticas,
               **{n: df for n, df in gold_of(lk).items() if not n.startswith("v_")}}
-    publish_catalog(lk.spark, tables, name, bucket_by=MATCH_BUCKETS, buckets=8, location=scratch_dir(lk.spark, "k05-database"))
+    publish_catalog(lk.spark, tables, name, bucket_by=MATCH_BUCKETS, buckets=buckets, location=scratch_dir(lk.spark, "k05-database"))
     publish_views(lk.spark, name)
     return name
 

@@ -113,15 +113,18 @@ def team_stats_docs(estatisticas: DataFrame) -> DataFrame:
     (possession as ``NN%``)."""
     def item(name, value):
         return F.struct(F.lit(name).alias("type"), value.cast("string").alias("value"))
-    team = F.struct(
-        F.struct(F.col("clube").alias("name")).alias("team"),
-        F.array(item("Total Shots", F.col("chutes")), item("Shots on Goal", F.col("chutes_no_alvo")),
-                item("Ball Possession", F.concat(F.col("posse_de_bola").cast("bigint").cast("string"), F.lit("%"))),
-                item("Fouls", F.col("faltas")), item("Corner Kicks", F.col("escanteios"))).alias("statistics"))
-    per_match = estatisticas.groupBy("partida_id", "temporada", "rodada").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("clube").alias("k"), team.alias("t")))).alias("ts"))
+    def team(x):
+        return F.struct(
+            F.struct(x["clube"].alias("name")).alias("team"),
+            F.array(item("Total Shots", x["chutes"]), item("Shots on Goal", x["chutes_no_alvo"]),
+                    item("Ball Possession", F.concat(x["posse_de_bola"].cast("bigint").cast("string"), F.lit("%"))),
+                    item("Fouls", x["faltas"]), item("Corner Kicks", x["escanteios"])).alias("statistics"))
+    # plain values are grouped; the lists, many times as wide, are made from them afterwards
+    per_match = estatisticas.groupBy("partida_id", "temporada", "rodada").agg(F.collect_list(F.struct(
+        "clube", "chutes", "chutes_no_alvo", "posse_de_bola", "faltas", "escanteios")).alias("xs"))
+    teams = F.transform("xs", lambda x: F.struct(x["clube"].alias("k"), team(x).alias("t")))
     return per_match.select("partida_id", "temporada", "rodada", F.to_json(F.struct(
-        F.transform("ts", lambda x: x["t"]).alias("response"))).alias("payload"))
+        F.transform(F.array_sort(teams), lambda x: x["t"]).alias("response"))).alias("payload"))
 
 
 # Goal type of the fixture table -> provider A event detail.

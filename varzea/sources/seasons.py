@@ -82,17 +82,19 @@ def clustered(df: DataFrame, by: str = SEASON) -> DataFrame:
     return df.hint("rebalance", F.col(by))
 
 
-def commit_seasons(df: DataFrame, table_dir: str, note: dict | None = None) -> dict[str, int]:
+def commit_seasons(df: DataFrame, table_dir: str, note: dict | None = None, cluster: bool = True) -> dict[str, int]:
     """Replace the seasons that ``df`` has, all at once; ``df`` may read the
     table.  ``note`` is kept beside the version (written after the mark: a
-    version may lack it).  Returns the version and the number of rows."""
+    version may lack it).  ``cluster=False`` when the rows come by season
+    already, as from another season table.  Returns the version and the number
+    of rows."""
     spark, root = df.sparkSession, table_dir.rstrip("/")
     taken = [_number(p) for p in storage.glob(spark, f"{root}/v=*")]
     version = max(taken, default=0) + 1
     path = f"{root}/v={version:08d}"
     obs = Observation("commit_seasons")
-    (clustered(df).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy(SEASON).parquet(path))
+    ((clustered(df) if cluster else df).observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").option("compression", "zstd").partitionBy(SEASON).parquet(path))
     if note is not None:
         storage.write_text(spark, f"{path}/{NOTE}", json.dumps(note))
     return {"version": version, "rows": int(obs.get["rows"])}

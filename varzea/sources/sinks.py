@@ -11,15 +11,16 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                sort_within: list[str] | None = None, mode: str = "overwrite") -> int:
+                sort_within: list[str] | None = None, mode: str = "overwrite", cluster: bool = True) -> int:
     """K1/K2: write Parquet and return the row count observed during the
     write.  With ``partition_by`` and the session's dynamic partition
     overwrite, only the partitions present in ``df`` are replaced; rows of one
     partition are brought together first (AQE splits a large one again), so
-    it gets few files."""
+    it gets few files.  ``cluster=False`` spares that shuffle for rows that a
+    join, a merge or a scan of such folders has in few large tasks already."""
     obs = Observation("write_table")
     out = df
-    if partition_by:
+    if partition_by and cluster:
         out = out.hint("rebalance", *map(F.col, partition_by))
     out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     if sort_within:
@@ -27,7 +28,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    w.option("compression", "zstd").parquet(path)
     return int(obs.get["rows"])
 
 
@@ -43,13 +44,14 @@ def sort_column(spec: str):
     return col.asc_nulls_first() if nulls_first else col.asc_nulls_last()
 
 
-def export_json(df: DataFrame, path: str, order: list[str] | None = None) -> None:
+def export_json(df: DataFrame, path: str, order: list[str] | None = None, compression: str = "none") -> None:
     """K3: JSON Lines export, dates as ISO text.  ``order`` ("col DESC")
-    gives the row order inside the files (a range-partitioned sort)."""
+    gives the row order inside the files (a range-partitioned sort);
+    ``compression`` as Spark's JSON writer takes it (``gzip``)."""
     out = df
     if order:
         out = out.orderBy(*[sort_column(o) for o in order])
-    out.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").json(path)
+    out.write.mode("overwrite").option("dateFormat", "yyyy-MM-dd").option("compression", compression).json(path)
 
 
 def publish(tables: dict[str, DataFrame], dest: str) -> dict[str, int]:
