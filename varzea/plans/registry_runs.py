@@ -55,7 +55,7 @@ def refreshed_lake(lk: Lake) -> str:
     from varzea.streaming.refresh import conform, refresh_lake
     spark = lk.spark
     silver, gold, landing, state = (scratch_dir(spark, f"u07c-{n}") for n in ("silver", "gold", "landing", "state"))
-    lk, _ = with_stored_matches(lk)
+    source, (lk, _) = lk, with_stored_matches(lk)
     new = F.expr(_IS_NEW)
     wrong = lk.partidas.withColumn("gols_mandante", F.when(new, F.col("gols_mandante") + 5).otherwise(F.col("gols_mandante")))
     commit_seasons(conform(wrong), f"{silver}/partidas", cluster=False)
@@ -65,7 +65,9 @@ def refreshed_lake(lk: Lake) -> str:
     refresh_gold(spark, silver, gold)
     played = lk.partidas.filter(new)
     for rodada in ROUNDS:
-        fixtures = FD.in_envelope(FD.fixture_docs(played.filter(F.col("rodada") == rodada)), "fixtures", season=F.col("temporada"))
+        # documents land in the order of the merge: of several without a match id the last one wins
+        landed = source.partidas.filter(new & (F.col("rodada") == rodada))
+        fixtures = FD.in_envelope(FD.fixture_docs(landed), "fixtures", season=F.col("temporada"))
         here = played.filter(F.col("rodada") == rodada).select("partida_id")
         events = FD.in_envelope(FD.event_docs(lk.gols.join(here, "partida_id", "left_semi"), lk.cartoes.join(here, "partida_id", "left_semi")),
                                 "fixtures/events", fixture=F.col("partida_id"))
