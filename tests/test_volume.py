@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from varzea.operators.upsert import last_wins
 from varzea.plans import registry_runs
 from varzea.sources import feeds as FD
-from varzea.sources.fixtures import Lake
+from varzea.sources.fixtures import Lake, gold_of
 from varzea.sources.sinks import export_json
 
 SF = "/root/testdata/sf0.001"
@@ -62,3 +62,27 @@ def test_team_lists_are_built_after_the_grouping(spark):
     payload = docs.first()["payload"]
     assert payload.index('"name":"A"') < payload.index('"name":"B"') and '"value":"51%"' in payload
     assert not [m for m in re.findall(r"collect_list\((.*)", plan(docs)) if "Total Shots" in m]
+
+
+def test_served_tables_are_written_in_the_buckets_of_the_matches(spark, tmp_path):
+    lk, buckets = Lake(spark, SF), 8
+    served = registry_runs.with_served_matches(lk, "varzea_buckets", buckets, f"{tmp_path}/db")
+    assert len(glob.glob(f"{tmp_path}/db/partidas/*.parquet")) == buckets == registry_runs.bucket_count(lk)
+    matches = spark.table("varzea_buckets.partidas")
+    assert matches.columns == lk.partidas.columns and lk.partidas.count() == matches.count()
+    assert matches.exceptAll(lk.partidas).isEmpty()
+    for rows in (served.estatisticas, gold_of(served)["campeonato_historico"]):
+        by_bucket = plan(rows.repartition(buckets, "partida_id"))
+        assert "Exchange" not in by_bucket and "Bucketed: true" in by_bucket
+    name = registry_runs.served_database(lk)
+    (where,) = spark.sql(f"DESCRIBE DATABASE {name}").filter("info_name = 'Location'").select("info_value").first()
+    for table in ("partidas", "estatisticas", "campeonato_historico"):
+        assert len(glob.glob(f"{where.removeprefix('file:')}/{table}/*.parquet")) == buckets
+    assert spark.table(f"{name}.estatisticas").exceptAll(lk.estatisticas).isEmpty()
+    assert spark.table(f"{name}.estatisticas").count() == lk.estatisticas.count()
+
+
+def test_matches_are_shuffled_into_buckets_narrow(spark):
+    text = Lake(spark, SF).partidas_in(8)._jdf.queryExecution().optimizedPlan().toString()
+    at = text.index("RepartitionByExpression")
+    assert "Arena" in text[:at] and "Arena" not in text[at:] and "notStarted" not in text[at:]

@@ -117,26 +117,39 @@ for _t in ["campeonato_historico", "artilharia_historica", "desempenho_clubes",
         lambda lk, t=_t: read_seasons(lk.spark, f"{refreshed_lake(lk)}/{t}"))
 
 
-#: Matches of a bucket: its sort fits a task's memory, its file stays small.
+#: Matches of a bucket, at most: its sort fits a task's memory, its file stays small.
 BUCKET_ROWS = 1_000_000
 
 
 # ---- K5 + V6 -----------------------------------------------------------------------------------
+def bucket_count(lk: Lake) -> int:
+    """Buckets for the matches of a lake.  A match is a line of an order, so
+    there are no more of them than lines, whose number the files' footers tell."""
+    return max(8, -(-lk.raw("lineitem").count() // BUCKET_ROWS))
+
+
+def with_served_matches(lk: Lake, database: str, buckets: int, location: str) -> Lake:
+    """The lake over its matches in ``database``, bucketed by match.  The one
+    shuffle into buckets is that of the narrow matches; what follows from them
+    row by row reads its bucket and is written to the same one."""
+    from varzea.sources.sinks import MATCH_BUCKETS, bucket_reader, publish_catalog
+    publish_catalog(lk.spark, {"partidas": lk.partidas_in(buckets)}, database, bucket_by=MATCH_BUCKETS, buckets=buckets,
+                    location=location)
+    served = Lake(bucket_reader(lk.spark), lk.root)
+    served.partidas = served.spark.table(f"{database}.partidas")
+    return served
+
+
 @_once
 def served_database(lk: Lake) -> str:
     """Matches and statistics bucketed by match, and the gold tables with
     their views, in a database of the catalog.  Returns its name."""
     from varzea.sources.fixtures import gold_of
     from varzea.sources.sinks import MATCH_BUCKETS, publish_catalog, publish_views
-    name = f"varzea_{len(_runs)}"
-    lk, n = with_stored_matches(lk)
-    buckets = max(8, -(-n // BUCKET_ROWS))
-    # matches meet their bucket before they become two rows of statistics each
-    by_bucket = Lake(lk.spark, lk.root)
-    by_bucket.partidas = lk.partidas.repartition(buckets, "partida_id")
-    tables = {"partidas": lk.partidas, "estatisticas": by_bucket.estatisticas,
-              **{n: df for n, df in gold_of(lk).items() if not n.startswith("v_")}}
-    publish_catalog(lk.spark, tables, name, bucket_by=MATCH_BUCKETS, buckets=buckets, location=scratch_dir(lk.spark, "k05-database"))
+    name, buckets, location = f"varzea_{len(_runs)}", bucket_count(lk), scratch_dir(lk.spark, "k05-database")
+    served = with_served_matches(lk, name, buckets, location)
+    tables = {"estatisticas": served.estatisticas, **{n: df for n, df in gold_of(served).items() if not n.startswith("v_")}}
+    publish_catalog(served.spark, tables, name, bucket_by=MATCH_BUCKETS, buckets=buckets, location=location)
     publish_views(lk.spark, name)
     return name
 

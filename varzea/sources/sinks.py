@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from varzea.session import configure
+
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 sort_within: list[str] | None = None, mode: str = "overwrite", cluster: bool = True) -> int:
@@ -76,12 +78,13 @@ def publish_catalog(spark: SparkSession, tables: dict[str, DataFrame], database:
     count so one bucket file stays around 128-512 MB.  A JDBC target is
     ``df.write.jdbc(...)`` on the same frames.  ``location`` names the
     database's folder, else it is the warehouse's.  Bucketed rows are brought
-    together by bucket first, so a bucket is one file."""
+    together by bucket first, so a bucket is one file; rows that are partitioned
+    so already, or read from buckets (``bucket_reader``), are not shuffled."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}" + (f" LOCATION '{location}'" if location else ""))
     for name, df in tables.items():
         bcols = (bucket_by or {}).get(name)
         cols = (partition_by or {}).get(name)
-        w = (df.repartition(buckets, *bcols) if bcols else df).write.mode("overwrite").format("parquet")
+        w = (df.repartition(buckets, *bcols) if bcols else df).write.mode("overwrite").format("parquet").option("compression", "zstd")
         if cols:
             w = w.partitionBy(*cols)
         if bcols:
@@ -90,6 +93,16 @@ def publish_catalog(spark: SparkSession, tables: dict[str, DataFrame], database:
     return sorted(tables)
 
 
+def bucket_reader(spark: SparkSession) -> SparkSession:
+    """A session with the same tables that reads bucketed ones bucket by bucket
+    also where no join or grouping asks for it, so what is made of their rows
+    can be written in the same buckets as they come.  Spark else turns such
+    scans into plain ones."""
+    reader = spark.newSession()
+    reader.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    return configure(reader)
+
+
 def publish_views(spark: SparkSession, database: str = "varzea") -> list[str]:
     """V6: the served views over the tables that ``publish_catalog`` has put
     into the database.  Each is replaced in turn; they outlive the session that
