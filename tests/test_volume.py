@@ -5,9 +5,11 @@ import re
 
 from pyspark.sql import functions as F
 
+from varzea.operators import payloads as J
 from varzea.operators.upsert import last_wins
 from varzea.plans import registry_runs
 from varzea.sources import feeds as FD
+from varzea.sources import files as FS
 from varzea.sources.fixtures import Lake, gold_of
 from varzea.sources.sinks import export_json
 
@@ -86,3 +88,12 @@ def test_matches_are_shuffled_into_buckets_narrow(spark):
     text = Lake(spark, SF).partidas_in(8)._jdf.queryExecution().optimizedPlan().toString()
     at = text.index("RepartitionByExpression")
     assert "Arena" in text[:at] and "Arena" not in text[at:] and "notStarted" not in text[at:]
+
+
+def test_documents_are_parsed_once(spark, tmp_path):
+    fixture = '{"fixture":{"id":%d},"goals":{"home":1,"away":0}}'
+    lines = ['{"response":[%s,null,%s]}' % (fixture % 1, fixture % 2), '{"response":[]}', '{"response":null}', "{}", "[", ""]
+    spark.createDataFrame([(x,) for x in lines], "payload string").write.text(f"{tmp_path}/lines")
+    rows = J.flatten_fixtures(FS.read_payloads(spark, f"{tmp_path}/lines", whole_file=False).select("payload"))
+    assert rows._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
+    assert sorted(rows.select("partida_id", "gols_mandante").collect(), key=str) == [(1, 1), (2, 1), (None, None)]

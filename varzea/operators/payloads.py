@@ -82,11 +82,14 @@ def _ctx(df: DataFrame) -> list[str]:
 
 
 def _rows(df: DataFrame, ctx: list[str], array, name: str, *more) -> DataFrame:
-    """One row per element of ``array``, as ``name``; its place goes into ``DOC``."""
-    if DOC not in ctx:
-        return df.select(*ctx, *more, F.explode(array).alias(name))
-    out = df.select(*ctx, *more, F.posexplode(array).alias("_at", name))
-    return out.withColumn(DOC, F.struct(F.col(DOC).alias("doc"), F.col("_at").alias("at"))).drop("_at")
+    """One row per element of ``array``, as ``name``; its place goes into ``DOC``.
+    The rows that an outer explode makes of empty arrays have no place and are
+    dropped: an inner one asks for the array's size before it, and that filter
+    would parse the document again."""
+    out = df.select(*ctx, *more, F.posexplode_outer(array).alias("_at", name)).filter(F.col("_at").isNotNull())
+    if DOC in ctx:
+        out = out.withColumn(DOC, F.struct(F.col(DOC).alias("doc"), F.col("_at").alias("at")))
+    return out.drop("_at")
 
 
 def with_place(lines: DataFrame) -> DataFrame:
