@@ -97,3 +97,13 @@ def test_documents_are_parsed_once(spark, tmp_path):
     rows = J.flatten_fixtures(FS.read_payloads(spark, f"{tmp_path}/lines", whole_file=False).select("payload"))
     assert rows._jdf.queryExecution().executedPlan().toString().count("from_json(") == 1
     assert sorted(rows.select("partida_id", "gols_mandante").collect(), key=str) == [(1, 1), (2, 1), (None, None)]
+
+
+def test_statistics_map_is_made_once_a_team(spark):
+    items = [("Fouls", "3"), ("Fouls", "4"), (None, "9"), ("Ball Possession", " 55% "), ("Passes %", "x%")]
+    listed = ",".join("{%s\"value\":\"%s\"}" % (f'"type":"{k}",' if k else "", v) for k, v in items)
+    docs = [('{"response":[{"team":{"name":"A"},"statistics":[%s]},{"team":{"name":"B"}},null]}' % listed,), ('{"response":[]}',)]
+    rows = J.flatten_team_stats(spark.createDataFrame(docs, "payload string"))
+    assert plan(rows).count("map_from_entries(") == 1
+    got = [(r.clube, r.faltas, r.posse_de_bola, r.precisao_passes, r.chutes) for r in rows.collect()]
+    assert sorted(got, key=str) == [("A", 4, 55.0, None, None), ("B", None, None, None, None), (None,) * 5]

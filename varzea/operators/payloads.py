@@ -134,9 +134,12 @@ def _stat_columns(m: Column, names: dict[str, str]) -> list[Column]:
 
 
 def _last_by_key(items: str, key: str, value: str) -> Column:
-    """Map of a list of key/value structs; entries without a key are left out."""
-    keyed = F.filter(items, lambda s: s[key].isNotNull())
-    return F.map_from_entries(F.transform(keyed, lambda s: F.struct(s[key], s[value])))
+    """Map of a list of structs with a key and a value; entries without a key are left out."""
+    return F.map_from_entries(F.transform(_keyed(items, key), lambda s: F.struct(s[key], s[value])))
+
+
+def _keyed(items: str, key: str) -> Column:
+    return F.filter(items, lambda s: s[key].isNotNull())
 
 
 # ---- provider A -----------------------------------------------------------------------------
@@ -170,10 +173,12 @@ def flatten_fixtures(raw: DataFrame, with_season: bool = False) -> DataFrame:
 
 def flatten_team_stats(raw: DataFrame) -> DataFrame:
     """Per team, the key/value statistics list becomes one map (a repeated
-    key keeps its last value) and then ten typed columns."""
+    key keeps its last value) and then ten typed columns.  The map is a column
+    of its own, so it is made once a team and not once a statistic; the list's
+    items are its entries as they are."""
     t = _rows(_parse(raw, A_STATISTICS), _ctx(raw), "j.response", "t")
-    m = _last_by_key("t.statistics", "type", "value")
-    return t.select(*_ctx(raw), F.col("t.team.name").alias("clube"), *_stat_columns(m, A_STAT_NAMES))
+    m = t.select(*_ctx(raw), F.col("t.team.name").alias("clube"), F.map_from_entries(_keyed("t.statistics", "type")).alias("_m"))
+    return m.select(*_ctx(raw), "clube", *_stat_columns(F.col("_m"), A_STAT_NAMES))
 
 
 def flatten_events(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -124,7 +124,7 @@ def team_stats_docs(estatisticas: DataFrame) -> DataFrame:
         "clube", "chutes", "chutes_no_alvo", "posse_de_bola", "faltas", "escanteios")).alias("xs"))
     teams = F.transform("xs", lambda x: F.struct(x["clube"].alias("k"), team(x).alias("t")))
     return per_match.select("partida_id", "temporada", "rodada", F.to_json(F.struct(
-        F.transform(F.array_sort(teams), lambda x: x["t"]).alias("response"))).alias("payload"))
+        F.transform(F.sort_array(teams), lambda x: x["t"]).alias("response"))).alias("payload"))
 
 
 # Goal type of the fixture table -> provider A event detail.
