@@ -10,7 +10,7 @@ unless the caller names one.
 
 from __future__ import annotations
 
-from functools import cached_property
+from functools import cached_property, partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,16 +18,25 @@ from pyspark.sql import functions as F
 from varzea.operators.gold import VIEW_BUILDERS, build_gold
 from varzea.plans.exports import EXPORT_ORDER, all_exports
 from varzea.session import scratch_dir
-from varzea.sources import storage
+from varzea.sources import sinks, storage
 from varzea.sources.fixtures import Lake
 from varzea.sources.seasons import commit_seasons, current, has_seasons, notes, read_seasons, vacuum
-from varzea.sources.sinks import export_json, write_table
+from varzea.sources.sinks import write_table
 
 SILVER_TABLES = ["partidas_bruto", "partidas", "gols", "cartoes", "estatisticas", "escalacoes"]
 # every silver table is partitioned by season: a refresh rewrites one season folder
 PARTITION_BY = {t: ["temporada"] for t in SILVER_TABLES + ["classificacao"]}
 
 
+#: For rows that come by season already.
+commit_as_they_come = partial(commit_seasons, cluster=False)
+
+
+def export_json(df: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """K3 as the build does it: gzip."""
+    sinks.export_json(df, path, order, "gzip")
+
+
 def build_silver(lk: Lake, dest: str | None = None) -> tuple[str, dict[str, int]]:
     """Write every silver table of ``lk``; returns (folder, row counts).
 
@@ -152,7 +161,7 @@ def build_gold_tables(lk: Lake, dest: str | None = None, api_mode: str = "prefer
     require_tables({"partidas": lk.partidas}, required=("partidas",), non_empty=True)
     gold = build_gold(lk.partidas, lk.gols, lk.cartoes, getattr(lk, "classificacao", None), api_mode)
     # G1 is the matches row by row, which come by season
-    counts = {name: commit_seasons(gold[name], f"{dest}/{name}", cluster=name != "campeonato_historico")["rows"]
+    counts = {name: (commit_as_they_come if name == "campeonato_historico" else commit_seasons)(gold[name], f"{dest}/{name}")["rows"]
               for name in GOLD_TABLES[:-1]}
     # G6 reads G5 from its written folder, as the source does
     seasons = [r[0] for r in lk.partidas.select("temporada").distinct().collect()]  # one value a season
@@ -268,7 +277,7 @@ def build_all(spark: SparkSession, raw_root: str | None = None, dest: str | None
     if exports:
         silver = {n: getattr(slk, n) for n in ["gols", "cartoes", "estatisticas"]}
         for name, df in all_exports(gold, silver).items():
-            ledger.step(f"export_{name}", lambda name=name, df=df: export_json(df, f"{dest}/json/{name}", EXPORT_ORDER.get(name), "gzip"))
+            ledger.step(f"export_{name}", lambda name=name, df=df: export_json(df, f"{dest}/json/{name}", EXPORT_ORDER.get(name)))
         out["json"] = f"{dest}/json"
     out.update({"ran": ledger.ran, "skipped": ledger.skipped})
     return out
