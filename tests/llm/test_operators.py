@@ -308,6 +308,37 @@ def test_encoder_matches_the_tokenizer():
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_texts_encoded_together_match_the_tokenizer(monkeypatch):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    for name, value in [("BATCH_CHARS", 5000), ("CALL_WORDS", 7), ("JOIN_WORDS", 31)]:
+        monkeypatch.setattr(packing, name, value)
+    tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    enc = packing.Encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), {"<|endoftext|>": 50256})
+    rng = random.Random(4)
+    parts = ["a", "the", "'s", "1", "!", " ", " ", " ", "  ", "\n", "\t", "\u00a0", "\u3000", "\x1c", "\x85", "日", "é", "🙂",
+             "<|", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts, k=rng.randrange(14))) for _ in range(4000)]
+    texts += ["word " * 2000, None, "x" * 9000, " ".join(texts)]
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in enc.encode_all(texts)]
+    assert got == [e.ids for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for few in ([], [None], ["<|endoftext|>"], ["a  b"], ["a b"]):
+        assert list(enc.encode_all(few)) == [enc.encode(t) for t in few]
+
+
+def test_distinct_words_are_encoded_in_few_calls(monkeypatch):
+    import pandas as pd
+    import public_tokenizers
+    path, special = public_tokenizers.path("byte_bpe_50k.tiktoken"), (("<|endoftext|>", 50256),)
+    enc = packing.encoder(path, special)
+    ids, calls = enc._ids, []
+    monkeypatch.setattr(enc, "_ids", lambda text: calls.append(text) or ids(text))
+    texts = [" ".join(f"{word}x{k}{gap}" for word in range(500)) for k, gap in enumerate(["", "", ".", "\n", " "])]
+    batch = pd.DataFrame({"doc_id": range(5), "text": texts})
+    assert sum(map(len, packing._pieces(path, special, 1024)(iter([batch])))) >= 5
+    assert len(calls) <= 3 * len(texts)
+
+
 # 5 suffix-array dedup
 
 def test_suffix_dedup(docs, rows):

@@ -31,15 +31,17 @@ import base64
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varzea.llm.common import Memo, partitions, staged
+from varzea.llm.common import partitions, staged
 
 CAPACITY = 1024
 END_ID = 2
@@ -53,17 +55,25 @@ OPEN_BINS = 6
 NOISE = 0.3
 #: Share of a parent's bins, the fullest, that crossover injects.
 INJECT = 0.5
-MEMO_ENTRIES = 400_000
+#: Characters of whole texts that are encoded together (a longer text alone); no result depends on it.
+BATCH_CHARS = 1 << 24
+#: Distinct words that one call of the tokenizer takes, and words whose ids are put together at a time.
+CALL_WORDS = 1 << 16
+JOIN_WORDS = 1 << 18
 
-_BLANKS = re.compile(r"\s | \s| \Z")
+
+#: White space before a blank, and a blank without it (white space as ``str.isspace`` has it, which holds the pattern's).
+_SPACED = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
+_BLANK = re.compile(r"(?<=\S) ")
 
 
 class Encoder:
     """Packed token ids of whole texts, as the vocabulary's own tokenizer gives them.
 
-    A single blank between words always begins a new token, so words after a
-    blank are encoded once and remembered; texts with other white space beside
-    a blank are encoded in one go."""
+    A blank begins a new token unless white space stands before it, so texts are
+    cut at all other blanks.  The distinct words of a batch are encoded once,
+    many in one call with a blank before each, and the tokens' bytes tell where
+    a word's ids end.  Texts with a special string are encoded alone."""
 
     def __init__(self, rank_path: str, special: dict[str, int]):
         import public_tokenizers
@@ -72,27 +82,83 @@ class Encoder:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._ids = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks,
                                       special_tokens={}).encode_ordinary
+        self._bytes = np.zeros(max(ranks.values()) + 1, np.int64)
+        self._bytes[list(ranks.values())] = list(map(len, ranks))
         self._special = special
         self._cut = re.compile("(" + "|".join(map(re.escape, special)) + ")")
-        self._after_blank = Memo(lambda w: self._whole(" " + w), MEMO_ENTRIES)
 
     def _whole(self, text: str) -> bytes:
         return array("I", self._ids(text)).tobytes()
 
-    def _plain(self, text: str) -> bytes:
-        if _BLANKS.search(text):
-            return self._whole(text)
-        first, *rest = text.split(" ")
-        return self._whole(first) + b"".join(map(self._after_blank.__getitem__, rest))
-
     def encode(self, text: str | None) -> bytes:
         """Little-endian unsigned 32-bit ids."""
         text = text or ""
         if "<|" not in text:
-            return self._plain(text)
-        return b"".join(array("I", [self._special[p]]).tobytes() if p in self._special else self._plain(p)
+            return self._whole(text)
+        return b"".join(array("I", [self._special[p]]).tobytes() if p in self._special else self._whole(p)
                         for p in self._cut.split(text) if p)
 
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """``encode`` of each text."""
+        batch, chars = [], 0
+        for text in texts:
+            text = text or ""
+            if batch and chars + len(text) > BATCH_CHARS:
+                yield from self._batch(batch)
+                batch, chars = [], 0
+            batch.append(text)
+            chars += len(text)
+        if batch:
+            yield from self._batch(batch)
+
+    def _batch(self, texts: list[str]) -> Iterator[bytes]:
+        column = pa.array(texts, pa.string())
+        special = pc.match_substring(column, "<|")
+        spaced = pc.match_substring_regex(column, _SPACED)
+        others = column.filter(pc.and_not(spaced, special)).to_pylist()
+        at_some = self._words(pa.array([_BLANK.split(t) for t in others], pa.list_(pa.string())))
+        at_blanks = self._words(pc.split_pattern(column.filter(pc.invert(pc.or_(special, spaced))), " "))
+        del column, others
+        for text, whole, some in zip(texts, special.to_pylist(), spaced.to_pylist()):
+            yield self.encode(text) if whole else next(at_some if some else at_blanks)
+
+    def _words(self, cut: pa.ListArray) -> Iterator[bytes]:
+        """Ids of texts that are cut at blanks without white space before them."""
+        at = cut.offsets.to_numpy().astype(np.int64)
+        coded = cut.values.dictionary_encode()
+        codes, words = coded.indices.to_numpy(), coded.dictionary.to_numpy(zero_copy_only=False)
+        ids, begin, n = self._table(words, pc.binary_length(coded.dictionary).to_numpy().astype(np.int64))
+        firsts, a = words[codes[at[:-1]]].tolist(), 0
+        del cut, coded, words
+        while a < len(firsts):
+            b = max(a + 1, int(np.searchsorted(at, at[a] + JOIN_WORDS, "right")) - 1)
+            here = codes[at[a]:at[b]]
+            of_word = n[here]
+            of_word[at[a:b] - at[a]] = 0  # a text's first word has no blank before it
+            ends = np.cumsum(of_word)
+            joined = ids[np.repeat(begin[here] - ends + of_word, of_word) + np.arange(ends[-1])]
+            stops = ends[at[a + 1:b + 1] - at[a] - 1].tolist()
+            for first, start, stop in zip(firsts[a:b], [0, *stops], stops):
+                yield self._whole(first) + joined[start:stop].tobytes()
+            a = b
+
+    def _table(self, words: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of words after a blank, where each word's begin and how many they are."""
+        last = np.array([not w or w[-1].isspace() for w in words], bool)  # no other word may follow these
+        many, single = np.flatnonzero(~last), np.flatnonzero(last)
+        parts, n = [np.zeros(0, "<u4")], np.zeros(len(words), np.int64)
+        for k in range(0, len(many), CALL_WORDS):
+            some = many[k:k + CALL_WORDS]
+            parts.append(np.array(self._ids(" " + " ".join(words[some].tolist())), "<u4"))
+            stops = np.searchsorted(np.cumsum(self._bytes[parts[-1]]), np.cumsum(size[some] + 1)) + 1
+            n[some] = np.diff(stops, prepend=0)
+        for k in single.tolist():
+            parts.append(np.array(self._ids(" " + words[k]), "<u4"))
+            n[k] = len(parts[-1])
+        begin, order = np.zeros(len(words), np.int64), np.concatenate([many, single])
+        begin[order] = np.cumsum(n[order]) - n[order]
+        return np.concatenate(parts), begin, n
+
 
 @lru_cache(maxsize=1)
 def encoder(rank_path: str, special: tuple[tuple[str, int], ...]) -> Encoder:
@@ -105,8 +171,8 @@ def _pieces(rank_path: str, special: tuple[tuple[str, int], ...], capacity: int)
         end = array("I", [END_ID]).tobytes()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                ids = enc.encode(text) + end
+            for doc_id, ids in zip(batch["doc_id"], enc.encode_all(batch["text"])):
+                ids += end
                 n = len(ids) // 4
                 start, stop, piece = 0, (n - 1) % capacity + 1, 0
                 while start < n:
