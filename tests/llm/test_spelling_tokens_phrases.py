@@ -4,9 +4,13 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 
@@ -205,6 +209,61 @@ def test_collocations(spark, prose, monkeypatch, chunk, ranges):
         assert mined(df.repartition(3), top=5) == phrases_by_hand([r[1:] for r in prose], top=5)
 
 
+def test_collocation_tasks_hold_few_rows(spark, prose, monkeypatch):
+    """Batches end by bytes and row groups after few rows, however many chunks a partition has."""
+    limit, groups, send, stage = 4096, defaultdict(list), collocations._send, collocations.staged
+    monkeypatch.setattr(collocations, "CHUNK_WORDS", 100)
+    monkeypatch.setattr(collocations, "BATCH_BYTES", limit, raising=False)
+
+    def bounded(ranges):
+        run = send(ranges)
+
+        def checked(batches):
+            def each():
+                for batch in batches:
+                    held = [len(a) + len(n) for a, n in zip(batch["at"], batch["numbers"])]
+                    assert sum(held[:-1]) < limit, held
+                    yield batch
+            return run(each())
+        return checked
+
+    def watched(df, label, *more):
+        out = stage(df, label, *more)
+        for file in Path(out._staged_at.removeprefix("file:")).glob("*.parquet"):
+            meta = pq.ParquetFile(file).metadata
+            groups[label] += [meta.row_group(i).num_rows for i in range(meta.num_row_groups)]
+        return out
+
+    monkeypatch.setattr(collocations, "_send", bounded)
+    monkeypatch.setattr(collocations, "staged", watched)
+    df = spark.createDataFrame(prose, "doc_id long, lang string, text string").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None)
+    assert mined(df) == phrases_by_hand([r[1:] for r in prose])
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) == before
+    assert sum(groups["occurrences"]) > 60 and max(groups["occurrences"]) <= 4 and max(groups["phrases"]) <= 64
+
+
+def test_collocation_chunks_of_many_languages(monkeypatch):
+    monkeypatch.setattr("pyspark.TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
+    text, taken, ended, words = "some words of it " * 4, [], 0, Counter()
+
+    def batches():
+        for k in range(900):
+            lang = "big" if k % 3 == 0 else f"l{k % 300}"
+            taken.append(17)  # a gap at the end
+            yield pd.DataFrame({"lang": [lang], "text": [text.encode()]})
+
+    made = []
+    for chunk in collocations._occurrences(200, 500)(batches()):
+        row = chunk.iloc[0]
+        made.append(row["chunk"])
+        ended += len(row["at"]) // 4
+        words[row["lang"]] += sum(row["counts"])
+        assert sum(taken) - ended < 500
+    assert ended == sum(taken) and len(set(made)) == len(made)
+    assert words["big"] == 300 * 16 and words["l1"] == 3 * 16
+
+
 def test_collocation_arithmetic_is_exact(spark):
     big = 3 * 10**18  # a sum of two passes 64 bits, and so does the product
     data = [("en", 1, "a", big, None, None), ("en", 1, "b", big + 1, None, None), ("en", 2, "a b", big - 1, "a", "b"),

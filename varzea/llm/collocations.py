@@ -12,7 +12,8 @@ frequent phrase of k words.  Each length runs the same steps:
    as Rk.  Only what is left is extended.
 
 The relations are persisted a chunk a row: the documents that a task reads one
-after the other, one language each, up to ``CHUNK_WORDS`` words.  A relation is
+after the other, one language each, up to ``CHUNK_WORDS`` words; a task holds
+``OPEN_WORDS`` words of unfinished chunks at most.  A relation is
 a column of numbers, one per place; a gap keeps pieces apart, and occurrences
 that left are gaps too.  Numbers are local to the chunk; a second column holds
 the global number of each.  A chunk counts its own groups first, so a phrase
@@ -21,6 +22,11 @@ by hash range.  A range holds about ``RANGE_WORDS`` words' entries whatever the
 size of the corpus, adds them up, and answers each chunk with the numbers of
 the groups that are frequent.
 
+Rows are large, so what a task holds at once is bounded by bytes and not by
+Spark's counts of rows: batches between Spark and Python end at
+``BATCH_BYTES``, and the row groups of the files, which are read whole, after a
+few rows.
+
 Phrases are known by the numbers of their two overlapping parts and never by a
 hash: the counts are exact.  A number is the range's and a counter within it.
 
@@ -44,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from varzea.llm.common import drop_staged, scratch, staged, text_bytes
+from varzea.llm.common import configured, drop_staged, scratch, staged, text_bytes
 
 MIN_COUNT = 30
 MAX_WORDS = 4
@@ -53,9 +59,15 @@ COVERED = 80
 TOP = 2000
 SCALE = 2_000_000
 #: A chunk ends with the text that reaches this many words.
-CHUNK_WORDS = 1_000_000
+CHUNK_WORDS = 500_000
+#: Words of the chunks that a task has open, one a language; beyond that it ends the largest.
+OPEN_WORDS = 2_000_000
 #: Words of the corpus for each hash range; a range holds no more entries than that, on average.
-RANGE_WORDS = 4_000_000
+RANGE_WORDS = 2_000_000
+#: A batch of rows between Spark and Python ends with the row that reaches this.
+BATCH_BYTES = 8 << 20
+#: Rows of a row group of chunks (megabytes each), and of answers (a range's together are as large).
+CHUNK_ROWS, ANSWER_ROWS = 4, 64
 #: A range numbers its phrases from its own multiple of this.
 RANGE_NUMBERS = 1 << 32
 GAP = -1
@@ -86,23 +98,33 @@ def _chunk(chunk: int, lang: str, number: Numbers, at: list[int]) -> pd.DataFram
                         columns=["chunk", "lang", "words", "counts", "at"])
 
 
-def _occurrences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    from pyspark import TaskContext
-    chunk = TaskContext.get().partitionId() << 32
-    open_: dict[str, tuple[Numbers, list[int]]] = {}
-    for batch in batches:
-        for lang, text in zip(batch["lang"], batch["text"]):
-            if lang not in open_:
-                open_[lang] = Numbers(), []
-            number, at = open_[lang]
-            at += map(number.__getitem__, text.translate(_BYTES).replace(_BREAK, b" \xff ").split())
-            at.append(GAP)
-            if len(at) >= CHUNK_WORDS:
-                yield _chunk(chunk, lang, *open_.pop(lang))
-                chunk += 1
-    for lang, (number, at) in open_.items():
-        yield _chunk(chunk, lang, number, at)
-        chunk += 1
+def _occurrences(chunk_words: int, open_words: int):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+        chunk = TaskContext.get().partitionId() << 32
+        open_: dict[str, tuple[Numbers, list[int]]] = {}
+        held = 0
+        for batch in batches:
+            for lang, text in zip(batch["lang"], batch["text"]):
+                if lang not in open_:
+                    open_[lang] = Numbers(), []
+                number, at = open_[lang]
+                held -= len(at)
+                at += map(number.__getitem__, text.translate(_BYTES).replace(_BREAK, b" \xff ").split())
+                at.append(GAP)
+                held += len(at)
+                while len(at) >= chunk_words or held >= open_words:
+                    full = lang if len(at) >= chunk_words else max(open_, key=lambda x: len(open_[x][1]))
+                    number, done = open_.pop(full)
+                    held -= len(done)
+                    yield _chunk(chunk, full, number, done)
+                    chunk += 1
+                    if full == lang:
+                        break
+        for lang, (number, at) in open_.items():
+            yield _chunk(chunk, lang, number, at)
+            chunk += 1
+    return run
 
 
 def _ranges_of(first: np.ndarray, second: np.ndarray, ranges: int) -> np.ndarray:
@@ -137,6 +159,7 @@ def _send(ranges: int):
         for batch in batches:
             for chunk, at, numbers in zip(batch["chunk"].tolist(), batch["at"], batch["numbers"]):
                 _, first, second, counts, part = joined(np.frombuffer(at, np.int32), np.frombuffer(numbers, np.int64), ranges)
+                counts = counts.astype(np.int32)
                 cut = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]).tolist()
                 yield pd.DataFrame([(int(part[a]), chunk, first[a:b].tobytes(), second[a:b].tobytes(), counts[a:b].tobytes())
                                     for a, b in zip(cut, cut[1:]) if b > a],
@@ -149,36 +172,51 @@ ANSWER = "part long, chunk long, numbers binary, first binary, second binary, co
 
 
 def _count(least: int):
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        first = np.frombuffer(b"".join(rows["first"]), np.int64)
-        second = np.frombuffer(b"".join(rows["second"]), np.int64)
-        counts = np.frombuffer(b"".join(rows["counts"]), np.int64)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, chunks, sizes = 0, [], []
+        sent = {"first": [], "second": [], "counts": []}
+        for rows in batches:
+            part = int(rows["part"].iloc[0])
+            chunks += rows["chunk"].tolist()
+            sizes += [len(raw) // 8 for raw in rows["first"]]
+            for column, arrays in sent.items():
+                arrays.append(np.frombuffer(b"".join(rows[column]), np.int32 if column == "counts" else np.int64))
+        first, second, counts = (np.concatenate(sent.pop(column)) for column in ["first", "second", "counts"])
         order = np.lexsort((second, first))
+        first, second, counts = first[order], second[order], counts[order]
         new = np.ones(len(order), bool)
-        new[1:] = (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)
+        new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
         starts = np.flatnonzero(new)
-        total = np.add.reduceat(counts[order], starts)
+        total = np.add.reduceat(counts, starts, dtype=np.int64)
         often = total >= least
-        part = int(rows["part"].iloc[0])
         number = np.where(often, part * RANGE_NUMBERS + np.cumsum(often) - 1, GAP)
+        heads = starts[often]
+        groups = number[often].tobytes(), first[heads].tobytes(), second[heads].tobytes(), total[often].tobytes()
+        del first, second, counts
         reply = np.empty(len(order), np.int64)
         reply[order] = number[np.cumsum(new) - 1]
-        heads = order[starts[often]]
-        out, a = [], 0
-        for chunk, raw in zip(rows["chunk"].tolist(), rows["first"]):
-            b = a + len(raw) // 8
-            if (reply[a:b] >= 0).any():
-                out.append((part, chunk, reply[a:b].tobytes(), None, None, None))
-            a = b
+        out, a, held = [], 0, 0
+        for chunk, size in zip(chunks, sizes):
+            answer = reply[a:a + size]
+            a += size
+            if (answer >= 0).any():
+                out.append((part, chunk, answer.tobytes(), None, None, None))
+                held += answer.nbytes
+            if held >= BATCH_BYTES:
+                yield _answers(out)
+                out, held = [], 0
         if often.any():
-            out.append((part, None, number[often].tobytes(), first[heads].tobytes(), second[heads].tobytes(),
-                        total[often].tobytes()))
-        made = pd.DataFrame(out, columns=["part", "chunk", "numbers", "first", "second", "counts"])
-        made["chunk"] = made["chunk"].astype("Int64")
-        return made
+            out.append((part, None, *groups))
+        yield _answers(out)
     return run
 
 
+def _answers(rows: list[tuple]) -> pd.DataFrame:
+    made = pd.DataFrame(rows, columns=["part", "chunk", "numbers", "first", "second", "counts"])
+    made["chunk"] = made["chunk"].astype("Int64")
+    return made
+
+
 R = "chunk long, at binary, numbers binary"
 
 
@@ -223,10 +261,10 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = M
     """Every phrase of up to ``max_words`` words that occurs ``least`` times in
     its language (lang, words, phrase, a, and the phrase without its last and
     without its first word), and all words of each language (lang, n)."""
-    with scratch() as keep:
+    with scratch() as keep, configured(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES)):
         source = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"),
                              text_bytes(docs).alias("text"))
-        relation = staged(source.mapInPandas(_occurrences, RELATION), "occurrences")
+        relation = staged(source.mapInPandas(_occurrences(CHUNK_WORDS, OPEN_WORDS), RELATION), "occurrences", CHUNK_ROWS)
         listed = relation.select("chunk", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "w"))
         listed = listed.select("chunk", "lang", "place", F.col("w.words").alias("phrase"), F.col("w.counts").alias("c"))
         totals = keep(staged(relation.select("lang", F.aggregate("counts", F.lit(0).cast("long"), lambda s, x: s + x).alias("c"))
@@ -237,7 +275,7 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = M
         ranges = int(rows // RANGE_WORDS) + 1
         numbered = listed.join(words.select("lang", "phrase", "number"), ["lang", "phrase"]).select(F.col("chunk").alias("of"), "place", "number")
         occurring = staged(relation.select("chunk", F.size("words").alias("n_words"), "at").groupBy("chunk")
-                           .cogroup(numbered.groupBy("of")).applyInPandas(_number_words, R), "occurrences")
+                           .cogroup(numbered.groupBy("of")).applyInPandas(_number_words, R), "occurrences", CHUNK_ROWS)
         drop_staged(relation)
         last = F.lit(None).cast("string")
         level = words.select("lang", F.lit(1).alias("words"), "phrase", "a", last.alias("head"), last.alias("rest"), "number",
@@ -245,7 +283,7 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = M
         levels = [level]
         for k in range(2, max_words + 1):
             counted = staged(occurring.mapInPandas(_send(ranges), SENT).groupBy("part").applyInPandas(_count(least), ANSWER),
-                             "phrases")
+                             "phrases", ANSWER_ROWS)
             groups = counted.filter("chunk IS NULL").select("numbers", "first", "second", "counts").mapInPandas(
                 _groups, "number long, first long, second long, a long")
             head = level.select("lang", F.col("number").alias("first"), F.col("phrase").alias("head"))
@@ -257,7 +295,8 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = M
             if k < max_words:
                 answers = counted.filter("chunk IS NOT NULL").select("chunk", "part", "numbers")
                 before, occurring = occurring, staged(
-                    occurring.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_semi_join(ranges), R), "occurrences")
+                    occurring.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInPandas(_semi_join(ranges), R), "occurrences",
+                    CHUNK_ROWS)
                 drop_staged(before)
             drop_staged(counted)
         drop_staged(occurring)
