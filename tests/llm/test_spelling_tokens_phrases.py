@@ -78,6 +78,21 @@ def test_spelling_near_words_and_chains(spark):
     assert max(near for *_, near, _ in want) >= 5
 
 
+def test_spelling_broadcasts_nothing(docs, rows, monkeypatch):
+    """Its tables grow with the vocabulary, and the exploded ones are larger than Spark takes them for."""
+    plans, stage = [], spelling.staged
+    monkeypatch.setattr(spelling, "staged", lambda df, label: plans.append(plan(df)) or stage(df, label))
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert docs.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    found = spelling.variants(docs)
+    plans.append(plan(found))
+    assert found.count() == sum(spelling_by_hand(rows).values()) > 0
+    assert sum("SortMergeJoin" in p for p in plans) >= 3 and not any("Broadcast" in p for p in plans)
+
+
 def test_spelling_of_nothing(no_docs, spark):
     assert spelling.variants(no_docs).count() == 0
     none = spark.createDataFrame([(1, "no wörds öf mäny"), (2, "")], "doc_id long, text string")

@@ -59,6 +59,12 @@ def vocabulary(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int = M
             .groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_count))
 
 
+def _joined(left: DataFrame, right: DataFrame, on: str, how: str = "inner") -> DataFrame:
+    """A sort-merge join.  Both sides grow with the vocabulary, and Spark sizes an exploded one
+    like the table that it comes from: left to choose, it would broadcast millions of rows."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def _nodes(words: DataFrame, part, side: str) -> DataFrame:
     """(part, node) for every prefix or suffix; the empty one is ``ROOT`` without being listed."""
     return staged(words.select(F.explode(part).alias("part")).distinct().select(
@@ -68,7 +74,7 @@ def _nodes(words: DataFrame, part, side: str) -> DataFrame:
 def _numbered(words: DataFrame, part, side: str) -> DataFrame:
     """(w, nodes) with the node of each part of a word, in the order of the parts."""
     nodes = _nodes(words, part, side)
-    found = words.select("w", F.posexplode(part).alias("i", "part")).join(nodes, "part")
+    found = _joined(words.select("w", F.posexplode(part).alias("i", "part")), nodes, "part")
     return found.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("i", "node")))["node"].alias(side))  # a list per letter of a word
 
 
@@ -78,8 +84,8 @@ def node_pairs(words: DataFrame) -> DataFrame:
     prefixes = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring("word", F.lit(1), i))
     suffixes = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring("word", i, size))
     root = F.array(F.lit(ROOT).cast("long"))
-    both = (words.join(_numbered(words, prefixes, "front"), "w").join(_numbered(words, suffixes, "back"), "w")
-            .withColumn("front", F.concat(root, "front")).withColumn("back", F.concat("back", root)))
+    both = _joined(_joined(words, _numbered(words, prefixes, "front"), "w"), _numbered(words, suffixes, "back"), "w")
+    both = both.withColumn("front", F.concat(root, "front")).withColumn("back", F.concat("back", root))
     letter = lambda i: F.substring("word", i + 1, F.lit(1))
     cut = F.transform(F.sequence(F.lit(0), size), lambda i: F.struct(
         F.get("front", i).alias("p"), F.get("back", i).alias("s"), F.lit(False).alias("skips"), F.lit(False).alias("first")))
@@ -115,7 +121,7 @@ def roots(forms: DataFrame) -> DataFrame:
     now = staged(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         further = now.select(F.col("word").alias("root"), F.col("root").alias("end"))
-        before, now = now, staged(now.join(further, "root", "left").select(
+        before, now = now, staged(_joined(now, further, "root", "left").select(
             "word", F.coalesce("end", "root").alias("root"), F.col("end").isNotNull().alias("moved")), "roots")
         if now.filter("moved").isEmpty():
             return before
@@ -125,10 +131,10 @@ def variants(docs: DataFrame) -> DataFrame:
     """word, form, root, n, n_near, form_n of every word of ``docs``."""
     with scratch() as keep:
         words = staged(vocabulary(docs).withColumn("w", F.monotonically_increasing_id()), "words")
-        near = words.join(near_words(words), "w", "left")
+        near = _joined(words, near_words(words), "w", "left")
         is_form = F.col("best.n") >= RATIO * F.col("n")
         formed = keep(staged(near.select(
             "word", "n", F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
             F.when(is_form, F.col("best.word")).alias("form"), F.when(is_form, F.col("best.n")).alias("form_n")), "forms"))
         root = keep(roots(formed.filter("form IS NOT NULL")))
-    return formed.join(root, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return _joined(formed, root, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
