@@ -258,6 +258,22 @@ def test_collocation_tasks_hold_few_rows(spark, prose, monkeypatch):
     assert sum(groups["occurrences"]) > 60 and max(groups["occurrences"]) <= 4 and max(groups["phrases"]) <= 64
 
 
+def test_collocations_broadcast_no_phrases(spark, prose, monkeypatch):
+    """Frequent words and phrases grow with the corpus; the totals, a row a language, may be broadcast."""
+    plans, stage = [], collocations.staged
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(collocations, "staged", lambda df, *more: plans.append(plan(df)) or stage(df, *more))
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "10485760b"
+    found = collocations.candidates(collocations.frequent_phrases(
+        spark.createDataFrame(prose, "doc_id long, lang string, text string"))[0])
+    plans.append(plan(found))
+    assert found.count() > 30
+    assert sum("SortMergeJoin" in p for p in plans) >= 5 and not any("Broadcast" in p for p in plans)
+
+
 def test_collocation_chunks_of_many_languages(monkeypatch):
     monkeypatch.setattr("pyspark.TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(partitionId=lambda: 0)))
     text, taken, ended, words = "some words of it " * 4, [], 0, Counter()

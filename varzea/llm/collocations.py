@@ -25,7 +25,9 @@ the groups that are frequent.
 Rows are large, so what a task holds at once is bounded by bytes and not by
 Spark's counts of rows: batches between Spark and Python end at
 ``BATCH_BYTES``, and the row groups of the files, which are read whole, after a
-few rows.
+few rows.  Joins with the frequent words and phrases are sort-merge joins by
+hint: a broadcast would put all of them, which grow with the corpus, into every
+executor.
 
 Phrases are known by the numbers of their two overlapping parts and never by a
 hash: the counts are exact.  A number is the range's and a counter within it.
@@ -273,7 +275,8 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = M
                        .withColumn("number", F.monotonically_increasing_id()), "frequent-words"))
         rows = totals.agg(F.sum("n")).first()[0] or 0
         ranges = int(rows // RANGE_WORDS) + 1
-        numbered = listed.join(words.select("lang", "phrase", "number"), ["lang", "phrase"]).select(F.col("chunk").alias("of"), "place", "number")
+        numbered = listed.join(words.select("lang", "phrase", "number").hint("merge"), ["lang", "phrase"]).select(
+            F.col("chunk").alias("of"), "place", "number")
         occurring = staged(relation.select("chunk", F.size("words").alias("n_words"), "at").groupBy("chunk")
                            .cogroup(numbered.groupBy("of")).applyInPandas(_number_words, R), "occurrences", CHUNK_ROWS)
         drop_staged(relation)
@@ -288,7 +291,7 @@ def frequent_phrases(docs: DataFrame, max_words: int = MAX_WORDS, least: int = M
                 _groups, "number long, first long, second long, a long")
             head = level.select("lang", F.col("number").alias("first"), F.col("phrase").alias("head"))
             rest = level.select(F.col("number").alias("second"), F.col("phrase").alias("rest"), "last")
-            level = keep(staged(groups.join(head, "first").join(rest, "second").select(
+            level = keep(staged(groups.join(head.hint("merge"), "first").join(rest.hint("merge"), "second").select(
                 "lang", F.lit(k).alias("words"), F.concat_ws(" ", "head", "last").alias("phrase"), "a", "head", "rest", "number",
                 "last"), "frequent-phrases"))
             levels.append(level)
@@ -314,7 +317,7 @@ def candidates(phrases: DataFrame) -> DataFrame:
     cuts = long_ones.select("lang", "phrase", "a", "words", F.explode(F.sequence(F.lit(1), F.col("words") - 1)).alias("k")).select(
         "lang", "phrase", "a", "k", F.concat_ws(" ", F.slice(parts, 1, F.col("k"))).alias("left_part"),
         F.concat_ws(" ", F.slice(parts, F.col("k") + 1, F.col("words"))).alias("right_part"))
-    count = phrases.select("lang", "phrase", "a")
+    count = phrases.select("lang", "phrase", "a").hint("merge")
     cuts = (cuts.join(count.select("lang", F.col("phrase").alias("left_part"), F.col("a").alias("l")), ["lang", "left_part"])
             .join(count.select("lang", F.col("phrase").alias("right_part"), F.col("a").alias("r")), ["lang", "right_part"])
             .withColumn("score", F.expr(f"cast({SCALE} AS decimal(18,0)) * cast(a AS decimal(19,0)) "
@@ -325,7 +328,7 @@ def candidates(phrases: DataFrame) -> DataFrame:
                                                   F.col("a").alias("longer")).groupBy("lang", "phrase").agg(
         F.max("longer").alias("longer"))
     covers = F.expr(f"100 * cast(longer AS decimal(19,0)) >= {COVERED} * cast(a AS decimal(19,0))")
-    return best.join(around, ["lang", "phrase"], "left").withColumn("covered", F.coalesce(covers, F.lit(False))).drop("longer")
+    return best.join(around.hint("merge"), ["lang", "phrase"], "left").withColumn("covered", F.coalesce(covers, F.lit(False))).drop("longer")
 
 
 def collocations(docs: DataFrame, top: int = TOP) -> DataFrame:
